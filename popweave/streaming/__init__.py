@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline this library re-expresses reads every input (seed files, zone maps,
+control tables, population vectors) once, as a batch. There is no stream, watermark,
+window or state in it, so nothing is built here; the batch operators work unchanged on
+a ``foreachBatch`` micro-batch if a caller wants that.
+"""
