@@ -136,3 +136,11 @@ def controls_meta(raw: DataFrame, cfg: RunConfig) -> DataFrame:
     cols = _drop(META_MEASURES, cfg.drop_control_columns)
     agg = raw_taz(raw).groupBy("region").agg(*[F.sum(m).alias(m) for m in cols])
     return agg.select(truncate_int("region"), *[truncate_int(c) for c in cols])
+
+
+def override_totpop(raw: DataFrame, vector: DataFrame) -> DataFrame:
+    """Population total taken from a supplied vector where it has the zone (AG5)."""
+    v = vector.select(F.col("zone").alias("maz"), F.col("population").alias("_pop"))
+    return (raw.join(v, "maz", "left")
+            .withColumn("totpop", F.coalesce(F.col("_pop"), F.col("totpop").cast("double")))
+            .drop("_pop"))

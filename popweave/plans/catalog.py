@@ -3,12 +3,24 @@ survey views of the test tables; ``ORACLE`` holds the DuckDB twin of each one.""
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from popweave.config import CONTROL_KEYS_MAZ, CONTROL_KEYS_TAZ, CONTROL_MEASURES, META_MEASURES
+from popweave.config import (AGE_COLUMNS, CONTROL_KEYS_MAZ, CONTROL_KEYS_TAZ, CONTROL_MEASURES,
+                             META_MEASURES)
+from popweave.functions.draws import keyed_uniform_sql
+from popweave.functions.recode import recode
+from popweave.functions.sizing import broadcast_if_bounded
+from popweave.functions.zones import expand_ranges
 from popweave.operators import controls as ctl
+from popweave.operators import seeds as seeds_ops
+from popweave.operators.ids import assign_hhnum, dense_position, first_per_key
+from popweave.operators.impute import category_shares, resample_invalid
+from popweave.operators.quality import duplicate_keys
+from popweave.operators.sampling import slice_population
 from popweave.plans import seeds as seedplan
 from popweave.sources import survey_sql as sq
 from popweave.sources import survey_views as sv
@@ -62,3 +74,211 @@ m AS (SELECT region, {", ".join(f"SUM({c}) AS {c}" for c in META_MEASURES)} FROM
 SELECT CAST(region AS INTEGER) AS region, {_trunc_cols(META_MEASURES)} FROM m"""))
 def q_controls_meta(spark, sf_dir):
     return ctl.controls_meta(raw_controls(spark, sf_dir), CFG)
+
+
+def _controls_subset(name: str, cols: tuple[str, ...]):
+    sql = sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + f"""
+SELECT maz, {_trunc_cols(cols)} FROM raw""")
+
+    def q(spark, sf_dir):
+        return ctl.controls_maz(raw_controls(spark, sf_dir), CFG).select("maz", *cols)
+    register(name, sql)(q)
+
+
+_controls_subset("controls_totals", ("totalhh", "totpop"))
+_controls_subset("controls_income", tuple(f"income_class_{k}" for k in range(1, 7)))
+_controls_subset("controls_hhsize", ("hhsize1", "hhsize2", "hhsize3", "hhsize4p"))
+_controls_subset("controls_age", AGE_COLUMNS)
+_controls_subset("controls_employment", ("E_O", "E_F", "E_P", "E_J", "E_H"))
+_controls_subset("controls_occupation", ("P", "G", "S", "M", "O"))
+_controls_subset("controls_license_student", ("license_Y", "license_N", "S_O", "S_S", "S_P"))
+_controls_subset("employment_zone_controls", ("employment_zone_internal", "employment_zone_external",
+                                              "employment_zone_roaming", "employment_zone_0"))
+
+DROP_CFG = replace(CFG, drop_control_columns=("hhsize1", "license_Y", "E_J", "not_a_column"))
+_META_KEPT = tuple(c for c in META_MEASURES if c not in DROP_CFG.drop_control_columns)
+
+
+@register("controls_drop_columns", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + f""",
+m AS (SELECT region, {", ".join(f"SUM({c}) AS {c}" for c in _META_KEPT)} FROM raw GROUP BY region)
+SELECT CAST(region AS INTEGER) AS region, {_trunc_cols(_META_KEPT)} FROM m"""))
+def q_controls_drop_columns(spark, sf_dir):
+    """Meta controls with configured columns dropped; absent names are ignored (D17)."""
+    return ctl.controls_meta(raw_controls(spark, sf_dir), DROP_CFG)
+
+
+@register("controls_totpop_override", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + """,
+vec AS (SELECT zone, CASE WHEN zone % 6 = 0 THEN 0.0 ELSE CAST(zone AS DOUBLE) * 1000.0 END AS population
+        FROM zones)
+SELECT maz, CAST(trunc(COALESCE(v.population, CAST(r.totpop AS DOUBLE))) AS INTEGER) AS totpop
+FROM raw r LEFT JOIN vec v ON r.maz = v.zone"""))
+def q_controls_totpop_override(spark, sf_dir):
+    raw = raw_controls(spark, sf_dir)
+    vec = sv.population_vector(spark, sf_dir)
+    return ctl.override_totpop(raw, vec).select("maz", ctl.truncate_int("totpop"))
+
+
+# --- seeds: geography, imputation, sampling, re-coding ---------------------------------
+
+@register("zone_map", "WITH " + sq.VIEWS + " SELECT zone, pd, puma FROM zmap")
+def q_zone_map(spark, sf_dir):
+    return seeds_ops.zone_map(sv.zones(spark, sf_dir), CFG)
+
+
+@register("assign_puma", "WITH " + sq.VIEWS + """
+SELECT h.household_id, z.pd, z.puma FROM hh h JOIN zmap z ON h.household_zone = z.zone""")
+def q_assign_puma(spark, sf_dir):
+    zm = seeds_ops.zone_map(sv.zones(spark, sf_dir), CFG)
+    return seeds_ops.households_with_zone(sv.households(spark, sf_dir), broadcast_if_bounded(zm)) \
+        .select("household_id", "pd", "puma")
+
+
+@register("zone_ranges", "WITH " + sq.VIEWS + """,
+r AS (SELECT 'internal' AS zone_set, generate_series AS zone FROM generate_series(1, 20)
+      UNION ALL SELECT 'external', generate_series FROM generate_series(21, 25))
+SELECT r.zone_set, z.zone, z.pd FROM r JOIN zones z ON r.zone = z.zone""")
+def q_zone_ranges(spark, sf_dir):
+    """Range sets expanded to rows (PRJ13) and matched to the zone dimension."""
+    z = sv.zones(spark, sf_dir)
+    sets = [expand_ranges(spark, CFG.internal).withColumn("zone_set", F.lit("internal")),
+            expand_ranges(spark, CFG.external).withColumn("zone_set", F.lit("external"))]
+    r = sets[0].unionByName(sets[1])
+    return r.join(z, "zone", "inner").select("zone_set", "zone", "pd")
+
+
+@register("filter_internal", "WITH " + sq.VIEWS + """
+SELECT household_id, household_zone FROM hh WHERE household_zone BETWEEN 1 AND 20""")
+def q_filter_internal(spark, sf_dir):
+    return seeds_ops.filter_internal(sv.households(spark, sf_dir), "household_zone", CFG) \
+        .select("household_id", "household_zone")
+
+
+@register("households_with_zone", sq.with_seeds("SELECT * FROM hz0"))
+def q_households_with_zone(spark, sf_dir):
+    zm = broadcast_if_bounded(seeds_ops.zone_map(sv.zones(spark, sf_dir), CFG))
+    return seeds_ops.households_with_zone(sv.households(spark, sf_dir), zm)
+
+
+@register("persons_households", sq.with_seeds("""
+SELECT p.*, h.household_zone, h.dwelling_type, h.number_of_persons, h.vehicles, h.income_class,
+       h.expansion_factor AS household_weight, h.pd, h.puma
+FROM ps p JOIN hz0 h ON p.household_id = h.household_id"""))
+def q_persons_households(spark, sf_dir):
+    zm = broadcast_if_bounded(seeds_ops.zone_map(sv.zones(spark, sf_dir), CFG))
+    hz = seeds_ops.households_with_zone(sv.households(spark, sf_dir), zm)
+    return seeds_ops.persons_households(sv.persons(spark, sf_dir), hz)
+
+
+@register("category_shares", sq.with_seeds(sq.SHARES_SQL))
+def q_category_shares(spark, sf_dir):
+    zm = broadcast_if_bounded(seeds_ops.zone_map(sv.zones(spark, sf_dir), CFG))
+    hz = seeds_ops.households_with_zone(sv.households(spark, sf_dir), zm)
+    ph = seeds_ops.persons_households(sv.persons(spark, sf_dir), hz)
+    sh = category_shares(ph, seedplan.PERSON_IMPUTE, "expansion_factor", "puma")
+    return sh.select("puma", "column", "value", F.col("weight").cast("double").alias("weight"),
+                     "share", "lower", "upper")
+
+
+@register("resample_income", sq.with_seeds("SELECT household_id, puma, income_class FROM hz"))
+def q_resample_income(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    zm = s.zone_map
+    hz = seeds_ops.households_with_zone(sv.households(spark, sf_dir), zm)
+    hz = resample_invalid(hz, seedplan.HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
+    return hz.select("household_id", "puma", "income_class")
+
+
+@register("resample_occupation", sq.with_seeds("""
+SELECT household_id, person_number, puma, occupation, employment_status, student_status FROM ph_all"""))
+def q_resample_occupation(spark, sf_dir):
+    zm = broadcast_if_bounded(seeds_ops.zone_map(sv.zones(spark, sf_dir), CFG))
+    hz = seeds_ops.households_with_zone(sv.households(spark, sf_dir), zm)
+    hz = resample_invalid(hz, seedplan.HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
+    ph = seeds_ops.persons_households(sv.persons(spark, sf_dir), hz)
+    ph = resample_invalid(ph, seedplan.PERSON_IMPUTE, "expansion_factor", list(seedplan.PERSON_KEY))
+    return ph.select("household_id", "person_number", "puma", "occupation", "employment_status",
+                     "student_status")
+
+
+@register("seed_households", sq.with_seeds(sq.SEED_HOUSEHOLDS_FROM.format(src="phi")))
+def q_seed_households(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    return seedplan.processed_households(seedplan.sampled(s, CFG))
+
+
+@register("seed_persons", sq.with_seeds(sq.SEED_PERSONS_SQL))
+def q_seed_persons(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    return seedplan.processed_persons(seedplan.sampled(s, CFG), CFG)
+
+
+SAMPLE_CFG = replace(CFG, input_sample=0.5)
+
+
+@register("sample_households", sq.with_seeds(sq.sample_threshold_sql(0.5)))
+def q_sample_households(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    return seedplan.processed_households(seedplan.sampled(s, SAMPLE_CFG, "threshold"))
+
+
+@register("sample_households_exact", sq.with_seeds(sq.sample_exact_sql(0.5)))
+def q_sample_households_exact(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    return seedplan.processed_households(seedplan.sampled(s, SAMPLE_CFG, "exact"))
+
+
+@register("slice_population", "WITH " + sq.VIEWS + f"""
+SELECT household_id, household_zone, CAST(expansion_factor * 2.0 AS DOUBLE) AS expansion_factor
+FROM hh WHERE {keyed_uniform_sql('slice', 'household_id')} < 0.5""")
+def q_slice_population(spark, sf_dir):
+    h, _ = slice_population(sv.households(spark, sf_dir), sv.persons(spark, sf_dir), 0.5)
+    return h.select("household_id", "household_zone",
+                    F.col("expansion_factor").cast("double").alias("expansion_factor"))
+
+
+@register("recode_categories", "WITH " + sq.VIEWS + f"""
+SELECT household_id, person_number, {sq.OCC_CODE} AS occupation, {sq.EMP_CODE} AS employment_status
+FROM ps""")
+def q_recode_categories(spark, sf_dir):
+    p = recode(sv.persons(spark, sf_dir), {"occupation": CFG.person_category_map["Occupation"],
+                                           "employment_status": CFG.person_category_map["EmploymentStatus"]})
+    return p.select("household_id", "person_number", "occupation", "employment_status")
+
+
+# --- ids, dedup, data quality ----------------------------------------------------------
+
+@register("dedup_first", "WITH " + sq.VIEWS + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY household_id, person_number
+                               ORDER BY {", ".join(sq.PERSON_REST)}) AS rn FROM ps) t
+WHERE rn = 1""")
+def q_dedup_first(spark, sf_dir):
+    return first_per_key(sv.persons(spark, sf_dir), ["household_id", "person_number"])
+
+
+@register("duplicate_keys", "WITH " + sq.VIEWS + """
+SELECT household_id, person_number, COUNT(*) AS n FROM ps
+GROUP BY household_id, person_number HAVING COUNT(*) > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    return duplicate_keys(sv.persons(spark, sf_dir), ["household_id", "person_number"])
+
+
+@register("assign_hhnum", sq.with_seeds(f"""
+sh AS ({sq.SEED_HOUSEHOLDS_FROM.format(src="phi")})
+SELECT *, row_number() OVER (ORDER BY household_id) AS hhnum FROM sh"""))
+def q_assign_hhnum(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    hh = seedplan.processed_households(seedplan.sampled(s, CFG))
+    return dense_position(hh, ["household_id"], "hhnum")
+
+
+@register("assign_hhnum_persons", sq.with_seeds(f"""
+sh AS ({sq.SEED_HOUSEHOLDS_FROM.format(src="phi")}),
+hn AS (SELECT household_id, row_number() OVER (ORDER BY household_id) AS hhnum FROM sh),
+sp AS ({sq.SEED_PERSONS_SQL})
+SELECT sp.*, hn.hhnum FROM sp LEFT JOIN hn USING (household_id)"""))
+def q_assign_hhnum_persons(spark, sf_dir):
+    s = prepared(spark, sf_dir)
+    ph = seedplan.sampled(s, CFG)
+    _, pers = assign_hhnum(seedplan.processed_households(ph), seedplan.processed_persons(ph, CFG))
+    return pers

@@ -8,7 +8,7 @@ The test configuration (internal 1..20, external 21..25, roaming 25, PD groups
 
 from __future__ import annotations
 
-from popweave.config import AGE_BINS, AGE_COLUMNS
+from popweave.config import AGE_BINS, AGE_COLUMNS, DEFAULT_PERSON_CATEGORY_MAP
 from popweave.functions.draws import keyed_uniform_sql
 
 INTERNAL = "BETWEEN 1 AND 20"
@@ -117,7 +117,64 @@ PERSON_MEASURES = ",\n".join(
 
 
 def with_seeds(body: str) -> str:
-    return "WITH " + SEEDS + ",\n" + body
+    """Seed CTEs followed by ``body`` (more CTEs and a SELECT, or just a SELECT)."""
+    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
+    return "WITH " + SEEDS + sep + body
+
+
+def _code_case(col: str, mapping: dict) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
+    return f"CASE {col} {whens} END"
+
+
+OCC_CODE = _code_case("occupation", DEFAULT_PERSON_CATEGORY_MAP["Occupation"])
+EMP_CODE = _code_case("employment_status", DEFAULT_PERSON_CATEGORY_MAP["EmploymentStatus"])
+
+PERSON_REST = ("age", "sex", "license", "transit_pass", "employment_status", "occupation",
+               "free_parking", "student_status", "employment_zone", "school_zone", "expansion_factor")
+
+SEED_HOUSEHOLDS_FROM = """SELECT DISTINCT household_id, CAST(puma AS INTEGER) AS puma, dwelling_type,
+  number_of_persons, vehicles, income_class, CAST(round(household_weight, 5) AS DOUBLE) AS weight
+FROM {src}"""
+
+SEED_PERSONS_SQL = f"""SELECT household_id, person_number, CAST(puma AS INTEGER) AS puma, age, sex, license,
+  transit_pass, {EMP_CODE} AS employment_status, {OCC_CODE} AS occupation, free_parking,
+  student_status, employment_zone, school_zone, CAST(expansion_factor AS DOUBLE) AS weight,
+  CAST(round(expansion_factor, 5) AS DOUBLE) AS weightp
+FROM phi"""
+
+SHARES_SQL = """
+long AS (""" + "\n  UNION ALL ".join(
+    f"SELECT puma, '{c}' AS col, {c} AS value, expansion_factor FROM ph0 "
+    f"WHERE {c} IS NOT NULL AND {c} <> '9'"
+    for c in ("occupation", "employment_status", "student_status")) + """),
+sums AS (SELECT puma, col, value, SUM(expansion_factor) AS w FROM long GROUP BY 1, 2, 3),
+cw AS (SELECT *, SUM(w) OVER (PARTITION BY puma, col ORDER BY value
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+              SUM(w) OVER (PARTITION BY puma, col) AS tot FROM sums)
+SELECT puma, col AS "column", value, CAST(w AS DOUBLE) AS weight,
+       CAST(w AS DOUBLE) / CAST(tot AS DOUBLE) AS share,
+       CAST(cum - w AS DOUBLE) / CAST(tot AS DOUBLE) AS lower,
+       CAST(cum AS DOUBLE) / CAST(tot AS DOUBLE) AS upper
+FROM cw"""
+
+
+def sample_threshold_sql(frac: float) -> str:
+    u = keyed_uniform_sql("sample", "household_id", "person_number")
+    src = "(SELECT * FROM phi WHERE household_id IN (SELECT household_id FROM ids)) s"
+    return (f"ids AS (SELECT DISTINCT household_id FROM phi WHERE {u} < {frac})\n"
+            + SEED_HOUSEHOLDS_FROM.format(src=src))
+
+
+def sample_exact_sql(frac: float) -> str:
+    u = keyed_uniform_sql("sample", "household_id", "person_number")
+    src = "(SELECT * FROM phi WHERE household_id IN (SELECT household_id FROM ids)) s"
+    return f"""r AS (SELECT household_id,
+              row_number() OVER (PARTITION BY puma ORDER BY u, household_id, person_number) AS rn,
+              COUNT(*) OVER (PARTITION BY puma) AS n
+       FROM (SELECT *, {u} AS u FROM phi) t),
+ids AS (SELECT DISTINCT household_id FROM r WHERE rn <= round_even(n * {frac}, 0))
+""" + SEED_HOUSEHOLDS_FROM.format(src=src)
 
 
 def raw_controls_cte(measures: tuple[str, ...]) -> str:
