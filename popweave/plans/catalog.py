@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popweave.config import (AGE_COLUMNS, CONTROL_KEYS_MAZ, CONTROL_KEYS_TAZ, CONTROL_MEASURES,
-                             META_MEASURES)
+                             HOUSEHOLD_MEASURES, META_MEASURES, PERSON_MEASURES)
 from popweave.functions.draws import keyed_uniform_sql
 from popweave.functions.recode import recode
 from popweave.functions.sizing import broadcast_if_bounded
 from popweave.functions.zones import expand_ranges
 from popweave.operators import controls as ctl
+from popweave.operators import forecast as fc
 from popweave.operators import seeds as seeds_ops
 from popweave.operators.ids import assign_hhnum, dense_position, first_per_key
 from popweave.operators.impute import category_shares, resample_invalid
@@ -282,3 +283,83 @@ def q_assign_hhnum_persons(spark, sf_dir):
     ph = seedplan.sampled(s, CFG)
     _, pers = assign_hhnum(seedplan.processed_households(ph), seedplan.processed_persons(ph, CFG))
     return pers
+
+
+# --- forecast --------------------------------------------------------------------------
+
+FORECAST_CFG = replace(CFG, person_control_columns=PERSON_MEASURES,
+                       household_control_columns=HOUSEHOLD_MEASURES)
+_FC_CONTROLS = sq.forecast_controls(CONTROL_MEASURES, PERSON_MEASURES, HOUSEHOLD_MEASURES)
+_FC_SQL = sq.raw_controls_cte(CONTROL_MEASURES)[1:] + "," + sq.forecast_ctes(
+    CONTROL_MEASURES, PERSON_MEASURES, HOUSEHOLD_MEASURES)
+
+
+def zero_zone(controls: DataFrame, key: str, zone: int) -> DataFrame:
+    """Set every measure of one zone to 0 (gives the test a base-zero zone with a row)."""
+    keys = {"region", "puma", "taz", "maz"}
+    return controls.select(*[F.when(F.col(key) == zone, F.lit(0)).otherwise(F.col(c)).alias(c)
+                             if c not in keys else F.col(c) for c in controls.columns])
+
+
+def forecast_inputs(spark, sf_dir):
+    raw = raw_controls(spark, sf_dir)
+    maz = zero_zone(ctl.controls_maz(raw, CFG), "maz", 5)
+    return (maz, ctl.controls_taz(raw, CFG), ctl.controls_meta(raw, CFG),
+            sv.population_vector(spark, sf_dir), sv.zones(spark, sf_dir))
+
+
+@register("forecast_maz", sq.with_seeds(_FC_SQL + f"""
+SELECT region, puma, k AS taz, k AS maz, {", ".join(f"CAST(ceil({c}) AS INTEGER) AS {c}" for c in _FC_CONTROLS)}
+FROM fc"""))
+def q_forecast_maz(spark, sf_dir):
+    maz, _, _, vec, zones = forecast_inputs(spark, sf_dir)
+    return fc.forecast_maz(maz, vec, zones, FORECAST_CFG)
+
+
+@register("forecast_taz", sq.with_seeds(_FC_SQL + f"""
+SELECT region, puma, k AS taz, {", ".join(f"CAST(ceil({c}) AS INTEGER) AS {c}" for c in _FC_CONTROLS)}
+FROM fc"""))
+def q_forecast_taz(spark, sf_dir):
+    maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir)
+    return fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)[1]
+
+
+@register("forecast_meta", sq.with_seeds(_FC_SQL + f""",
+m0 AS (SELECT region, {", ".join(f"SUM({c}) AS {c}" for c in META_MEASURES)} FROM raw GROUP BY region),
+m AS (SELECT CAST(region AS INTEGER) AS region, {_trunc_cols(META_MEASURES)} FROM m0),
+tot AS (SELECT SUM(CAST(totpop AS DECIMAL(38,18))) AS tp, SUM(CAST(totalhh AS DECIMAL(38,18))) AS th FROM fc)
+SELECT region, {", ".join("CAST(ceil(tot.tp) AS INTEGER) AS totpop" if c == "totpop" else
+                          "CAST(ceil(tot.th) AS INTEGER) AS totalhh" if c == "totalhh" else c
+                          for c in META_MEASURES)}
+FROM m, tot"""))
+def q_forecast_meta(spark, sf_dir):
+    maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir)
+    return fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)[2]
+
+
+@register("forecast_outer", sq.with_seeds(_FC_SQL + """
+SELECT k AS maz, region, puma, totpop, totalhh, new AS population FROM fo"""))
+def q_forecast_outer(spark, sf_dir):
+    maz, _, _, vec, zones = forecast_inputs(spark, sf_dir)
+    measures = [c for c in maz.columns if c not in fc.KEYS]
+    m = fc.outer_with_vector(fc.map_control_puma(maz, "maz", zones, FORECAST_CFG), "maz", vec, measures)
+    return m.select("maz", "region", "puma", "totpop", "totalhh", F.col(fc.NEW).alias("population"))
+
+
+@register("forecast_classes", sq.with_seeds(_FC_SQL + """
+SELECT k AS maz, cls AS zone_class FROM cls"""))
+def q_forecast_classes(spark, sf_dir):
+    maz, _, _, vec, zones = forecast_inputs(spark, sf_dir)
+    measures = [c for c in maz.columns if c not in fc.KEYS]
+    m = fc.outer_with_vector(fc.map_control_puma(maz, "maz", zones, FORECAST_CFG), "maz", vec, measures)
+    return m.select("maz", fc.zone_class(F.col("totpop"), F.col(fc.NEW)).alias("zone_class"))
+
+
+@register("forecast_ratios", sq.with_seeds(_FC_SQL + f"""
+SELECT p0 AS puma, {", ".join(_FC_CONTROLS)} FROM rat"""))
+def q_forecast_ratios(spark, sf_dir):
+    maz, _, _, vec, zones = forecast_inputs(spark, sf_dir)
+    measures = [c for c in maz.columns if c not in fc.KEYS]
+    m = fc.outer_with_vector(fc.map_control_puma(maz, "maz", zones, FORECAST_CFG), "maz", vec, measures)
+    m = m.withColumn(fc.CLASS, fc.zone_class(F.col("totpop"), F.col(fc.NEW)))
+    return fc.forecast_ratios(m, _FC_CONTROLS).withColumnRenamed(fc.ORIG_PUMA, "puma")

@@ -186,3 +186,56 @@ p_agg AS (SELECT household_zone AS zone, {PERSON_MEASURES} FROM phi GROUP BY 1),
 raw AS (SELECT 1 AS region, CAST(z.puma AS INTEGER) AS puma, z.zone AS taz, z.zone AS maz, {cols}
         FROM zmap z LEFT JOIN hh_agg USING (zone) LEFT JOIN p_agg USING (zone)
         WHERE z.zone {INTERNAL})"""
+
+
+# --- forecast twins --------------------------------------------------------------------
+
+def _puma_case(pd_col: str, otherwise: str) -> str:
+    return (f"CASE WHEN {pd_col} BETWEEN 4 AND 5 THEN 3 WHEN {pd_col} BETWEEN 2 AND 4 THEN 2 "
+            f"WHEN {pd_col} BETWEEN 1 AND 2 THEN 1 ELSE {otherwise} END")
+
+
+VECTOR = """vec AS (SELECT zone, CASE WHEN zone % 6 = 0 THEN 0.0 ELSE CAST(zone AS DOUBLE) * 1000.0 END
+                AS population FROM zones)"""
+
+
+def forecast_ctes(measures: tuple[str, ...], person: tuple[str, ...], household: tuple[str, ...],
+                  zero_zone: int = 5) -> str:
+    """CTEs ``cm`` (base MAZ controls with ``zero_zone`` zeroed), ``fo`` (outer join with the
+    vector), ``cls``, ``rat`` (t1 ratios by original puma), ``lastr`` and ``fc`` (unceiled
+    forecast values of the control columns)."""
+    controls = [c for c in person if c in measures] + \
+        [c for c in household if c in measures and c not in person]
+    trunc = ", ".join(f"CASE WHEN maz = {zero_zone} THEN 0 ELSE CAST(trunc({m}) AS INTEGER) END AS {m}"
+                      for m in measures)
+    fill = ", ".join(f"COALESCE(mm.{m}, 0) AS {m}" for m in measures)
+    rat = ", ".join(f"CAST(SUM({c}) AS DOUBLE) / CAST(SUM(totpop) AS DOUBLE) AS {c}" for c in controls)
+    newtot = "CASE WHEN lastr.p0 IS NOT NULL THEN cls.new ELSE cls.totpop END" \
+        if "totpop" in person else "cls.totpop"
+
+    def val(c: str) -> str:
+        t2 = newtot if c == "totpop" else \
+            f"CASE WHEN lastr.p0 IS NOT NULL THEN lastr.{c} * ({newtot}) ELSE cls.{c} END"
+        return (f"CASE cls.cls WHEN 't1' THEN cls.{c} * (cls.new / cls.totpop) WHEN 't2' THEN {t2} "
+                f"WHEN 't3' THEN 0.0 ELSE CAST(cls.{c} AS DOUBLE) END AS {c}")
+
+    return f"""
+cm AS (SELECT region, puma, taz, maz, {trunc} FROM raw),
+{VECTOR},
+mm AS (SELECT c.* REPLACE ({_puma_case("z.pd", "c.puma")} AS puma) FROM cm c JOIN zones z ON c.maz = z.zone),
+fo AS (SELECT CASE WHEN COALESCE(mm.region, 0) = 0 THEN 1 ELSE mm.region END AS region,
+              CASE WHEN COALESCE(mm.puma, 0) = 0 THEN 3 ELSE mm.puma END AS puma,
+              mm.puma AS p0, COALESCE(mm.maz, vec.zone) AS k, {fill},
+              COALESCE(vec.population, 0.0) AS new
+       FROM mm FULL OUTER JOIN vec ON mm.maz = vec.zone),
+cls AS (SELECT *, CASE WHEN totpop > 0 AND new > 0 THEN 't1' WHEN totpop = 0 AND new > 0 THEN 't2'
+                       WHEN new = 0 THEN 't3' END AS cls FROM fo),
+rat AS (SELECT p0, {rat} FROM cls WHERE cls = 't1' GROUP BY p0),
+lastr AS (SELECT * FROM rat WHERE p0 <> 0 ORDER BY p0 DESC LIMIT 1),
+fc AS (SELECT cls.region, cls.puma, cls.k, {", ".join(val(c) for c in controls)}
+       FROM cls LEFT JOIN lastr ON TRUE)"""
+
+
+def forecast_controls(measures, person, household) -> list[str]:
+    return [c for c in person if c in measures] + \
+        [c for c in household if c in measures and c not in person]
