@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from popweave.config import (AGE_COLUMNS, CONTROL_KEYS_MAZ, CONTROL_KEYS_TAZ, CONTROL_MEASURES,
                              HOUSEHOLD_MEASURES, META_MEASURES, PERSON_MEASURES)
 from popweave.functions.draws import keyed_uniform_sql
-from popweave.functions.recode import recode
+from popweave.functions.recode import recode, recode_inverse
 from popweave.functions.sizing import broadcast_if_bounded
 from popweave.functions.zones import expand_ranges
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
+from popweave.operators import outputs as out
+from popweave.operators import validation as val
 from popweave.operators import seeds as seeds_ops
 from popweave.operators.ids import assign_hhnum, dense_position, first_per_key
 from popweave.operators.impute import category_shares, resample_invalid
@@ -363,3 +365,196 @@ def q_forecast_ratios(spark, sf_dir):
     m = fc.outer_with_vector(fc.map_control_puma(maz, "maz", zones, FORECAST_CFG), "maz", vec, measures)
     m = m.withColumn(fc.CLASS, fc.zone_class(F.col("totpop"), F.col(fc.NEW)))
     return fc.forecast_ratios(m, _FC_CONTROLS).withColumnRenamed(fc.ORIG_PUMA, "puma")
+
+
+# --- outputs ---------------------------------------------------------------------------
+
+OUTPUT_CFG = replace(CFG, percent_population=0.5)
+
+
+def synthetic(spark, sf_dir):
+    return sv.synthetic_persons(spark, sf_dir, CFG), sv.synthetic_households(spark, sf_dir)
+
+
+def outputs(spark, sf_dir):
+    sp, sh = synthetic(spark, sf_dir)
+    return out.output_persons(sp, OUTPUT_CFG), out.output_households(sh, OUTPUT_CFG)
+
+
+@register("transform_persons", sq.with_outputs("SELECT * FROM tr_p"))
+def q_transform_persons(spark, sf_dir):
+    return out.transform_persons(synthetic(spark, sf_dir)[0])
+
+
+@register("transform_households", sq.with_outputs("SELECT * FROM tr_h"))
+def q_transform_households(spark, sf_dir):
+    return out.transform_households(synthetic(spark, sf_dir)[1])
+
+
+@register("recode_inverse", sq.with_outputs(f"""
+SELECT temp_id AS household_id, person_number,
+       {sq._inverse_case("occupation", CFG.person_category_map["Occupation"])} AS occupation,
+       {sq._inverse_case("employment_status", CFG.person_category_map["EmploymentStatus"])}
+         AS employment_status
+FROM syn_p"""))
+def q_recode_inverse(spark, sf_dir):
+    p = recode_inverse(synthetic(spark, sf_dir)[0], out.person_category_maps(CFG))
+    return p.select(F.col("temp_id").alias("household_id"), "person_number", "occupation",
+                    "employment_status")
+
+
+@register("scale_expansion", sq.with_outputs("SELECT household_id, expansion_factor FROM out_h"))
+def q_scale_expansion(spark, sf_dir):
+    h = out.scale_expansion(out.transform_households(synthetic(spark, sf_dir)[1]), 0.5)
+    return h.select("household_id", "expansion_factor")
+
+
+@register("output_persons", sq.with_outputs("SELECT * FROM out_p"))
+def q_output_persons(spark, sf_dir):
+    return outputs(spark, sf_dir)[0]
+
+
+@register("output_households", sq.with_outputs("SELECT * FROM out_h"))
+def q_output_households(spark, sf_dir):
+    return outputs(spark, sf_dir)[1]
+
+
+@register("synthetic_join", sq.with_outputs("SELECT * FROM sj"))
+def q_synthetic_join(spark, sf_dir):
+    p, h = outputs(spark, sf_dir)
+    return out.synthetic_join(p, h)
+
+
+@register("household_totals", sq.with_outputs("""
+SELECT household_zone AS zone, SUM(expansion_factor) AS expanded_households FROM out_h GROUP BY 1"""))
+def q_household_totals(spark, sf_dir):
+    return out.household_totals(outputs(spark, sf_dir)[1])
+
+
+@register("zonal_residence", sq.with_outputs(f"""
+SELECT household_zone AS zone, occupation, employment_status, SUM(persons) AS persons FROM sj
+WHERE employment_zone {sq.INTERNAL} AND occupation IN ('G','M','P','S') AND employment_status IN ('F','P')
+GROUP BY 1, 2, 3"""))
+def q_zonal_residence(spark, sf_dir):
+    p, h = outputs(spark, sf_dir)
+    return out.zonal_residence(out.synthetic_join(p, h), OUTPUT_CFG)
+
+
+_MERGE_COLS = ("household_id", "household_zone", "expansion_factor", "number_of_persons",
+               "dwelling_type", "vehicles", "income_class")
+
+
+@register("merge_populations", sq.with_outputs(f"""
+a AS (SELECT * EXCLUDE (vehicles), 0 AS src FROM out_h),
+b AS (SELECT household_id, household_zone, CAST(expansion_factor AS DOUBLE) AS expansion_factor,
+             number_of_persons, dwelling_type, vehicles, income_class, 1 AS src
+      FROM hh WHERE household_id % 2 = 0),
+u AS (SELECT household_id, household_zone, expansion_factor, number_of_persons, dwelling_type,
+             0 AS vehicles, income_class, src FROM a
+      UNION ALL SELECT * FROM b)
+SELECT {", ".join(_MERGE_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY src, {", ".join(_MERGE_COLS[1:])}) AS rn
+  FROM u) t WHERE rn = 1"""))
+def q_merge_populations(spark, sf_dir):
+    """Synthetic households (lacking ``vehicles``) merged with seed households of even id."""
+    h = outputs(spark, sf_dir)[1].drop("vehicles")
+    other = sv.households(spark, sf_dir).filter(F.col("household_id") % 2 == 0) \
+        .withColumn("expansion_factor", F.col("expansion_factor").cast("double")) \
+        .select(*_MERGE_COLS)
+    return out.merge_populations(h, other, ["household_id"], _MERGE_COLS)
+
+
+@register("missing_zones", "WITH " + sq.VIEWS + ", " + sq.VECTOR + """,
+present AS (SELECT zone FROM vec WHERE population > 0),
+span AS (SELECT generate_series AS zone FROM generate_series((SELECT min(zone) FROM present),
+                                                             (SELECT max(zone) FROM present)))
+SELECT zone, 0.0 AS population FROM span WHERE zone NOT IN (SELECT zone FROM present)
+UNION ALL SELECT zone, population FROM vec WHERE population > 0""")
+def q_missing_zones(spark, sf_dir):
+    """Vector zones with a population; the gaps between them are added at 0 (JN11)."""
+    vec = sv.population_vector(spark, sf_dir).filter(F.col("population") > 0)
+    return out.fill_missing_zones(vec)
+
+
+@register("replace_population", sq.with_outputs("""
+SELECT * FROM out_h WHERE household_zone NOT IN (3, 7)
+UNION ALL
+SELECT household_id, CAST(household_zone AS SMALLINT), CAST(expansion_factor AS DOUBLE),
+       CAST(number_of_persons AS TINYINT), CAST(dwelling_type AS TINYINT), CAST(vehicles AS TINYINT),
+       CAST(income_class AS TINYINT)
+FROM hh WHERE household_zone IN (3, 7)"""))
+def q_replace_population(spark, sf_dir):
+    a = outputs(spark, sf_dir)[1]
+    b = sv.households(spark, sf_dir).select(
+        "household_id", F.col("household_zone").cast("smallint").alias("household_zone"),
+        F.col("expansion_factor").cast("double").alias("expansion_factor"),
+        *[F.col(c).cast("tinyint").alias(c) for c in ("number_of_persons", "dwelling_type",
+                                                      "vehicles", "income_class")])
+    return out.replace_population(a, b, [3, 7])
+
+
+# --- validation ------------------------------------------------------------------------
+
+def validation_sides(spark, sf_dir):
+    p, h = outputs(spark, sf_dir)
+    zones = sv.zones(spark, sf_dir)
+    obs = val.validation_join(sv.persons(spark, sf_dir), sv.households(spark, sf_dir), zones, CFG)
+    syn = val.validation_join(p, h, zones, CFG)
+    return obs, syn
+
+
+@register("validation_join", sq.with_outputs(sq.VALIDATION_JOINS[1:] + """
+SELECT household_id, person_number, household_zone, pd, expansion_factor FROM obs"""))
+def q_validation_join(spark, sf_dir):
+    obs, _ = validation_sides(spark, sf_dir)
+    return obs.select("household_id", "person_number", "household_zone", "pd", "expansion_factor")
+
+
+@register("validation_persons", sq.with_outputs(sq.VALIDATION_JOINS[1:] + ",\n"
+                                                + sq.compare_sql(sq.PERSON_LABELS, "obs", "syn")))
+def q_validation_persons(spark, sf_dir):
+    obs, syn = validation_sides(spark, sf_dir)
+    return val.validation_persons(obs, syn, CFG)
+
+
+@register("validation_households", sq.with_outputs(f"""
+oh AS (SELECT * FROM hh WHERE household_zone {sq.INTERNAL}),
+sh AS (SELECT * FROM out_h WHERE household_zone {sq.INTERNAL}),
+""" + sq.compare_sql(sq.HOUSEHOLD_LABELS, "oh", "sh")))
+def q_validation_households(spark, sf_dir):
+    return val.validation_households(sv.households(spark, sf_dir), outputs(spark, sf_dir)[1], CFG)
+
+
+@register("occupation_zone_crosstab", sq.with_outputs(sq.VALIDATION_JOINS[1:] + f""",
+ot AS (SELECT pd, occupation, employment_status,
+              CASE WHEN employment_zone = {sq.ROAMING} THEN 'Roaming'
+                   WHEN employment_zone {sq.INTERNAL} THEN 'Internal' ELSE 'External' END AS employment_zone_type,
+              CAST(SUM(expansion_factor) AS DOUBLE) AS total_input FROM obs GROUP BY 1, 2, 3, 4),
+st AS (SELECT pd, occupation, employment_status,
+              CASE WHEN employment_zone = {sq.ROAMING} THEN 'Roaming'
+                   WHEN employment_zone {sq.INTERNAL} THEN 'Internal' ELSE 'External' END AS employment_zone_type,
+              CAST(SUM(expansion_factor) AS DOUBLE) AS total_synthesized FROM syn GROUP BY 1, 2, 3, 4),
+j AS (SELECT COALESCE(ot.pd, st.pd) AS pd, COALESCE(ot.occupation, st.occupation) AS occupation,
+             COALESCE(ot.employment_status, st.employment_status) AS employment_status,
+             COALESCE(ot.employment_zone_type, st.employment_zone_type) AS employment_zone_type,
+             COALESCE(total_input, 0.0) AS total_input, COALESCE(total_synthesized, 0.0) AS total_synthesized
+      FROM ot FULL OUTER JOIN st ON ot.pd = st.pd AND ot.occupation = st.occupation
+        AND ot.employment_status = st.employment_status AND ot.employment_zone_type = st.employment_zone_type)
+SELECT *, total_synthesized - total_input AS delta FROM j
+WHERE pd BETWEEN 1 AND 59 AND occupation IN ('P','G','S','M','O') AND employment_status IN ('F','P','O','J','H')"""))
+def q_occupation_zone_crosstab(spark, sf_dir):
+    obs, syn = validation_sides(spark, sf_dir)
+    return val.occupation_zone_crosstab(obs, syn, CFG)
+
+
+@register("pd_compare", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + "," + sq.SYNTHETIC + f""",
+c AS (SELECT z.pd, CAST(SUM(CAST(trunc(r.hhsize1) AS INTEGER)) AS DOUBLE) AS control
+      FROM raw r JOIN zones z ON r.taz = z.zone GROUP BY 1),
+s AS (SELECT z.pd, CAST(SUM(h.expansion_factor) AS DOUBLE) AS synthesized
+      FROM out_h h JOIN zones z ON h.household_zone = z.zone WHERE h.number_of_persons = 1 GROUP BY 1)
+SELECT COALESCE(c.pd, s.pd) AS pd, c.control, s.synthesized FROM c FULL OUTER JOIN s ON c.pd = s.pd"""))
+def q_pd_compare(spark, sf_dir):
+    """One-person-household control vs synthesized one-person households, per PD."""
+    cm = ctl.controls_maz(raw_controls(spark, sf_dir), CFG)
+    h = outputs(spark, sf_dir)[1]
+    return val.pd_compare(cm, "hhsize1", h, F.col("number_of_persons") == 1, sv.zones(spark, sf_dir))

@@ -239,3 +239,101 @@ fc AS (SELECT cls.region, cls.puma, cls.k, {", ".join(val(c) for c in controls)}
 def forecast_controls(measures, person, household) -> list[str]:
     return [c for c in person if c in measures] + \
         [c for c in household if c in measures and c not in person]
+
+
+# --- synthetic population and outputs --------------------------------------------------
+
+def _inverse_case(col: str, mapping: dict) -> str:
+    inv: dict = {}
+    for label, code in mapping.items():
+        inv[code] = label
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in inv.items())
+    return f"CASE {col} {whens} END"
+
+
+SYNTHETIC = f"""
+syn_hh AS (SELECT household_id AS temp_id, household_zone AS maz,
+                  CAST(floor(expansion_factor) * 2 AS INTEGER) AS finalweight,
+                  dwelling_type, number_of_persons, vehicles, income_class
+           FROM hh WHERE household_id % 3 <> 0),
+syn_p AS (SELECT p.household_id AS temp_id, p.person_number, p.age, p.sex, p.license, p.transit_pass,
+                 {_code_case("p.employment_status", DEFAULT_PERSON_CATEGORY_MAP["EmploymentStatus"])}
+                   AS employment_status,
+                 {_code_case("p.occupation", DEFAULT_PERSON_CATEGORY_MAP["Occupation"])} AS occupation,
+                 p.free_parking, p.student_status, p.employment_zone, h.finalweight
+          FROM ps p JOIN syn_hh h ON p.household_id = h.temp_id),
+tr_p AS (SELECT CAST(temp_id AS BIGINT) AS household_id, CAST(person_number AS INTEGER) AS person_number,
+                TRY_CAST(age AS SMALLINT) AS age, sex, license, transit_pass,
+                TRY_CAST(employment_status AS SMALLINT) AS employment_status,
+                TRY_CAST(occupation AS SMALLINT) AS occupation, free_parking, student_status,
+                TRY_CAST(employment_zone AS SMALLINT) AS employment_zone,
+                CAST(0 AS SMALLINT) AS school_zone, TRY_CAST(finalweight AS SMALLINT) AS expansion_factor
+         FROM syn_p),
+tr_h AS (SELECT CAST(temp_id AS BIGINT) AS household_id, TRY_CAST(maz AS SMALLINT) AS household_zone,
+                TRY_CAST(finalweight AS SMALLINT) AS expansion_factor,
+                TRY_CAST(number_of_persons AS TINYINT) AS number_of_persons,
+                TRY_CAST(dwelling_type AS TINYINT) AS dwelling_type,
+                TRY_CAST(vehicles AS TINYINT) AS vehicles, TRY_CAST(income_class AS TINYINT) AS income_class
+         FROM syn_hh),
+out_p AS (SELECT * REPLACE (
+            {_inverse_case("employment_status", DEFAULT_PERSON_CATEGORY_MAP["EmploymentStatus"])}
+              AS employment_status,
+            {_inverse_case("occupation", DEFAULT_PERSON_CATEGORY_MAP["Occupation"])} AS occupation,
+            CAST(expansion_factor AS DOUBLE) * CAST(2.0 AS DOUBLE) AS expansion_factor)
+          FROM tr_p),
+out_h AS (SELECT * REPLACE (CAST(expansion_factor AS DOUBLE) * CAST(2.0 AS DOUBLE) AS expansion_factor)
+          FROM tr_h),
+sj AS (SELECT p.* RENAME (expansion_factor AS persons), h.household_zone,
+              h.expansion_factor AS household_expansion, h.number_of_persons, h.dwelling_type,
+              h.vehicles, h.income_class
+       FROM out_p p JOIN out_h h ON p.household_id = h.household_id)"""
+
+
+def with_outputs(body: str) -> str:
+    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
+    return "WITH " + VIEWS + "," + SYNTHETIC + sep + body
+
+
+def _label_sums(labels: list[tuple[str, str]], src: str, weight: str, name: str) -> str:
+    cols = ", ".join(f"CAST(COALESCE(SUM(CASE WHEN {cond} THEN {weight} END), 0) AS DOUBLE) AS v{i}"
+                     for i, (_, cond) in enumerate(labels))
+    unp = " UNION ALL ".join(f"SELECT '{lab}' AS label, v{i} AS {name} FROM w_{name}"
+                             for i, (lab, _) in enumerate(labels))
+    return f"w_{name} AS (SELECT {cols} FROM {src}),\nl_{name} AS ({unp})"
+
+
+PERSON_LABELS = (
+    [("Population", "TRUE"), ("Male", "sex = 'M'"), ("Female", "sex = 'F'")]
+    + [(f"Occupation {v}", f"occupation = '{v}'") for v in "PGSMO"]
+    + [(f"EmploymentStatus {v}", f"employment_status = '{v}'") for v in "FPOHJ"]
+    + [("EmploymentZone Internal", f"employment_zone {INTERNAL}"),
+       ("EmploymentZone Roaming", f"employment_zone = {ROAMING}"),
+       ("EmploymentZone External", f"employment_zone {EXTERNAL}")]
+    + [(f"StudentStatus {v}", f"student_status = '{v}'") for v in "SPO"]
+    + [(f"Age {lo} - {hi}", f"age BETWEEN {lo} AND {hi}") for lo, hi in AGE_BINS]
+)
+HOUSEHOLD_LABELS = (
+    [("Total Households", "TRUE")]
+    + [(f"Income Class {k}", f"income_class = {k}") for k in range(1, 8)]
+    + [(f"Number of Persons {k}", f"number_of_persons = {k}") for k in (1, 2, 3)]
+    + [("Number of Persons 4+", "number_of_persons >= 4")]
+)
+
+VALIDATION_JOINS = f"""
+obs AS (SELECT p.*, h.household_zone, h.expansion_factor AS household_expansion, h.income_class,
+               h.number_of_persons, z.pd
+        FROM ps p JOIN hh h ON p.household_id = h.household_id
+        JOIN zones z ON h.household_zone = z.zone
+        WHERE z.pd > 0 AND h.household_zone {INTERNAL}),
+syn AS (SELECT p.*, h.household_zone, h.expansion_factor AS household_expansion, h.income_class,
+               h.number_of_persons, z.pd
+        FROM out_p p JOIN out_h h ON p.household_id = h.household_id
+        JOIN zones z ON h.household_zone = z.zone
+        WHERE z.pd > 0 AND h.household_zone {INTERNAL})"""
+
+
+def compare_sql(labels, obs_src: str, syn_src: str) -> str:
+    return (_label_sums(labels, obs_src, "expansion_factor", "observed_total") + ",\n"
+            + _label_sums(labels, syn_src, "expansion_factor", "synthesized_total") + """
+SELECT o.label, o.observed_total, s.synthesized_total, o.observed_total - s.synthesized_total AS abs_difference
+FROM l_observed_total o JOIN l_synthesized_total s ON o.label = s.label""")
