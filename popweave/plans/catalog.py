@@ -18,13 +18,16 @@ from popweave.functions.zones import expand_ranges
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
 from popweave.operators import outputs as out
+from popweave.operators import quality as qual
 from popweave.operators import validation as val
+from popweave.operators import zonegroups as zg
 from popweave.operators import seeds as seeds_ops
 from popweave.operators.ids import assign_hhnum, dense_position, first_per_key
 from popweave.operators.impute import category_shares, resample_invalid
 from popweave.operators.quality import duplicate_keys
 from popweave.operators.sampling import slice_population
 from popweave.plans import seeds as seedplan
+from popweave.session import scratch_dir
 from popweave.sources import survey_sql as sq
 from popweave.sources import survey_views as sv
 
@@ -558,3 +561,80 @@ def q_pd_compare(spark, sf_dir):
     cm = ctl.controls_maz(raw_controls(spark, sf_dir), CFG)
     h = outputs(spark, sf_dir)[1]
     return val.pd_compare(cm, "hhsize1", h, F.col("number_of_persons") == 1, sv.zones(spark, sf_dir))
+
+
+# --- zone groups, repair, lenient load -------------------------------------------------
+
+@register("zone_running_population", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + """
+SELECT maz AS zone, CAST(trunc(totpop) AS INTEGER) AS population,
+       SUM(CAST(trunc(totpop) AS INTEGER)) OVER (ORDER BY maz ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS running
+FROM raw"""))
+def q_zone_running_population(spark, sf_dir):
+    zp = ctl.controls_maz(raw_controls(spark, sf_dir), CFG) \
+        .select(F.col("maz").alias("zone"), F.col("totpop").alias("population"))
+    return zg.running_population(zp)
+
+
+@register("balanced_pumas", "WITH RECURSIVE " + sq.SEEDS + "," + sq.raw_controls_cte(CONTROL_MEASURES)[1:] + """,
+c AS (SELECT maz AS zone, row_number() OVER (ORDER BY maz) AS pos,
+             SUM(CAST(trunc(totpop) AS INTEGER)) OVER (ORDER BY maz ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               AS cum FROM raw),
+lim AS (SELECT CAST(MAX(cum) AS DOUBLE) / CAST(3 AS DOUBLE) AS l FROM c),
+r(pos, zone, cum, grp, start) AS (
+  SELECT pos, zone, cum, 1, cum FROM c WHERE pos = 1
+  UNION ALL
+  SELECT c.pos, c.zone, c.cum,
+         CASE WHEN CAST(r.cum - r.start AS DOUBLE) > lim.l THEN r.grp + 1 ELSE r.grp END,
+         CASE WHEN CAST(r.cum - r.start AS DOUBLE) > lim.l THEN r.cum ELSE r.start END
+  FROM r JOIN c ON c.pos = r.pos + 1 CROSS JOIN lim)
+SELECT zone, CAST(grp AS INTEGER) AS "group" FROM r""")
+def q_balanced_pumas(spark, sf_dir):
+    """Internal zones split into 3 contiguous groups of near-equal control population."""
+    zp = ctl.controls_maz(raw_controls(spark, sf_dir), CFG) \
+        .select(F.col("maz").alias("zone"), F.col("totpop").alias("population"))
+    return zg.balanced_groups(zp, 3)
+
+
+@register("repair_household_size", "WITH " + sq.VIEWS + f""",
+j AS (SELECT p.*, h.number_of_persons FROM ps p JOIN hh h ON p.household_id = h.household_id),
+n AS (SELECT *, COUNT(*) OVER (PARTITION BY household_id) AS cnt,
+             row_number() OVER (PARTITION BY household_id
+                                ORDER BY person_number, {", ".join(sq.PERSON_REST)}, number_of_persons) AS rn
+      FROM j)
+SELECT household_id,
+       CASE WHEN number_of_persons <> cnt THEN CAST(rn AS INTEGER) ELSE person_number END AS person_number,
+       person_number AS original_person_number,
+       CASE WHEN number_of_persons <> cnt THEN CAST(cnt AS INTEGER) ELSE number_of_persons END AS number_of_persons
+FROM n""")
+def q_repair_household_size(spark, sf_dir):
+    h = sv.households(spark, sf_dir).select("household_id", "number_of_persons")
+    j = sv.persons(spark, sf_dir).join(h, "household_id", "inner")
+    r = qual.repair_household_size(j)
+    return r.select("household_id", "person_number", "original_person_number", "number_of_persons")
+
+
+@register("load_empty_as_zero", "WITH " + sq.VIEWS + """
+SELECT household_id, household_zone, dwelling_type, number_of_persons, vehicles,
+       CASE WHEN income_class = 7 THEN 0 ELSE income_class END AS income_class,
+       CAST(expansion_factor AS DOUBLE) AS expansion_factor
+FROM hh""")
+def q_load_empty_as_zero(spark, sf_dir):
+    """Households written as a seed CSV with invalid income left empty, read back with
+    the lenient loader (empty integer field -> 0)."""
+    import uuid
+
+    from popweave.sources.readers import read_household_seed
+    from popweave.sources.sinks import write_csv
+    h = sv.households(spark, sf_dir).select(
+        F.col("household_id").alias("HouseholdId"), F.col("household_zone").alias("HouseholdZone"),
+        F.col("dwelling_type").alias("DwellingType"), F.col("number_of_persons").alias("NumberOfPersons"),
+        F.col("vehicles").alias("Vehicles"),
+        F.when(F.col("income_class") != 7, F.col("income_class")).alias("IncomeClass"),
+        F.col("expansion_factor").cast("double").alias("ExpansionFactor"))
+    path = f"{scratch_dir(spark)}/household-seed-{uuid.uuid4().hex}"
+    write_csv(h, path)
+    from popweave.sources.readers import read_csv
+    from popweave.sources import schemas as S
+    df = read_csv(spark, path, S.HOUSEHOLD_SEED, empty_as_zero=True)
+    return df.select(*[F.col(a).alias(b) for a, b in S.SEED_HOUSEHOLD_RENAMES.items()])

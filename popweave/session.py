@@ -47,3 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="popweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder for intermediate tables: under the session's (shared) checkpoint dir."""
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/popweave-tables"
