@@ -160,8 +160,12 @@ def forecast_meta(meta: DataFrame, maz_values: DataFrame) -> DataFrame:
 def apply_population_vector(maz: DataFrame, taz: DataFrame, meta: DataFrame,
                             vector: DataFrame, zones: DataFrame, cfg: RunConfig,
                             fallback: str = "last_group") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """FC5: (maz, taz, meta) re-scaled to the vector."""
+    """FC5: (maz, taz, meta) re-scaled to the vector.
+
+    The unceiled MAZ values feed all three outputs and two scalar subqueries; they are
+    zone-sized, so they are checkpointed once instead of being recomputed per use."""
     vals, controls = forecast_zone_values(maz, vector, zones, cfg, fallback)
+    vals = vals.checkpoint(eager=True)
     return (vals.select(*[ceil_int(c) for c in vals.columns]),
             forecast_taz(taz, vals, controls, vector, zones, cfg),
             forecast_meta(meta, vals))

@@ -9,7 +9,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popweave.config import (AGE_COLUMNS, CONTROL_KEYS_MAZ, CONTROL_KEYS_TAZ, CONTROL_MEASURES,
+from popweave.config import (AGE_BINS, AGE_COLUMNS, CONTROL_KEYS_MAZ, CONTROL_KEYS_TAZ, CONTROL_MEASURES,
                              HOUSEHOLD_MEASURES, META_MEASURES, PERSON_MEASURES)
 from popweave.functions.draws import keyed_uniform_sql
 from popweave.functions.recode import recode, recode_inverse
@@ -19,6 +19,7 @@ from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
 from popweave.operators import outputs as out
 from popweave.operators import quality as qual
+from popweave.operators import synthesis as syn
 from popweave.operators import validation as val
 from popweave.operators import zonegroups as zg
 from popweave.operators import seeds as seeds_ops
@@ -307,7 +308,7 @@ def zero_zone(controls: DataFrame, key: str, zone: int) -> DataFrame:
 
 
 def forecast_inputs(spark, sf_dir):
-    raw = raw_controls(spark, sf_dir)
+    raw = raw_controls(spark, sf_dir).checkpoint(eager=True)  # zone-sized, used 3x + subqueries
     maz = zero_zone(ctl.controls_maz(raw, CFG), "maz", 5)
     return (maz, ctl.controls_taz(raw, CFG), ctl.controls_meta(raw, CFG),
             sv.population_vector(spark, sf_dir), sv.zones(spark, sf_dir))
@@ -638,3 +639,144 @@ def q_load_empty_as_zero(spark, sf_dir):
     from popweave.sources import schemas as S
     df = read_csv(spark, path, S.HOUSEHOLD_SEED, empty_as_zero=True)
     return df.select(*[F.col(a).alias(b) for a, b in S.SEED_HOUSEHOLD_RENAMES.items()])
+
+
+# --- synthesis -------------------------------------------------------------------------
+
+CONSTRAINTS = syn.default_constraints(CFG)
+
+
+def synthesis_seed(spark, sf_dir):
+    """(households with maz/taz/region and household weight, coded persons) of the
+    sampled internal seed."""
+    s = prepared(spark, sf_dir)
+    ph = seedplan.sampled(s, CFG)
+    hh = ph.groupBy("household_id").agg(
+        F.first("household_zone").alias("maz"), F.first("household_weight").alias("weight"),
+        F.first("income_class").alias("income_class"), F.first("puma").alias("puma"),
+        F.first("number_of_persons").alias("number_of_persons"),
+        F.first("dwelling_type").alias("dwelling_type"), F.first("vehicles").alias("vehicles"))
+    hh = hh.withColumn("taz", F.col("maz")).withColumn("region", F.lit(1))
+    return hh, seedplan.processed_persons(ph, CFG)
+
+
+def _inc_sql() -> str:
+    occ, emp = CFG.person_category_map["Occupation"], CFG.person_category_map["EmploymentStatus"]
+    person = ([(v, f"occupation = '{v}'") for v in "GSMPO"]
+              + [(f"E_{v}", f"employment_status = '{v}'") for v in "OFP"]
+              + [("employment_zone_0", "employment_zone = 0"),
+                 ("employment_zone_internal", f"employment_zone {sq.INTERNAL}"),
+                 ("employment_zone_external", f"employment_zone {sq.EXTERNAL} AND employment_zone <> {sq.ROAMING}"),
+                 ("employment_zone_roaming", f"employment_zone = {sq.ROAMING}")]
+              + [(n, f"age BETWEEN {lo} AND {hi}") for (lo, hi), n in zip(AGE_BINS, AGE_COLUMNS)]
+              + [(f"S_{v}", f"student_status = '{v}'") for v in "SPO"]
+              + [("totpop", "expansion_factor >= 0 AND expansion_factor < 99999999")])
+    assert occ and emp
+    counts = ", ".join(f"CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS INTEGER) AS inc_{n}" for n, p in person)
+    hhc = {"totalhh": "household_weight > -100", **{f"income_class_{k}": f"income_class = {k}" for k in range(1, 7)}}
+    cols = []
+    for c in CONSTRAINTS:
+        if c.table == "household":
+            cols.append(f"CASE WHEN {hhc[c.control]} THEN 1 ELSE 0 END AS inc_{c.control}")
+        else:
+            cols.append(f"inc_{c.control}")
+    return f"""pc AS (SELECT household_id, {counts} FROM phi GROUP BY household_id),
+h AS (SELECT DISTINCT household_id, household_zone, household_weight, income_class FROM phi)
+SELECT h.household_id, h.household_zone AS maz, {", ".join(cols)}
+FROM h JOIN pc ON h.household_id = pc.household_id"""
+
+
+@register("incidence", sq.with_seeds(_inc_sql()))
+def q_incidence(spark, sf_dir):
+    hh, persons = synthesis_seed(spark, sf_dir)
+    inc = syn.incidence(hh, persons, CONSTRAINTS)
+    return inc.select("household_id", "maz", *[f"inc_{c.control}" for c in CONSTRAINTS])
+
+
+def _targets_sql() -> str:
+    parts = []
+    for c in CONSTRAINTS:
+        src = {"maz": "raw r", "taz": "tz r", "meta": "mt r"}[c.level]
+        join = {"maz": "", "taz": " ON r.taz = k.maz", "meta": " ON r.region = k.region"}[c.level]
+        if c.level == "maz":
+            parts.append(f"SELECT r.maz, '{c.control}' AS control, 'maz' AS level, "
+                         f"CAST(trunc(r.{c.control}) AS DOUBLE) AS target FROM raw r")
+        else:
+            parts.append(f"SELECT k.maz, '{c.control}' AS control, '{c.level}' AS level, "
+                         f"CAST(trunc(r.{c.control}) AS DOUBLE) AS target FROM raw k JOIN {src}{join}")
+    return f"""tz AS (SELECT taz, {", ".join(f"SUM({m}) AS {m}" for m in CONTROL_MEASURES)} FROM raw GROUP BY taz),
+mt AS (SELECT region, {", ".join(f"SUM({m}) AS {m}" for m in META_MEASURES)} FROM raw GROUP BY region)
+""" + "\nUNION ALL ".join(parts)
+
+
+@register("constraint_targets", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + ",\n" + _targets_sql()))
+def q_constraint_targets(spark, sf_dir):
+    """Each constraint's target for every MAZ, read at the constraint's level (SY1)."""
+    raw = raw_controls(spark, sf_dir)
+    cm, ct, cmeta = ctl.controls_maz(raw, CFG), ctl.controls_taz(raw, CFG), ctl.controls_meta(raw, CFG)
+    t = syn.targets(cm.select("maz", "taz", "region"), cm, ct, cmeta, CONSTRAINTS)
+    rows = F.array(*[F.struct(F.lit(c.control).alias("control"), F.lit(c.level).alias("level"),
+                              F.col(f"t_{i}").alias("target")) for i, c in enumerate(CONSTRAINTS)])
+    return t.select("maz", F.inline(rows))
+
+
+@register("integerize", sq.with_seeds("""
+g AS (SELECT household_zone, SUM(expansion_factor) AS tot FROM hzi GROUP BY 1),
+s AS (SELECT h.household_id, h.household_zone, CAST(floor(g.tot) AS BIGINT) AS t,
+             CAST(h.expansion_factor AS DOUBLE) * CAST(CAST(floor(g.tot) AS BIGINT) AS DOUBLE)
+               / CAST(g.tot AS DOUBLE) AS sc
+      FROM hzi h JOIN g USING (household_zone)),
+f AS (SELECT *, floor(sc) AS fl, sc - floor(sc) AS fr FROM s),
+r AS (SELECT *, SUM(fl) OVER (PARTITION BY household_zone) AS sfl,
+             row_number() OVER (PARTITION BY household_zone ORDER BY fr DESC, household_id) AS rn FROM f)
+SELECT household_id, household_zone,
+       CAST(fl + CASE WHEN rn - 1 < t - sfl THEN 1 ELSE 0 END AS INTEGER) AS finalweight
+FROM r"""))
+def q_integerize(spark, sf_dir):
+    """Seed household weights integerised per zone to the zone's truncated total (SY4)."""
+    h = prepared(spark, sf_dir).households.select("household_id", "household_zone", "expansion_factor")
+    r = syn.integerize(h, "household_zone", "expansion_factor", target=F.floor(F.col("_tot")))
+    return r.select("household_id", "household_zone", "finalweight")
+
+
+BALANCE_ITERATIONS = 20
+
+
+def balanced(spark, sf_dir, iterations: int = BALANCE_ITERATIONS):
+    """Seed households balanced to the forecast controls (the synthesis run)."""
+    maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir)
+    fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)
+    tgt = syn.targets(fmaz.select("maz", "taz", "region"), fmaz, ftaz, fmeta, CONSTRAINTS)
+    tgt = tgt.checkpoint(eager=True)  # zone-sized; cut the lineage once
+    hh, persons = synthesis_seed(spark, sf_dir)
+    hh_inc = syn.incidence(hh, persons, CONSTRAINTS).checkpoint(eager=True)
+    W, hist = syn.balance(syn.signatures(hh_inc, CONSTRAINTS), tgt, CONSTRAINTS, CFG,
+                          iterations=iterations)
+    return hh_inc, persons, W, tgt, hist
+
+
+@register("balance_weights")
+def q_balance_weights(spark, sf_dir):
+    hh_inc, _, W, _, _ = balanced(spark, sf_dir)
+    hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
+    return hw.select("household_id", "maz", F.col("weight").cast("double").alias("seed_weight"),
+                     "balanced_weight")
+
+
+@register("balance_residual")
+def q_balance_residual(spark, sf_dir):
+    _, _, W, tgt, _ = balanced(spark, sf_dir)
+    return syn.residual_report(W, tgt, CONSTRAINTS)
+
+
+@register("synthesize")
+def q_synthesize(spark, sf_dir):
+    hh_inc, persons, W, tgt, _ = balanced(spark, sf_dir)
+    hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
+    t = tgt.select("maz", F.col("t_0").alias("_t_hh"))
+    hw = hw.join(F.broadcast(t), "maz", "left")
+    fin = syn.integerize(hw, "maz", "balanced_weight",
+                         target=F.coalesce(F.round(F.col("_t_hh"), 0), F.round(F.col("_tot"), 0)))
+    hh, _ = syn.synthesize(fin, persons)
+    return hh.select("temp_id", "maz", "household_id", "finalweight", "dwelling_type",
+                     "number_of_persons", "vehicles", "income_class")
