@@ -208,8 +208,8 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
         if r <= tolerance:
             fac.unpersist()
             break
+        # persisted first so the checkpoint write reads the computed rows, not a recompute
         nxt = _update(W, fac, imp, cfg.max_expansion_factor).persist()
-        nxt.count()
         W_next = nxt.checkpoint(eager=True)
         nxt.unpersist()
         fac.unpersist()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,10 +47,13 @@ def prepare(zones: DataFrame, households: DataFrame, persons: DataFrame,
     zone map knows), exactly as the filter follows the imputation there.
     """
     zmap = broadcast_if_bounded(zone_map(zones, cfg))
-    hz = households_with_zone(households, zmap)
-    hz = resample_invalid(hz, HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
-    ph = persons_households(persons, hz)
-    ph = resample_invalid(ph, PERSON_IMPUTE, "expansion_factor", list(PERSON_KEY))
+    # Each imputation reads its input twice (shares, then the draw). The inputs are
+    # persisted so the scan and the person-household join run once; lost cached blocks
+    # are rebuilt from lineage.
+    hz0 = households_with_zone(households, zmap).persist(StorageLevel.MEMORY_AND_DISK)
+    hz = resample_invalid(hz0, HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
+    ph0 = persons_households(persons, hz).persist(StorageLevel.MEMORY_AND_DISK)
+    ph = resample_invalid(ph0, PERSON_IMPUTE, "expansion_factor", list(PERSON_KEY))
     return PreparedSeeds(zmap,
                          filter_internal(hz, "household_zone", cfg),
                          filter_internal(ph, "household_zone", cfg))
