@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popweave.config import NEW_ZONE_PUMA, NEW_ZONE_REGION, RunConfig
+from popweave.functions.sizing import broadcast_if_bounded
 from popweave.functions.zones import assign_group
 
 KEYS = ("region", "puma", "taz", "maz")
@@ -39,7 +40,7 @@ def map_control_puma(controls: DataFrame, zone_key: str, zones: DataFrame,
     """Controls inner-joined to the zone map (JN3); puma re-derived from the PD groups,
     last match wins, unchanged when no group holds the PD (PRJ12 on controls)."""
     z = zones.select(F.col("zone").alias(zone_key), "pd")
-    j = controls.join(F.broadcast(z), zone_key, "inner")
+    j = controls.join(broadcast_if_bounded(z), zone_key, "inner")
     return j.withColumn("puma", assign_group("pd", cfg.pd_groups, F.col("puma"))).drop("pd")
 
 
@@ -97,7 +98,7 @@ def forecast_zone_values(maz: DataFrame, vector: DataFrame, zones: DataFrame, cf
         m = m.withColumn("_r", last.select(packed.alias("_r")).scalar())
     elif fallback == "own_group":
         own = ratios.select(F.col(ORIG_PUMA).alias("_rp"), packed.alias("_r"))
-        m = m.join(F.broadcast(own), m["puma"] == own["_rp"], "left").drop("_rp")
+        m = m.join(broadcast_if_bounded(own), m["puma"] == own["_rp"], "left").drop("_rp")
     else:
         raise ValueError(f"unknown fallback {fallback!r}")
 

@@ -33,7 +33,7 @@ def dense_position(df: DataFrame, order_cols: Sequence[str], out_col: str,
     # one row per partition: the un-partitioned window runs over n rows, not over records
     offsets = counts.select("_pid", "_first",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = ranged.join(F.broadcast(offsets), "_pid", "inner")
+    out = ranged.join(F.broadcast(offsets), "_pid", "inner")  # exactly n rows
     return out.withColumn(out_col, F.col("_off") + (F.col("_mid") - F.col("_first")) + 1) \
               .drop("_pid", "_mid", "_first", "_off")
 

@@ -42,7 +42,7 @@ def sampled_household_ids(persons_hh: DataFrame, frac: float, key_cols: Sequence
     from pyspark.sql import Window
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(group, "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    ranked = pos.join(F.broadcast(offs), group, "inner")
+    ranked = pos.join(F.broadcast(offs), group, "inner")  # one row per puma (config groups)
     keep = F.col("_pos") - F.col("_off") <= F.bround(F.col("_n") * F.lit(frac), 0)
     return ranked.filter(keep).select("household_id").distinct()
 

@@ -16,7 +16,7 @@ clipped to [0.1, 10]. A zero target with positive achieved zeroes the incident w
 a zero achieved leaves the factor at 1. Weights are capped at ``max_expansion_factor``
 x the number of seed households behind the signature.
 
-Lineage: the weight frame is checkpointed to the session's checkpoint directory every
+Lineage: the weight frame is written under the session's checkpoint folder every
 iteration, so plans stay one iteration deep and a lost executor recomputes at most
 one iteration.
 """
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popweave.config import AGE_BINS, AGE_COLUMNS, RunConfig
+from popweave.functions.sizing import DIMENSION_MAX_ROWS
 from popweave.functions.zones import in_ranges
 from popweave.operators.ids import dense_position
 
@@ -165,8 +166,10 @@ def factors(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -
     return j.select("maz", *cols)
 
 
-def _update(W: DataFrame, fac: DataFrame, imp: list[float], cap: float) -> DataFrame:
-    j = W.join(F.broadcast(fac), "maz", "inner")  # one row per MAZ: a zone dimension
+def _update(W: DataFrame, fac: DataFrame, imp: list[float], cap: float,
+            small: bool = True) -> DataFrame:
+    # fac has one row per MAZ; broadcast when the MAZ count passed the size check
+    j = W.join(F.broadcast(fac) if small else fac, "maz", "inner")
     inc = F.col("inc")
     num = sum((F.lit(imp[i]) * inc[i] * F.col(f"lnf_{i}") for i in range(len(imp))), F.lit(0.0))
     den = sum((F.lit(imp[i]) * inc[i] for i in range(len(imp))), F.lit(0.0))
@@ -191,29 +194,43 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
     frame and the residual history. The driver loop only chains DataFrame steps; the
     one value it reads per iteration is the maximum residual.
 
-    Each iteration's weights are checkpointed (reliable, to the session's checkpoint
-    folder): the next plan starts from that file, so neither the lineage nor the plan
-    grows with the iteration count, and a lost executor costs one iteration at most.
+    Each iteration's weights are written as a Parquet table under the session's
+    checkpoint folder and read back: the next plan starts from that file, so neither
+    the lineage nor the plan grows with the iteration count, and a lost executor costs
+    one iteration at most. An iteration is two jobs: the residual read (aggregate of
+    the weights, zone-sized result) and the write of the updated weights.
     """
+    import uuid
+
+    from popweave.session import scratch_dir
+
+    spark = sig.sparkSession
+    base = f"{scratch_dir(spark)}/balance-{uuid.uuid4().hex}"
     k = len(constraints)
     imp = scaled_importance(constraints)
-    tgt = F.broadcast(tgt)  # one row per MAZ
-    W = sig.checkpoint(eager=True)
+    # targets and factors have one row per MAZ: broadcast them when the MAZ count is
+    # within the dimension bound (checked once), else let the planner shuffle-join
+    small = tgt.limit(DIMENSION_MAX_ROWS + 1).count() <= DIMENSION_MAX_ROWS
+    if small:
+        tgt = F.broadcast(tgt)
+
+    def materialise(df: DataFrame, step: int) -> DataFrame:
+        path = f"{base}/w{step}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    W = materialise(sig, 0)
     history: list[float] = []
-    for _ in range(iterations):
-        # zone-sized factor table; cached for the residual read and the update
+    for it in range(iterations):
+        # zone-sized; cached between the residual read and the update
         fac = factors(achieved(W, k), tgt, constraints).persist()
         r = max_residual(fac, k)
         history.append(r)
         if r <= tolerance:
             fac.unpersist()
             break
-        # persisted first so the checkpoint write reads the computed rows, not a recompute
-        nxt = _update(W, fac, imp, cfg.max_expansion_factor).persist()
-        W_next = nxt.checkpoint(eager=True)
-        nxt.unpersist()
+        W = materialise(_update(W, fac, imp, cfg.max_expansion_factor, small), it + 1)
         fac.unpersist()
-        W = W_next
     return W, history
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popweave.config import AGE_BINS, RunConfig
+from popweave.functions.sizing import broadcast_if_bounded
 from popweave.functions.zones import employment_zone_type, in_ranges
 from popweave.operators.seeds import filter_positive_pd
 
@@ -20,7 +21,7 @@ def validation_join(persons: DataFrame, households: DataFrame, zones: DataFrame,
     """persons x households x zones (zones broadcast; a dimension), ``pd > 0`` and home
     zone internal (JN8, PRJ16, PRJ14). The person weight keeps ``expansion_factor``."""
     h = households.withColumnRenamed("expansion_factor", "household_expansion")
-    z = F.broadcast(zones.select(F.col("zone").alias("household_zone"), "pd"))
+    z = broadcast_if_bounded(zones.select(F.col("zone").alias("household_zone"), "pd"))
     j = persons.join(h, "household_id", "inner").join(z, "household_zone", "inner")
     return filter_positive_pd(j).filter(in_ranges("household_zone", cfg.internal))
 
@@ -112,7 +113,7 @@ def pd_compare(controls_maz: DataFrame, control_col: str, households: DataFrame,
                predicate: Column, zones: DataFrame) -> DataFrame:
     """Per PD: a control column summed over zones vs the synthesized households meeting
     ``predicate`` (AG23, JN9, JN13). Outer on PD; a PD missing on one side stays null."""
-    z = F.broadcast(zones.select("zone", "pd"))
+    z = broadcast_if_bounded(zones.select("zone", "pd"))
     c = (controls_maz.join(z, controls_maz["taz"] == z["zone"], "inner")
          .groupBy("pd").agg(F.sum(control_col).cast("double").alias("control")))
     h = (households.filter(predicate)

@@ -774,7 +774,7 @@ def q_synthesize(spark, sf_dir):
     hh_inc, persons, W, tgt, _ = balanced(spark, sf_dir)
     hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
     t = tgt.select("maz", F.col("t_0").alias("_t_hh"))
-    hw = hw.join(F.broadcast(t), "maz", "left")
+    hw = hw.join(broadcast_if_bounded(t), "maz", "left")
     fin = syn.integerize(hw, "maz", "balanced_weight",
                          target=F.coalesce(F.round(F.col("_t_hh"), 0), F.round(F.col("_tot"), 0)))
     hh, _ = syn.synthesize(fin, persons)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from popweave.config import RunConfig
+from popweave.functions.sizing import broadcast_if_bounded
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
 from popweave.operators import outputs as out
@@ -144,7 +145,7 @@ def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: in
         f"{out_dir}/tables/balance_residual")
     hw = syn.household_weights(hh_inc, W, constraints)
     t_hh = tgt.select("maz", F.col("t_0").alias("_t_hh"))
-    fin = syn.integerize(hw.join(F.broadcast(t_hh), "maz", "left"), "maz", "balanced_weight",
+    fin = syn.integerize(hw.join(broadcast_if_bounded(t_hh), "maz", "left"), "maz", "balanced_weight",
                          target=F.coalesce(F.round("_t_hh", 0), F.round("_tot", 0)))
     sh, sp = syn.synthesize(fin, persons)
     sh.select("temp_id", "maz", "finalweight", "household_id", "dwelling_type", "number_of_persons",
