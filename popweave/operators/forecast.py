@@ -102,9 +102,14 @@ def forecast_zone_values(maz: DataFrame, vector: DataFrame, zones: DataFrame, cf
     else:
         raise ValueError(f"unknown fallback {fallback!r}")
 
+    # totpop of a zero-base zone becomes the new population as soon as any non-zero puma
+    # has t1 zones (the surveyed loop sets it inside the puma loop); other controls need
+    # the ratio row chosen above
+    any_ratio = ratios.select((F.count(F.when(F.col(ORIG_PUMA) != 0, 1)) > 0).alias("_a")).scalar()
+    m = m.withColumn("_any", any_ratio)
     has = F.col("_r").isNotNull()
     cls = F.col(CLASS)
-    new_totpop = (F.when(has, F.col(NEW)).otherwise(F.col(BASE)) if BASE in person
+    new_totpop = (F.when(F.col("_any"), F.col(NEW)).otherwise(F.col(BASE)) if BASE in person
                   else F.col(BASE))
 
     def value(c: str) -> Column:

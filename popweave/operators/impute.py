@@ -75,15 +75,26 @@ def _bounds_by_group(shares: DataFrame, columns: Sequence[ImputeSpec], group: st
 
 
 def resample_invalid(df: DataFrame, columns: Sequence[ImputeSpec], weight: str,
-                     key_cols: Sequence[str], group: str = "puma") -> DataFrame:
+                     key_cols: Sequence[str], group: str = "puma",
+                     pool: str | None = None) -> DataFrame:
     """Replace each spec's invalid code by a keyed draw from its group's valid shares.
 
-    A group with no valid value keeps the invalid code (nothing to draw from).
-    Types are kept: integer columns get integer draws.
+    ``pool=None`` draws from the record's own group (the documented intent, D3);
+    ``pool="global:<g>"`` draws every record from group ``g``'s shares (the surveyed
+    literal behaviour with ``g = 1``). A group with no valid value keeps the invalid code
+    (nothing to draw from). Types are kept: integer columns get integer draws.
     """
     shares = category_shares(df, columns, weight, group)
-    bounds = F.broadcast(_bounds_by_group(shares, columns, group))  # one row per group id
-    out = df.join(bounds, group, "left")
+    bounds = _bounds_by_group(shares, columns, group).withColumnRenamed(group, "_pool")
+    bounds = F.broadcast(bounds)  # one row per group id
+    if pool is None:
+        key = F.col(group)
+    elif pool.startswith("global:"):
+        key = F.lit(int(pool.split(":", 1)[1]))
+    else:
+        raise ValueError(f"unknown pool {pool!r}")
+    out = df.withColumn("_pool", key.cast(dict(df.dtypes)[group])).join(bounds, "_pool", "left") \
+            .drop("_pool")
     for s in columns:
         salt = s.salt or s.column
         u = keyed_uniform(salt, *key_cols)

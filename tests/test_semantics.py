@@ -146,7 +146,9 @@ def test_D6_zero_base_zones_use_last_puma_ratio(spark):
     # t2 zone 3 (puma 2): last non-zero puma is 2 -> male ratio 150/300
     assert last[3] == (50, 25)
     # new zone 7 gets puma 3 (D9); last_group still uses puma 2's ratio, own_group has none
-    assert last[7] == (80, 40) and own[7] == (0, 0)
+    # (totpop is still the new population; other controls keep their value)
+    assert last[7] == (80, 40) and own[7] == (80, 0)
+    assert own[3] == (50, 25)
 
 
 def test_D7_totpop_is_written_before_other_columns(spark):
@@ -284,3 +286,12 @@ def test_merge_is_idempotent(spark):
     m = out.merge_populations(a, b, ["household_id"], cols)
     assert rows(m, *cols) == [(1, 2.0, 0), (2, 3.0, 0), (3, 4.0, 2)]
     assert rows(out.merge_populations(m, b, ["household_id"], cols), *cols) == rows(m, *cols)
+
+
+def test_D3_literal_global_pool(spark):
+    df = spark.createDataFrame(
+        [(i, 1, "A", Decimal(1)) for i in range(5)] + [(100 + i, 2, "C", Decimal(1)) for i in range(5)]
+        + [(200 + i, 2, "9", Decimal(1)) for i in range(10)],
+        "id long, puma int, occupation string, w decimal(18,6)")
+    r = resample_invalid(df, [ImputeSpec("occupation", "9")], "w", ["id"], pool="global:1")
+    assert {o for (o,) in rows(r.filter("id >= 200"), "occupation")} == {"A"}
