@@ -189,10 +189,14 @@ def max_residual(fac: DataFrame, k: int) -> float:
 
 
 def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], cfg: RunConfig,
-            iterations: int = 50, tolerance: float = 1e-4) -> tuple[DataFrame, list[float]]:
-    """Fixed-iteration balancing with a residual stop (SY3). Returns the final weight
-    frame and the residual history. The driver loop only chains DataFrame steps; the
-    one value it reads per iteration is the maximum residual.
+            iterations: int = 50, tolerance: float = 1e-4,
+            patience: int = 5) -> tuple[DataFrame, list[float]]:
+    """Balancing with a residual stop (SY3): at most ``iterations`` updates; stops when
+    the largest relative residual is below ``tolerance``, or when it has not improved
+    on its best value by 0.1 % for ``patience`` iterations (contradictory or unreachable
+    targets, e.g. a zone with no seed households, never reach the tolerance). Returns
+    the final weight frame and the residual history. The driver loop only chains
+    DataFrame steps; the one value it reads per iteration is the maximum residual.
 
     Each iteration's weights are written as a Parquet table under the session's
     checkpoint folder and read back: the next plan starts from that file, so neither
@@ -226,7 +230,9 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
         fac = factors(achieved(W, k), tgt, constraints).persist()
         r = max_residual(fac, k)
         history.append(r)
-        if r <= tolerance:
+        stalled = len(history) > patience and \
+            min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
+        if r <= tolerance or stalled:
             fac.unpersist()
             break
         W = materialise(_update(W, fac, imp, cfg.max_expansion_factor, small), it + 1)
