@@ -130,23 +130,37 @@ def targets(zone_keys: DataFrame, controls_maz: DataFrame, controls_taz: DataFra
                       .alias(f"t_{i}") for i in range(len(constraints))])
 
 
+def inc_columns(constraints: Sequence[Constraint]) -> list[str]:
+    return [f"inc_{c.control}" for c in constraints]
+
+
 def signatures(hh_inc: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Collapse households with equal incidence in the same MAZ: ``(maz, taz, region,
-    inc array, n, w0, w)``."""
-    inc = F.array(*[F.col(f"inc_{c.control}").cast("double") for c in constraints])
-    return (hh_inc.withColumn("inc", inc)
-            .groupBy("maz", "taz", "region", "inc")
+    inc_..., n, w0, w)``. Incidence stays in flat int columns (cheaper to scan and
+    write each iteration than an array)."""
+    return (hh_inc.groupBy("maz", "taz", "region", *inc_columns(constraints))
             .agg(F.count(F.lit(1)).alias("n"), F.sum("weight").cast("double").alias("w0"))
             .withColumn("w", F.col("w0")))
 
 
-def achieved(W: DataFrame, k: int) -> DataFrame:
-    """Per MAZ, TAZ and region sums of ``w * inc[k]``, laid out per MAZ (zone-sized)."""
+# The per-iteration frames have ~3 columns per constraint; their expressions are built
+# as SQL text and parsed once on the JVM side (one call per select instead of several
+# per column), which keeps the driver's plan-building time small in the loop.
+
+def achieved(W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
+    """Per MAZ, TAZ and region sums of ``w * inc_k``, laid out per MAZ.
+
+    The weight frame is reduced once to one row per MAZ (partial sums map-side); that
+    zone-sized table is then held in a single partition, so the TAZ and region totals
+    are window sums over it with no further exchange."""
+    inc = inc_columns(constraints)
+    k = len(inc)
     a = W.groupBy("maz", "taz", "region").agg(
-        *[F.sum(F.col("w") * F.col("inc")[i]).alias(f"a_{i}") for i in range(k)])
-    at = a.groupBy("taz").agg(*[F.sum(f"a_{i}").alias(f"at_{i}") for i in range(k)])
-    am = a.groupBy("region").agg(*[F.sum(f"a_{i}").alias(f"am_{i}") for i in range(k)])
-    return a.join(at, "taz").join(am, "region")
+        *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)]).coalesce(1)
+    return a.selectExpr(
+        "maz", "taz", "region", *[f"a_{i}" for i in range(k)],
+        *[f"sum(a_{i}) OVER (PARTITION BY taz) AS at_{i}" for i in range(k)],
+        *[f"sum(a_{i}) OVER (PARTITION BY region) AS am_{i}" for i in range(k)])
 
 
 def factors(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
@@ -156,47 +170,46 @@ def factors(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -
     j = ach.join(tgt.drop("taz", "region"), "maz", "inner")
     cols = []
     for i, c in enumerate(constraints):
-        a = F.col({"maz": f"a_{i}", "taz": f"at_{i}", "meta": f"am_{i}"}[c.level])
-        t = F.col(f"t_{i}")
+        a = {"maz": f"a_{i}", "taz": f"at_{i}", "meta": f"am_{i}"}[c.level]
+        t = f"t_{i}"
         cols += [
-            F.when(t.isNotNull() & (a > 0) & (t > 0), F.log(t / a)).otherwise(F.lit(0.0)).alias(f"lnf_{i}"),
-            (t.isNotNull() & (t == 0) & (a > 0)).alias(f"kill_{i}"),
-            F.when(t.isNotNull(), F.abs(a - t) / F.greatest(t, F.lit(1.0))).alias(f"res_{i}"),
+            f"CASE WHEN {t} IS NOT NULL AND {a} > 0 AND {t} > 0 THEN ln({t} / {a}) ELSE 0.0 END AS lnf_{i}",
+            f"({t} IS NOT NULL AND {t} = 0 AND {a} > 0) AS kill_{i}",
+            f"CASE WHEN {t} IS NOT NULL THEN abs({a} - {t}) / greatest({t}, 1.0) END AS res_{i}",
         ]
-    return j.select("maz", *cols)
+    return j.selectExpr("maz", *cols)
 
 
 def _update(W: DataFrame, fac: DataFrame, imp: list[float], cap: float,
-            small: bool = True) -> DataFrame:
+            constraints: Sequence[Constraint], small: bool = True) -> DataFrame:
     # fac has one row per MAZ; broadcast when the MAZ count passed the size check
     j = W.join(F.broadcast(fac) if small else fac, "maz", "inner")
-    inc = F.col("inc")
-    num = sum((F.lit(imp[i]) * inc[i] * F.col(f"lnf_{i}") for i in range(len(imp))), F.lit(0.0))
-    den = sum((F.lit(imp[i]) * inc[i] for i in range(len(imp))), F.lit(0.0))
-    kill = F.lit(False)
-    for i in range(len(imp)):
-        kill = kill | ((inc[i] > 0) & F.col(f"kill_{i}"))
-    new = (F.when(kill, F.lit(0.0))
-           .when(den > 0, F.least(F.col("w") * F.exp(num / den), F.col("n") * F.lit(cap)))
-           .otherwise(F.col("w")))
-    return j.select("maz", "taz", "region", "inc", "n", "w0", new.alias("w"))
+    inc = [f"`{c}`" for c in inc_columns(constraints)]
+    num = " + ".join(f"{imp[i]!r} * {inc[i]} * lnf_{i}" for i in range(len(imp)))
+    den = " + ".join(f"{imp[i]!r} * {inc[i]}" for i in range(len(imp)))
+    kill = " OR ".join(f"({inc[i]} > 0 AND kill_{i})" for i in range(len(imp)))
+    new = (f"CASE WHEN {kill} THEN 0.0 "
+           f"WHEN ({den}) > 0 THEN least(w * exp(({num}) / ({den})), n * {float(cap)!r}) "
+           f"ELSE w END AS w")
+    return j.selectExpr("maz", "taz", "region", *inc, "n", "w0", new)
 
 
 def max_residual(fac: DataFrame, k: int) -> float:
-    row = fac.agg(F.max(F.greatest(*[F.coalesce(F.col(f"res_{i}"), F.lit(0.0)) for i in range(k)])
-                        ).alias("r")).first()
+    terms = ", ".join(f"coalesce(res_{i}, 0.0)" for i in range(k))
+    row = fac.selectExpr(f"max(greatest({terms})) AS r").first()
     return float(row["r"] or 0.0)
 
 
 def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], cfg: RunConfig,
             iterations: int = 50, tolerance: float = 1e-4,
-            patience: int = 5) -> tuple[DataFrame, list[float]]:
+            patience: int = 5, check_every: int = 2) -> tuple[DataFrame, list[float]]:
     """Balancing with a residual stop (SY3): at most ``iterations`` updates; stops when
     the largest relative residual is below ``tolerance``, or when it has not improved
     on its best value by 0.1 % for ``patience`` iterations (contradictory or unreachable
-    targets, e.g. a zone with no seed households, never reach the tolerance). Returns
-    the final weight frame and the residual history. The driver loop only chains
-    DataFrame steps; the one value it reads per iteration is the maximum residual.
+    targets, e.g. a zone with no seed households, never reach the tolerance). The
+    residual is read every ``check_every`` iterations (``patience`` counts reads).
+    Returns the final weight frame and the residual history. The driver loop only
+    chains DataFrame steps; the one value it reads is the maximum residual.
 
     Each iteration's weights are written as a Parquet table under the session's
     checkpoint folder and read back: the next plan starts from that file, so neither
@@ -226,24 +239,24 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
     W = materialise(sig, 0)
     history: list[float] = []
     for it in range(iterations):
-        # zone-sized; cached between the residual read and the update
-        fac = factors(achieved(W, k), tgt, constraints).persist()
-        r = max_residual(fac, k)
-        history.append(r)
-        stalled = len(history) > patience and \
-            min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
-        if r <= tolerance or stalled:
-            fac.unpersist()
-            break
-        W = materialise(_update(W, fac, imp, cfg.max_expansion_factor, small), it + 1)
+        fac = factors(achieved(W, constraints), tgt, constraints)
+        if it % check_every == 0 or it == iterations - 1:
+            fac = fac.persist()  # zone-sized; shared by the residual read and the update
+            r = max_residual(fac, k)
+            history.append(r)
+            stalled = len(history) > patience and \
+                min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
+            if r <= tolerance or stalled:
+                fac.unpersist()
+                break
+        W = materialise(_update(W, fac, imp, cfg.max_expansion_factor, constraints, small), it + 1)
         fac.unpersist()
     return W, history
 
 
 def residual_report(W: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Achieved vs target per (level, geography, control) (SY6)."""
-    k = len(constraints)
-    ach = achieved(W, k).join(tgt.drop("taz", "region"), "maz", "inner")
+    ach = achieved(W, constraints).join(tgt.drop("taz", "region"), "maz", "inner")
     rows = []
     for i, c in enumerate(constraints):
         geo = {"maz": "maz", "taz": "taz", "meta": "region"}[c.level]
@@ -257,12 +270,11 @@ def residual_report(W: DataFrame, tgt: DataFrame, constraints: Sequence[Constrai
 
 def household_weights(hh_inc: DataFrame, W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Spread each signature's balanced weight over its households by seed weight."""
-    inc = F.array(*[F.col(f"inc_{c.control}").cast("double") for c in constraints])
-    h = hh_inc.withColumn("inc", inc)
-    j = h.join(W.select("maz", "inc", "w0", F.col("w").alias("_w")), ["maz", "inc"], "inner")
+    keys = ["maz", *inc_columns(constraints)]
+    j = hh_inc.join(W.select(*keys, "w0", F.col("w").alias("_w")), keys, "inner")
     share = F.when(F.col("w0") > 0, F.col("_w") / F.col("w0")).otherwise(F.lit(0.0))
     return j.withColumn("balanced_weight", F.col("weight").cast("double") * share) \
-            .drop("inc", "w0", "_w")
+            .drop("w0", "_w")
 
 
 def integerize(df: DataFrame, group: str, weight: str, target: Column | None = None,
