@@ -45,17 +45,18 @@ def map_control_puma(controls: DataFrame, zone_key: str, zones: DataFrame,
 
 
 def outer_with_vector(controls: DataFrame, zone_key: str, vector: DataFrame,
-                      measures: Sequence[str]) -> DataFrame:
+                      measures: Sequence[str], new_zone_region: int = NEW_ZONE_REGION,
+                      new_zone_puma: int = NEW_ZONE_PUMA) -> DataFrame:
     """Full outer join of controls and the population vector (JN4), nulls -> 0; zones
-    new to the controls get region 1 and puma 3 (D9), as does any puma 0."""
+    new to the controls get region 1 and puma 3 by default (D9), as does any puma 0."""
     v = vector.select(F.col("zone").alias("_vz"), F.col("population").alias(NEW))
     j = controls.join(v, controls[zone_key] == v["_vz"], "full_outer")
     key = F.coalesce(controls[zone_key], F.col("_vz"))
     region = F.coalesce(F.col("region"), F.lit(0))
     puma = F.coalesce(F.col("puma"), F.lit(0))
     return j.select(
-        F.when(region == 0, F.lit(NEW_ZONE_REGION)).otherwise(region).alias("region"),
-        F.when(puma == 0, F.lit(NEW_ZONE_PUMA)).otherwise(puma).alias("puma"),
+        F.when(region == 0, F.lit(new_zone_region)).otherwise(region).alias("region"),
+        F.when(puma == 0, F.lit(new_zone_puma)).otherwise(puma).alias("puma"),
         F.col("puma").alias(ORIG_PUMA),
         key.alias("taz"), key.alias("maz"),
         *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures],
@@ -147,25 +148,28 @@ def forecast_taz(taz: DataFrame, maz_values: DataFrame, controls: Sequence[str],
                       for c in keep])
 
 
-def forecast_meta(meta: DataFrame, maz_values: DataFrame) -> DataFrame:
+def forecast_meta(meta: DataFrame, maz_values: DataFrame, rescale_meta: bool = False) -> DataFrame:
     """Meta with totpop/totalhh replaced by the summed forecast (same value on every
-    region, AG26), summed exactly as decimals, then every column ceiled."""
-    sums = [F.sum(F.col(c).cast(EXACT)).alias(c) for c in ("totpop", "totalhh")
-            if c in maz_values.columns]
+    region, AG26), summed exactly as decimals, then every column ceiled. With
+    ``rescale_meta`` every meta measure present in the MAZ forecast is replaced the same
+    way (the surveyed run leaves the others at their base values, D8)."""
+    names = [c for c in meta.columns if c != "region" and c in maz_values.columns] if rescale_meta \
+        else [c for c in ("totpop", "totalhh") if c in maz_values.columns]
     out = meta
-    if sums:
+    if names:
+        sums = [F.sum(F.col(c).cast(EXACT)).alias(c) for c in names]
         scal = maz_values.select(F.struct(*sums).alias("_t")).scalar()
         out = meta.withColumn("_t", scal)
-        for s in ("totpop", "totalhh"):
-            if s in maz_values.columns:
-                out = out.withColumn(s, F.col("_t")[s])
+        for c in names:
+            out = out.withColumn(c, F.col("_t")[c])
         out = out.drop("_t")
     return out.select(*[ceil_int(c) for c in meta.columns])
 
 
 def apply_population_vector(maz: DataFrame, taz: DataFrame, meta: DataFrame,
                             vector: DataFrame, zones: DataFrame, cfg: RunConfig,
-                            fallback: str = "last_group") -> tuple[DataFrame, DataFrame, DataFrame]:
+                            fallback: str = "last_group", rescale_meta: bool = False
+                            ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """FC5: (maz, taz, meta) re-scaled to the vector.
 
     The unceiled MAZ values feed all three outputs and two scalar subqueries; they are
@@ -174,4 +178,4 @@ def apply_population_vector(maz: DataFrame, taz: DataFrame, meta: DataFrame,
     vals = vals.checkpoint(eager=True)
     return (vals.select(*[ceil_int(c) for c in vals.columns]),
             forecast_taz(taz, vals, controls, vector, zones, cfg),
-            forecast_meta(meta, vals))
+            forecast_meta(meta, vals, rescale_meta))

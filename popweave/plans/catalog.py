@@ -3,6 +3,7 @@ survey views of the test tables; ``ORACLE`` holds the DuckDB twin of each one.""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from typing import Callable
 
@@ -29,7 +30,10 @@ from popweave.operators.quality import duplicate_keys
 from popweave.operators.sampling import slice_population
 from popweave.plans import seeds as seedplan
 from popweave.session import scratch_dir
+from popweave.sources import schemas as S
 from popweave.sources import survey_sql as sq
+from popweave.sources.readers import read_csv
+from popweave.sources.sinks import write_csv
 from popweave.sources import survey_views as sv
 
 CFG = sv.TEST_CONFIG
@@ -623,10 +627,6 @@ FROM hh""")
 def q_load_empty_as_zero(spark, sf_dir):
     """Households written as a seed CSV with invalid income left empty, read back with
     the lenient loader (empty integer field -> 0)."""
-    import uuid
-
-    from popweave.sources.readers import read_household_seed
-    from popweave.sources.sinks import write_csv
     h = sv.households(spark, sf_dir).select(
         F.col("household_id").alias("HouseholdId"), F.col("household_zone").alias("HouseholdZone"),
         F.col("dwelling_type").alias("DwellingType"), F.col("number_of_persons").alias("NumberOfPersons"),
@@ -635,8 +635,6 @@ def q_load_empty_as_zero(spark, sf_dir):
         F.col("expansion_factor").cast("double").alias("ExpansionFactor"))
     path = f"{scratch_dir(spark)}/household-seed-{uuid.uuid4().hex}"
     write_csv(h, path)
-    from popweave.sources.readers import read_csv
-    from popweave.sources import schemas as S
     df = read_csv(spark, path, S.HOUSEHOLD_SEED, empty_as_zero=True)
     return df.select(*[F.col(a).alias(b) for a, b in S.SEED_HOUSEHOLD_RENAMES.items()])
 
@@ -661,7 +659,7 @@ def synthesis_seed(spark, sf_dir):
 
 
 def _inc_sql() -> str:
-    occ, emp = CFG.person_category_map["Occupation"], CFG.person_category_map["EmploymentStatus"]
+    """Incidence twin: the seed keeps letters, so code comparisons become letter ones."""
     person = ([(v, f"occupation = '{v}'") for v in "GSMPO"]
               + [(f"E_{v}", f"employment_status = '{v}'") for v in "OFP"]
               + [("employment_zone_0", "employment_zone = 0"),
@@ -671,7 +669,6 @@ def _inc_sql() -> str:
               + [(n, f"age BETWEEN {lo} AND {hi}") for (lo, hi), n in zip(AGE_BINS, AGE_COLUMNS)]
               + [(f"S_{v}", f"student_status = '{v}'") for v in "SPO"]
               + [("totpop", "expansion_factor >= 0 AND expansion_factor < 99999999")])
-    assert occ and emp
     counts = ", ".join(f"CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS INTEGER) AS inc_{n}" for n, p in person)
     hhc = {"totalhh": "household_weight > -100", **{f"income_class_{k}": f"income_class = {k}" for k in range(1, 7)}}
     cols = []

@@ -295,3 +295,18 @@ def test_D3_literal_global_pool(spark):
         "id long, puma int, occupation string, w decimal(18,6)")
     r = resample_invalid(df, [ImputeSpec("occupation", "9")], "w", ["id"], pool="global:1")
     assert {o for (o,) in rows(r.filter("id >= 200"), "occupation")} == {"A"}
+
+
+def test_D8_option_rescales_all_meta_measures(spark):
+    maz, zones, vec, cfg = _fc_inputs(spark)
+    meta = spark.createDataFrame([(1, 60, 600, 290)], "region int, totalhh int, totpop int, male int")
+    _, _, m = fc.apply_population_vector(maz, maz.drop("maz"), meta, vec, zones, cfg, rescale_meta=True)
+    fm = fc.forecast_maz(maz, vec, zones, cfg)
+    assert m.first()["male"] >= sum(r["male"] for r in fm.collect()) - len(fm.collect())
+
+
+def test_D9_new_zone_defaults_are_arguments(spark):
+    maz, zones, vec, cfg = _fc_inputs(spark)
+    measures = [c for c in maz.columns if c not in fc.KEYS]
+    m = fc.outer_with_vector(maz, "maz", vec, measures, new_zone_region=2, new_zone_puma=9)
+    assert {r["maz"]: (r["region"], r["puma"]) for r in m.collect()}[7] == (2, 9)
