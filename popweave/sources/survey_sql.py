@@ -31,7 +31,7 @@ hh AS (
          CAST(o_orderkey % 5 + 1 AS INTEGER) AS number_of_persons,
          CAST(o_custkey % 4 AS INTEGER) AS vehicles,
          CAST(o_orderkey % 7 + 1 AS INTEGER) AS income_class,
-         CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 10000 AS DECIMAL(18,6)) AS expansion_factor
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 10000 AS DECIMAL(8,6)) AS expansion_factor
   FROM orders JOIN customer ON o_custkey = c_custkey),
 ps AS (
   SELECT l_orderkey AS household_id,
@@ -46,7 +46,7 @@ ps AS (
          ['S','P','O','9'][CAST((l_orderkey + l_linenumber) % 4 AS INTEGER) + 1] AS student_status,
          CAST(l_suppkey % 27 AS INTEGER) AS employment_zone,
          CAST(l_partkey % 21 AS INTEGER) AS school_zone,
-         CAST(1 + CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(18,6)) AS expansion_factor
+         CAST(1 + CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(8,6)) AS expansion_factor
   FROM lineitem)"""
 
 
