@@ -56,8 +56,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> seedplan.PreparedSeeds:
                             sv.persons(spark, sf_dir), CFG)
 
 
-def raw_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seedplan.raw_controls(prepared(spark, sf_dir), CFG)
+def raw_controls(spark: SparkSession, sf_dir: str,
+                 seeds: seedplan.PreparedSeeds | None = None) -> DataFrame:
+    return seedplan.raw_controls(seeds or prepared(spark, sf_dir), CFG)
 
 
 def _trunc_cols(cols) -> str:
@@ -311,8 +312,8 @@ def zero_zone(controls: DataFrame, key: str, zone: int) -> DataFrame:
                              if c not in keys else F.col(c) for c in controls.columns])
 
 
-def forecast_inputs(spark, sf_dir):
-    raw = raw_controls(spark, sf_dir).checkpoint(eager=True)  # zone-sized, used 3x + subqueries
+def forecast_inputs(spark, sf_dir, seeds: seedplan.PreparedSeeds | None = None):
+    raw = raw_controls(spark, sf_dir, seeds).checkpoint(eager=True)  # zone-sized, used 3x
     maz = zero_zone(ctl.controls_maz(raw, CFG), "maz", 5)
     return (maz, ctl.controls_taz(raw, CFG), ctl.controls_meta(raw, CFG),
             sv.population_vector(spark, sf_dir), sv.zones(spark, sf_dir))
@@ -644,10 +645,10 @@ def q_load_empty_as_zero(spark, sf_dir):
 CONSTRAINTS = syn.default_constraints(CFG)
 
 
-def synthesis_seed(spark, sf_dir):
+def synthesis_seed(spark, sf_dir, seeds: seedplan.PreparedSeeds | None = None):
     """(households with maz/taz/region and household weight, coded persons) of the
     sampled internal seed."""
-    s = prepared(spark, sf_dir)
+    s = seeds or prepared(spark, sf_dir)
     ph = seedplan.sampled(s, CFG)
     hh = ph.groupBy("household_id").agg(
         F.first("household_zone").alias("maz"), F.first("household_weight").alias("weight"),
@@ -741,11 +742,12 @@ BALANCE_ITERATIONS = 20
 
 def balanced(spark, sf_dir, iterations: int = BALANCE_ITERATIONS):
     """Seed households balanced to the forecast controls (the synthesis run)."""
-    maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir)
+    seeds = prepared(spark, sf_dir)  # one seed preparation feeds targets and households
+    maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir, seeds)
     fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)
     tgt = syn.targets(fmaz.select("maz", "taz", "region"), fmaz, ftaz, fmeta, CONSTRAINTS)
     tgt = tgt.checkpoint(eager=True)  # zone-sized; cut the lineage once
-    hh, persons = synthesis_seed(spark, sf_dir)
+    hh, persons = synthesis_seed(spark, sf_dir, seeds)
     hh_inc = syn.incidence(hh, persons, CONSTRAINTS).checkpoint(eager=True)
     W, hist = syn.balance(syn.signatures(hh_inc, CONSTRAINTS), tgt, CONSTRAINTS, CFG,
                           iterations=iterations)
