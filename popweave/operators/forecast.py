@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from popweave.config import NEW_ZONE_PUMA, NEW_ZONE_REGION, RunConfig
 from popweave.functions.sizing import broadcast_if_bounded
 from popweave.functions.zones import assign_group
+from popweave.session import materialize
 
 KEYS = ("region", "puma", "taz", "maz")
 BASE = "totpop"
@@ -173,9 +174,10 @@ def apply_population_vector(maz: DataFrame, taz: DataFrame, meta: DataFrame,
     """FC5: (maz, taz, meta) re-scaled to the vector.
 
     The unceiled MAZ values feed all three outputs and two scalar subqueries; they are
-    zone-sized, so they are checkpointed once instead of being recomputed per use."""
+    zone-sized, so they are written once (under the checkpoint folder) instead of being
+    recomputed per use."""
     vals, controls = forecast_zone_values(maz, vector, zones, cfg, fallback)
-    vals = vals.checkpoint(eager=True)
+    vals = materialize(vals, "forecast-values")
     return (vals.select(*[ceil_int(c) for c in vals.columns]),
             forecast_taz(taz, vals, controls, vector, zones, cfg),
             forecast_meta(meta, vals, rescale_meta))

@@ -5,8 +5,8 @@ one task (an un-partitioned ``row_number()`` would): rows are range-partitioned
 sorted on the order key, each partition's row count is taken (one row per partition),
 the counts are turned into offsets on that tiny table, and each row's id is its
 partition offset plus its position inside the partition. The numbered frame is
-checkpointed to the session's checkpoint directory so a lost executor recomputes
-nothing that could renumber.
+written as a table under the session's checkpoint folder (one job) so a lost executor
+recomputes nothing that could renumber.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from popweave.session import materialize
+
 
 def dense_position(df: DataFrame, order_cols: Sequence[str], out_col: str,
                    num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
@@ -27,7 +29,7 @@ def dense_position(df: DataFrame, order_cols: Sequence[str], out_col: str,
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        ranged = materialize(ranged, "positions")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: the un-partitioned window runs over n rows, not over records

@@ -29,7 +29,7 @@ from popweave.operators.impute import category_shares, resample_invalid
 from popweave.operators.quality import duplicate_keys
 from popweave.operators.sampling import slice_population
 from popweave.plans import seeds as seedplan
-from popweave.session import scratch_dir
+from popweave.session import materialize, scratch_dir
 from popweave.sources import schemas as S
 from popweave.sources import survey_sql as sq
 from popweave.sources.readers import read_csv
@@ -313,7 +313,7 @@ def zero_zone(controls: DataFrame, key: str, zone: int) -> DataFrame:
 
 
 def forecast_inputs(spark, sf_dir, seeds: seedplan.PreparedSeeds | None = None):
-    raw = raw_controls(spark, sf_dir, seeds).checkpoint(eager=True)  # zone-sized, used 3x
+    raw = materialize(raw_controls(spark, sf_dir, seeds), "raw-controls")  # zone-sized, used 3x
     maz = zero_zone(ctl.controls_maz(raw, CFG), "maz", 5)
     return (maz, ctl.controls_taz(raw, CFG), ctl.controls_meta(raw, CFG),
             sv.population_vector(spark, sf_dir), sv.zones(spark, sf_dir))
@@ -746,9 +746,9 @@ def balanced(spark, sf_dir, iterations: int = BALANCE_ITERATIONS):
     maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir, seeds)
     fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)
     tgt = syn.targets(fmaz.select("maz", "taz", "region"), fmaz, ftaz, fmeta, CONSTRAINTS)
-    tgt = tgt.checkpoint(eager=True)  # zone-sized; cut the lineage once
+    tgt = materialize(tgt, "targets")  # zone-sized; cut the lineage once
     hh, persons = synthesis_seed(spark, sf_dir, seeds)
-    hh_inc = syn.incidence(hh, persons, CONSTRAINTS).checkpoint(eager=True)
+    hh_inc = materialize(syn.incidence(hh, persons, CONSTRAINTS), "incidence")
     W, hist = syn.balance(syn.signatures(hh_inc, CONSTRAINTS), tgt, CONSTRAINTS, CFG,
                           iterations=iterations)
     return hh_inc, persons, W, tgt, hist

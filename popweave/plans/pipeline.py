@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from popweave.config import RunConfig
+from popweave.session import materialize
 from popweave.functions.sizing import broadcast_if_bounded
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
@@ -64,7 +65,7 @@ def generate_inputs(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_d
                              rd.read_household_seed(spark, files.households),
                              rd.read_person_seed(spark, files.persons), cfg)
     if build_controls:
-        raw = seedplan.raw_controls(seeds, cfg).checkpoint(eager=True)  # zone-sized
+        raw = materialize(seedplan.raw_controls(seeds, cfg), "raw-controls")  # zone-sized
         sk.write_csv(ctl.controls_maz(raw, cfg), f"{_inputs_dir(out_dir)}/controls_maz",
                      sort_by=("puma", "taz", "maz"))
         sk.write_csv(ctl.controls_taz(raw, cfg), f"{_inputs_dir(out_dir)}/controls_taz",
@@ -118,7 +119,7 @@ def apply_forecast(spark: SparkSession, cfg: RunConfig, out_dir: str, vector_pat
     zones = rd.read_zone_map(spark, zones_path)
     fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, cfg, fallback)
     for df, name in zip((fmaz, ftaz, fmeta), CONTROL_FILES):
-        sk.write_csv(df.checkpoint(eager=True), f"{_inputs_dir(out_dir)}/{name}")
+        sk.write_csv(materialize(df, name), f"{_inputs_dir(out_dir)}/{name}")
 
 
 def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: int = 50) -> None:
@@ -134,12 +135,12 @@ def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: in
           .withColumnRenamed("household_zone", "maz").withColumn("taz", F.col("maz"))
           .withColumn("region", F.lit(1)))
     constraints = syn.default_constraints(cfg)
-    tgt = syn.targets(maz.select("maz", "taz", "region"), maz, taz, meta, constraints) \
-        .checkpoint(eager=True)
+    tgt = materialize(syn.targets(maz.select("maz", "taz", "region"), maz, taz, meta, constraints),
+                      "targets")
     persons = pst.withColumn("weight", F.col("weight").cast("double"))
     for c in ("age", "employment_status", "occupation", "employment_zone"):
         persons = persons.withColumn(c, F.col(c).cast("int"))
-    hh_inc = syn.incidence(hh, persons, constraints).checkpoint(eager=True)
+    hh_inc = materialize(syn.incidence(hh, persons, constraints), "incidence")
     W, _ = syn.balance(syn.signatures(hh_inc, constraints), tgt, constraints, cfg, iterations)
     syn.residual_report(W, tgt, constraints).write.mode("overwrite").parquet(
         f"{out_dir}/tables/balance_residual")
@@ -170,8 +171,8 @@ def generate_outputs(spark: SparkSession, cfg: RunConfig, out_dir: str,
         persons = out.merge_populations(
             persons, other_p.select(*[F.col(a).alias(b) for a, b in S.SEED_PERSON_RENAMES.items()]),
             ["household_id", "person_number"], list(persons.columns))
-    households = households.checkpoint(eager=True)
-    persons = persons.checkpoint(eager=True)
+    households = materialize(households, "out-households")
+    persons = materialize(persons, "out-persons")
     joined = out.synthetic_join(persons, households)
     sk.write_partitioned(out.zonal_residence(joined, cfg), f"{out_dir}/ZonalResidence",
                          ["occupation", "employment_status"])
