@@ -4,8 +4,8 @@ An invalid code is replaced by a draw from the weighted shares of the valid code
 the record's own group (puma). The draw is an inverse-CDF lookup with a keyed uniform
 ``u``: the category is the first whose cumulative bound exceeds ``u``.
 
-Plan shape: one aggregate over the records gives ``(group, column, value) -> weight``
-for every imputed column at once; a tiny window cumulates it; the bounds are folded
+Plan shape: one aggregate over the records on the joint codes (partial sums map-side),
+split into ``(group, column, value) -> weight`` for every imputed column at once; a tiny window cumulates it; the bounds are folded
 into one row per group holding sorted arrays, and that table (one row per group id,
 so bounded by the number of groups) is broadcast-joined back. No shuffle of records
 beyond the aggregate's partial sums, no range join, no Python.
@@ -49,10 +49,14 @@ def category_shares(df: DataFrame, columns: Sequence[ImputeSpec], weight: str,
                  (F.col(s.column).isNotNull() & (F.col(s.column) != F.lit(s.invalid))).alias("ok"))
         for s in columns
     ])
-    long = (df.select(group, weight, F.explode(items).alias("it"))
+    # Pre-aggregate on the joint codes first (partial sums map-side; the output is bounded
+    # by groups x the product of the code domains), then split it per column.
+    cols = list(dict.fromkeys(s.column for s in columns))
+    pre = df.groupBy(group, *cols).agg(F.sum(weight).alias("_w"))
+    long = (pre.select(group, "_w", F.explode(items).alias("it"))
             .filter("it.ok")
-            .select(group, "it.column", "it.num", "it.value", weight))
-    sums = long.groupBy(group, "column", "num", "value").agg(F.sum(weight).alias("w"))
+            .select(group, "it.column", "it.num", "it.value", "_w"))
+    sums = long.groupBy(group, "column", "num", "value").agg(F.sum("_w").alias("w"))
     order = Window.partitionBy(group, "column").orderBy("num", "value")
     whole = Window.partitionBy(group, "column")
     cum = F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
