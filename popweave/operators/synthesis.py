@@ -150,13 +150,14 @@ def signatures(hh_inc: DataFrame, constraints: Sequence[Constraint]) -> DataFram
 def achieved(W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Per MAZ, TAZ and region sums of ``w * inc_k``, laid out per MAZ.
 
-    The weight frame is reduced once to one row per MAZ (partial sums map-side); that
-    zone-sized table is then held in a single partition, so the TAZ and region totals
-    are window sums over it with no further exchange."""
+    The weight frame is reduced to one row per MAZ (partial sums map-side, final sums
+    over the usual shuffle partitions, so no task reads every map task's partials); only
+    that zone-sized result is moved into a single partition, where the TAZ and region
+    totals are window sums with no further exchange."""
     inc = inc_columns(constraints)
     k = len(inc)
     a = W.groupBy("maz", "taz", "region").agg(
-        *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)]).coalesce(1)
+        *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)]).repartition(1)
     return a.selectExpr(
         "maz", "taz", "region", *[f"a_{i}" for i in range(k)],
         *[f"sum(a_{i}) OVER (PARTITION BY taz) AS at_{i}" for i in range(k)],
@@ -202,20 +203,22 @@ def max_residual(fac: DataFrame, k: int) -> float:
 
 def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], cfg: RunConfig,
             iterations: int = 50, tolerance: float = 1e-4,
-            patience: int = 5, check_every: int = 2) -> tuple[DataFrame, list[float]]:
+            patience: int = 5, step: int = 2) -> tuple[DataFrame, list[float]]:
     """Balancing with a residual stop (SY3): at most ``iterations`` updates; stops when
     the largest relative residual is below ``tolerance``, or when it has not improved
-    on its best value by 0.1 % for ``patience`` iterations (contradictory or unreachable
+    on its best value by 0.1 % for ``patience`` reads (contradictory or unreachable
     targets, e.g. a zone with no seed households, never reach the tolerance). The
-    residual is read every ``check_every`` iterations (``patience`` counts reads).
-    Returns the final weight frame and the residual history. The driver loop only
+    residual is read every ``step`` iterations. Returns the checked weight frame with
+    the smallest residual (the largest residual need not fall monotonically when the
+    levels contradict each other) and the residual history. The driver loop only
     chains DataFrame steps; the one value it reads is the maximum residual.
 
-    Each iteration's weights are written as a Parquet table under the session's
-    checkpoint folder and read back: the next plan starts from that file, so neither
-    the lineage nor the plan grows with the iteration count, and a lost executor costs
-    one iteration at most. An iteration is two jobs: the residual read (aggregate of
-    the weights, zone-sized result) and the write of the updated weights.
+    Every ``step`` iterations the weights are written as a Parquet table under the
+    session's checkpoint folder and read back: the next plan starts from that file, so
+    neither the lineage nor the plan grows with the iteration count, and a lost executor
+    costs ``step`` iterations at most. In between, only the zone-sized factor tables are
+    cached; the weight updates of a block run as one narrow chain in the write job.
+    Per block: one residual read (aggregate of the weights) and one write.
     """
     import uuid
 
@@ -225,33 +228,47 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
     base = f"{scratch_dir(spark)}/balance-{uuid.uuid4().hex}"
     k = len(constraints)
     imp = scaled_importance(constraints)
+    step = max(1, int(step))
     # targets and factors have one row per MAZ: broadcast them when the MAZ count is
     # within the dimension bound (checked once), else let the planner shuffle-join
     small = tgt.limit(DIMENSION_MAX_ROWS + 1).count() <= DIMENSION_MAX_ROWS
     if small:
         tgt = F.broadcast(tgt)
 
-    def materialise(df: DataFrame, step: int) -> DataFrame:
-        path = f"{base}/w{step}"
+    def materialise(df: DataFrame, done: int) -> DataFrame:
+        path = f"{base}/w{done}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    def update(W: DataFrame, fac: DataFrame) -> DataFrame:
+        return _update(W, fac, imp, cfg.max_expansion_factor, constraints, small)
+
     W = materialise(sig, 0)
     history: list[float] = []
-    for it in range(iterations):
-        fac = factors(achieved(W, constraints), tgt, constraints)
-        if it % check_every == 0 or it == iterations - 1:
-            fac = fac.persist()  # zone-sized; shared by the residual read and the update
-            r = max_residual(fac, k)
-            history.append(r)
-            stalled = len(history) > patience and \
-                min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
-            if r <= tolerance or stalled:
-                fac.unpersist()
-                break
-        W = materialise(_update(W, fac, imp, cfg.max_expansion_factor, constraints, small), it + 1)
-        fac.unpersist()
-    return W, history
+    best: tuple[float, DataFrame] | None = None
+    done = 0
+    while True:
+        fac = factors(achieved(W, constraints), tgt, constraints).persist()  # zone-sized
+        r = max_residual(fac, k)
+        history.append(r)
+        if best is None or r < best[0]:
+            best = (r, W)
+        stalled = len(history) > patience and \
+            min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
+        if r <= tolerance or stalled or done >= iterations:
+            fac.unpersist()
+            break
+        cached = [fac]
+        nxt = update(W, fac)
+        for _ in range(1, min(step, iterations - done)):
+            f = factors(achieved(nxt, constraints), tgt, constraints).persist()
+            cached.append(f)
+            nxt = update(nxt, f)
+        done += len(cached)
+        W = materialise(nxt, done)
+        for f in cached:
+            f.unpersist()
+    return best[1], history
 
 
 def residual_report(W: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
