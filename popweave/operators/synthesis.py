@@ -218,11 +218,13 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
     neither the lineage nor the plan grows with the iteration count, and a lost executor
     costs ``step`` iterations at most. In between, only the zone-sized factor tables are
     cached; the weight updates of a block run as one narrow chain in the write job.
-    Per block: one residual read (aggregate of the weights) and one write.
+    Per block: one residual read (aggregate of the weights) and one write. A block's
+    table is deleted once it is neither the next block's input nor the best so far, so
+    the scratch space stays at three weight tables whatever the iteration count.
     """
     import uuid
 
-    from popweave.session import scratch_dir
+    from popweave.session import drop_path, scratch_dir
 
     spark = sig.sparkSession
     base = f"{scratch_dir(spark)}/balance-{uuid.uuid4().hex}"
@@ -235,24 +237,26 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
     if small:
         tgt = F.broadcast(tgt)
 
-    def materialise(df: DataFrame, done: int) -> DataFrame:
+    def materialise(df: DataFrame, done: int) -> tuple[DataFrame, str]:
         path = f"{base}/w{done}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.parquet(path), path
 
     def update(W: DataFrame, fac: DataFrame) -> DataFrame:
         return _update(W, fac, imp, cfg.max_expansion_factor, constraints, small)
 
-    W = materialise(sig, 0)
+    W, path = materialise(sig, 0)
     history: list[float] = []
-    best: tuple[float, DataFrame] | None = None
+    best: tuple[float, DataFrame, str] | None = None
     done = 0
     while True:
         fac = factors(achieved(W, constraints), tgt, constraints).persist()  # zone-sized
         r = max_residual(fac, k)
         history.append(r)
         if best is None or r < best[0]:
-            best = (r, W)
+            if best is not None and best[2] != path:
+                drop_path(spark, best[2])
+            best = (r, W, path)
         stalled = len(history) > patience and \
             min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
         if r <= tolerance or stalled or done >= iterations:
@@ -265,9 +269,14 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
             cached.append(f)
             nxt = update(nxt, f)
         done += len(cached)
-        W = materialise(nxt, done)
+        prev = path
+        W, path = materialise(nxt, done)
         for f in cached:
             f.unpersist()
+        if prev != best[2]:
+            drop_path(spark, prev)
+    if path != best[2]:
+        drop_path(spark, path)
     return best[1], history
 
 

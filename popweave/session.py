@@ -68,3 +68,11 @@ def materialize(df, label: str = "table"):
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote under the checkpoint dir (superseded intermediate
+    tables), through the Hadoop FileSystem of the path, so it works on any shared store."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

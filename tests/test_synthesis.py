@@ -62,3 +62,26 @@ def test_synthesize_emits_kept_households_with_dense_ids(spark):
     h, p = syn.synthesize(hh, persons)
     assert sorted((r["temp_id"], r["household_id"]) for r in h.collect()) == [(1, 3), (2, 2)]
     assert p.count() == 3
+
+
+def test_balancing_returns_best_checked_weights_and_keeps_one_table(spark):
+    import os
+    from popweave.session import scratch_dir
+
+    hh, persons, cons = _fixture(spark)
+    inc = syn.incidence(hh, persons, cons)
+    truth = inc.withColumn("w", (F.col("household_id") % 5 + 1).cast("double"))
+    # contradictory levels: TAZ +20 %, meta -10 % against the MAZ totals
+    tmaz = truth.groupBy("maz").agg(F.sum("w").alias("totalhh"))
+    ttaz = truth.groupBy("taz").agg((1.2 * F.sum(F.col("w") * F.col("inc_inc1"))).alias("inc1"))
+    tmeta = truth.groupBy("region").agg((0.9 * F.sum(F.col("w") * F.col("inc_totpop"))).alias("totpop"))
+    keys = hh.select("maz", "taz", "region").distinct()
+    tgt = syn.targets(keys, tmaz, ttaz, tmeta, cons)
+    root = scratch_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    W, hist = syn.balance(syn.signatures(inc, cons), tgt, cons, RunConfig(), iterations=9)
+    got = syn.max_residual(syn.factors(syn.achieved(W, cons), tgt, cons), len(cons))
+    assert abs(got - min(hist)) <= 1e-9 * max(1.0, got)
+    new = [d for d in set(os.listdir(root)) - before if d.startswith("balance-")]
+    assert len(new) == 1 and len(os.listdir(os.path.join(root, new[0]))) == 1
+    assert W.count() == syn.signatures(inc, cons).count()
