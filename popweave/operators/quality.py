@@ -28,11 +28,11 @@ def repair_household_size(persons_hh: DataFrame, order: Sequence[str] = ("person
     from popweave.operators.ids import dense_position
 
     key = "household_id"
-    counts = persons_hh.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     rest = [c for c in persons_hh.columns if c != key and c not in order]
     pos = dense_position(persons_hh, [key, *order, *rest], "_pos")
-    first = pos.groupBy(key).agg(F.min("_pos").alias("_first"))
-    j = pos.join(counts, key, "inner").join(first, key, "inner")
+    # row count and first position in one aggregate (partial map-side), joined back once
+    stats = pos.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    j = pos.join(stats, key, "inner")
     bad = F.col(size_col) != F.col("_n")
     return (j.withColumn(f"original_{number_col}", F.col(number_col))
             .withColumn(number_col, F.when(bad, (F.col("_pos") - F.col("_first") + 1).cast("int"))

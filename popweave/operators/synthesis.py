@@ -320,10 +320,10 @@ def integerize(df: DataFrame, group: str, weight: str, target: Column | None = N
                     / F.col("_tot").cast("double")).otherwise(F.lit(0.0))
     d = d.withColumn("_s", scaled).withColumn("_fl", F.floor("_s")) \
          .withColumn("_fr", F.col("_s") - F.col("_fl")).withColumn("_nfr", -F.col("_fr"))
-    floors = d.groupBy(group).agg(F.sum("_fl").alias("_sfl"))
     pos = dense_position(d, [group, "_nfr", *tie], "_pos")
-    first = pos.groupBy(group).agg(F.min("_pos").alias("_first"))
-    r = pos.join(floors, group).join(first, group)
+    # floor total and first position per group in one aggregate, joined back once
+    stats = pos.groupBy(group).agg(F.sum("_fl").alias("_sfl"), F.min("_pos").alias("_first"))
+    r = pos.join(stats, group)
     extra = F.when(F.col("_pos") - F.col("_first") < F.col("_T") - F.col("_sfl"), 1).otherwise(0)
     return r.withColumn(out_col, (F.col("_fl") + extra).cast("int")) \
             .drop("_tot", "_T", "_s", "_fl", "_fr", "_nfr", "_sfl", "_pos", "_first")
