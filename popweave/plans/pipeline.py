@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from popweave.config import RunConfig
-from popweave.session import materialize
+from popweave.session import materialize, run_scratch
 from popweave.functions.sizing import broadcast_if_bounded
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
@@ -221,11 +221,14 @@ def validate(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str
 
 def full_run(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str,
              vector_path: str | None = None, iterations: int = 50) -> None:
-    """The whole chain: inputs -> records -> [forecast] -> synthesis -> outputs -> validation."""
-    generate_inputs(spark, cfg, files, out_dir)
-    initialize_records(spark, out_dir)
-    if vector_path:
-        apply_forecast(spark, cfg, out_dir, vector_path, files.zones)
-    synthesize(spark, cfg, out_dir, iterations)
-    generate_outputs(spark, replace(cfg, percent_population=1.0), out_dir)
-    validate(spark, cfg, files, out_dir)
+    """The whole chain: inputs -> records -> [forecast] -> synthesis -> outputs -> validation.
+    Every stage writes its results to ``out_dir``; the intermediate tables of the run live
+    in one scratch folder under the checkpoint dir that is deleted when the run ends."""
+    with run_scratch(spark, "full-run"):
+        generate_inputs(spark, cfg, files, out_dir)
+        initialize_records(spark, out_dir)
+        if vector_path:
+            apply_forecast(spark, cfg, out_dir, vector_path, files.zones)
+        synthesize(spark, cfg, out_dir, iterations)
+        generate_outputs(spark, replace(cfg, percent_population=1.0), out_dir)
+        validate(spark, cfg, files, out_dir)

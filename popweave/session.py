@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,11 +51,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+SCRATCH_CONF = "popweave.scratch.dir"
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A folder for intermediate tables: under the session's (shared) checkpoint dir."""
+    """A folder for intermediate tables: under the session's (shared) checkpoint dir, or
+    the folder of the enclosing ``run_scratch`` block."""
+    run = spark.conf.get(SCRATCH_CONF, None)
+    if run:
+        return run
     return ensure_checkpoint_dir(spark).rstrip("/") + "/popweave-tables"
 
 
+@contextmanager
+def run_scratch(spark: SparkSession, label: str = "run"):
+    """Give the intermediate tables written inside the block their own folder under the
+    checkpoint dir and delete it on exit. For file-to-file runs, whose results are all
+    written to their output folder before the block ends; nothing lazy may outlive it."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/popweave-tables/{label}-{uuid.uuid4().hex}"
+    prev = spark.conf.get(SCRATCH_CONF, None)
+    spark.conf.set(SCRATCH_CONF, path)
+    try:
+        yield path
+    finally:
+        if prev is None:
+            spark.conf.unset(SCRATCH_CONF)
+        else:
+            spark.conf.set(SCRATCH_CONF, prev)
+        drop_path(spark, path)
+
+
 def materialize(df, label: str = "table"):
     """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
 

@@ -29,6 +29,12 @@ def test_full_run_writes_every_output(spark):
     d = tempfile.mkdtemp(prefix="popweave-e2e-")
     files = _write_seeds(spark, d)
     pl.full_run(spark, sv.TEST_CONFIG, files, f"{d}/out", vector_path=f"{d}/vector", iterations=5)
+    # the run's intermediate tables are gone, and later work goes back to the shared folder
+    import os
+    from popweave.session import SCRATCH_CONF, scratch_dir
+    assert spark.conf.get(SCRATCH_CONF, None) is None
+    root = scratch_dir(spark).removeprefix("file:")
+    assert not [x for x in (os.listdir(root) if os.path.isdir(root) else []) if x.startswith("full-run-")]
     r = spark.read.option("header", True).csv(f"{d}/out/Validation/persons_totals")
     assert r.count() == 28 and "Observed Total" in r.columns
     assert spark.read.option("header", True).csv(f"{d}/out/Validation/households_totals").count() == 12
@@ -40,3 +46,14 @@ def test_full_run_writes_every_output(spark):
     assert tot > 0 and tot <= want
     z = spark.read.option("header", True).csv(f"{d}/out/ZonalResidence")
     assert set(r[0] for r in z.select("occupation").distinct().collect()) <= {"G", "M", "P", "S"}
+
+
+def test_run_scratch_holds_and_then_drops_intermediate_tables(spark):
+    import os
+    from popweave.session import materialize, run_scratch, scratch_dir
+    with run_scratch(spark, "t") as path:
+        t = materialize(spark.range(10), "x")
+        local = path.removeprefix("file:")
+        assert scratch_dir(spark) == path and len(os.listdir(local)) == 1
+        assert t.count() == 10
+    assert not os.path.exists(local) and scratch_dir(spark) != path
