@@ -148,20 +148,21 @@ def signatures(hh_inc: DataFrame, constraints: Sequence[Constraint]) -> DataFram
 # per column), which keeps the driver's plan-building time small in the loop.
 
 def achieved(W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Per MAZ, TAZ and region sums of ``w * inc_k``, laid out per MAZ.
+    """Per MAZ, TAZ or region sums of ``w * inc_k`` (the constraint's own level), laid out
+    per MAZ.
 
     The weight frame is reduced to one row per MAZ (partial sums map-side, final sums
     over the usual shuffle partitions, so no task reads every map task's partials); only
     that zone-sized result is moved into a single partition, where the TAZ and region
     totals are window sums with no further exchange."""
     inc = inc_columns(constraints)
-    k = len(inc)
     a = W.groupBy("maz", "taz", "region").agg(
         *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)]).repartition(1)
-    return a.selectExpr(
-        "maz", "taz", "region", *[f"a_{i}" for i in range(k)],
-        *[f"sum(a_{i}) OVER (PARTITION BY taz) AS at_{i}" for i in range(k)],
-        *[f"sum(a_{i}) OVER (PARTITION BY region) AS am_{i}" for i in range(k)])
+    # each constraint is read at its own level only: a_i (MAZ), at_i (TAZ) or am_i (region)
+    level = {"maz": "a_{i}", "taz": "sum(a_{i}) OVER (PARTITION BY taz) AS at_{i}",
+             "meta": "sum(a_{i}) OVER (PARTITION BY region) AS am_{i}"}
+    return a.selectExpr("maz", "taz", "region",
+                        *[level[c.level].format(i=i) for i, c in enumerate(constraints)])
 
 
 def factors(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
