@@ -310,3 +310,33 @@ def test_D9_new_zone_defaults_are_arguments(spark):
     measures = [c for c in maz.columns if c not in fc.KEYS]
     m = fc.outer_with_vector(maz, "maz", vec, measures, new_zone_region=2, new_zone_puma=9)
     assert {r["maz"]: (r["region"], r["puma"]) for r in m.collect()}[7] == (2, 9)
+
+
+def test_hot_group_is_split_and_exact(spark):
+    """One group holds 60 % of the rows: the ranked operators (range-partitioned positions,
+    no window per group) still give exact per-group results (checked by brute force)."""
+    import math
+
+    from popweave.operators import synthesis as syn
+    from popweave.operators.sampling import sampled_household_ids
+
+    rows_ = [(i, 0 if i < 3000 else 1 + i % 7, 0.37 * (i % 11) + 0.05) for i in range(5000)]
+    df = spark.createDataFrame(rows_, "household_id long, g int, w double").repartition(8)
+    # exact integer totals per group, hot group included
+    r = syn.integerize(df, "g", "w", target=F.lit(1000))
+    per = {x["g"]: x["s"] for x in r.groupBy("g").agg(F.sum("finalweight").alias("s")).collect()}
+    assert per == {g: 1000 for g in range(8)}
+    # largest remainders first: in the hot group, every row with a larger fraction than an
+    # unrounded-up row is rounded up (brute force over the hot group)
+    hot = [(x["household_id"], x["finalweight"]) for x in r.filter("g = 0").collect()]
+    tot = sum(w for i, g, w in rows_ if g == 0)
+    frac = {i: (w * 1000 / tot) - math.floor(w * 1000 / tot) for i, g, w in rows_ if g == 0}
+    up = {i for i, fw in hot if fw > math.floor([w for j, g, w in rows_ if j == i][0] * 1000 / tot)}
+    assert not up or min(frac[i] for i in up) >= max((frac[i] for i in frac if i not in up), default=0) - 1e-12
+    # exact per-group sample size on the hot group: round_half_even(frac * rows)
+    p = df.select("household_id", "g", F.col("household_id").alias("person_number"))
+    ids = sampled_household_ids(p.withColumnRenamed("g", "puma"), 0.25,
+                                ["household_id", "person_number"], method="exact")
+    got = ids.join(df, "household_id").groupBy("g").count().collect()
+    want = {0: 750, **{g: round(0.25 * sum(1 for _, gg, _ in rows_ if gg == g)) for g in range(1, 8)}}
+    assert {x["g"]: x["count"] for x in got} == want
