@@ -50,9 +50,11 @@ def category_shares(df: DataFrame, columns: Sequence[ImputeSpec], weight: str,
         for s in columns
     ])
     # Pre-aggregate on the joint codes first (partial sums map-side; the output is bounded
-    # by groups x the product of the code domains), then split it per column.
+    # by groups x the product of the code domains), then split it per column. That small
+    # result is hash-partitioned by group once: the per-code sums, the cumulative window
+    # and the per-group fold downstream all cluster on the group, so they add no exchange.
     cols = list(dict.fromkeys(s.column for s in columns))
-    pre = df.groupBy(group, *cols).agg(F.sum(weight).alias("_w"))
+    pre = df.groupBy(group, *cols).agg(F.sum(weight).alias("_w")).repartition(group)
     long = (pre.select(group, "_w", F.explode(items).alias("it"))
             .filter("it.ok")
             .select(group, "it.column", "it.num", "it.value", "_w"))
