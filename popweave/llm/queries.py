@@ -6,10 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popweave.llm import sharding, simhash_dedup
+from popweave.llm import (
+    chat_format,
+    decontaminate,
+    embedding_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    sentencepiece_codec,
+    sharding,
+    simhash_dedup,
+    substring_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": sentencepiece_codec.query,
+    "op2_decontamination": decontaminate.query,
+    "op3_license_scan": license_scan.query,
+    "op4_line_dedup": line_dedup.query,
+    "op5_substring_dedup": substring_dedup.query,
     "op6_sharding": sharding.query,
+    "op7_language_id": language_id.query,
     "op8_simhash": simhash_dedup.query,
+    "op9_chat_format": chat_format.query,
+    "op10_embedding_dedup": embedding_dedup.query,
 }
 ORACLE: dict[str, str] = {}
