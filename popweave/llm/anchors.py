@@ -30,9 +30,14 @@ def shingles(w: Column, k: int) -> Column:
 
 
 def hashed(df: DataFrame, text: str, k: int, *keep: str) -> DataFrame:
-    """``keep`` columns, ``h`` (shingle hashes) and ``n`` (their number)."""
+    """``keep`` columns, ``h`` (shingle hashes; null if there are none) and ``n`` (their number).
+
+    Rows without shingles aren't filtered here, and callers explode with ``outer``: the
+    optimiser would push such a filter below the projections and cut every text into words anew
+    for each use.
+    """
     w = df.select(*keep, words(F.col(text)).alias("w"))
-    return w.select(*keep, shingles(F.col("w"), k).alias("h")).filter("h IS NOT NULL").withColumn("n", F.size("h"))
+    return w.select(*keep, shingles(F.col("w"), k).alias("h")).withColumn("n", F.size("h"))
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
@@ -44,7 +49,7 @@ def windows(docs: DataFrame, needles: DataFrame, k: int) -> DataFrame:
     """(win, id, th, start, n, h): needle-sized windows of ``docs`` (id, th, text) around shared
     shingles; ``start`` and ``n`` count shingles. ``needles`` has ``h`` and ``n``."""
     vocabulary = materialize(needles.select("n", F.posexplode("h").alias("off", "g")).distinct(), "vocabulary")
-    each = hashed(docs, "text", k, "id", "th").select("id", "th", F.posexplode("h").alias("pos", "g"))
+    each = hashed(docs, "text", k, "id", "th").select("id", "th", F.posexplode_outer("h").alias("pos", "g"))
     # a window that would begin before the text begins with it
     spots = (each.join(sized(vocabulary, vocabulary.count()), "g")
              .select("id", "th", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n").distinct())

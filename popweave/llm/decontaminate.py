@@ -65,7 +65,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, rad
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("text IS NOT NULL").withColumn("th", F.xxhash64("text"))
     item = materialize(hashed(items.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")),
-                              "text", k, "item").distinct().withColumn("ik", F.xxhash64("item", "h")), "items")
+                              "text", k, "item").distinct().withColumn("ik", F.xxhash64("item", "h")), "items").filter("h IS NOT NULL")
     total = item.select(F.count("*").alias("t")).select("t").scalar()
     counted = lambda df, key: (df.select(key, F.explode("h").alias("g")).groupBy(key, "g")
                                .agg(F.count("*").alias("c")))

@@ -217,7 +217,7 @@ class Model:
                 e, c = own.T
                 mean = float((e * c).sum() / c.sum())
                 self.limits[x] = (mean, max(float(np.sqrt(np.mean((e - mean) ** 2 * c))), 1.0),
-                                  max(float(np.sqrt(np.mean((e - mean) ** 2))), 0.02))
+                                  max(float(np.sqrt(np.mean((e - mean) ** 2))), 0.1))
 
 
 SHARP = 20.0

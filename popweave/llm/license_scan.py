@@ -52,7 +52,7 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = 0.8, bands:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.filter("text IS NOT NULL").withColumn("th", F.xxhash64("text"))
     known = materialize(hashed(templates, "text", k, "license").distinct()
-                        .withColumn("tk", F.xxhash64("license", "h")), "templates")
+                        .withColumn("tk", F.xxhash64("license", "h")), "templates").filter("h IS NOT NULL")
     wins = materialize(windows(texts, known, k), "windows")
     pairs = band_keys(wins, "win", bands, rows).join(band_keys(known, "tk", bands, rows), "band").select("win", "tk").distinct()
     own = wins.select("win", "id", "th", "start", F.col("h").alias("hw"))

@@ -37,10 +37,11 @@ def tokens(line) -> Column:
 
 def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """(id, th, pos, leaf, shape) of every line that can be dropped."""
-    lines = rows.select("id", "th", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = lines.select("id", "th", "pos", tokens(F.col("line")).alias("t")).filter(F.size("t") >= min_tokens)
-    return cut.select("id", "th", "pos", F.xxhash64(F.size("t"), F.slice("t", 1, depth)).alias("leaf"),
-                      F.xxhash64("t").alias("shape"))
+    lines = rows.select("id", "th", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
+    cut = lines.select("id", "th", "pos", tokens(F.col("line")).alias("t"))
+    # null for short lines, left out after the write: as a filter here, every line would be cut twice
+    leaf = F.when(F.size("t") >= min_tokens, F.xxhash64(F.size("t"), F.slice("t", 1, depth)))
+    return cut.select("id", "th", "pos", leaf.alias("leaf"), F.xxhash64("t").alias("shape"))
 
 
 def templates(rows: DataFrame, lines: DataFrame, depth: int, similarity: float, min_docs: int) -> DataFrame:
@@ -77,7 +78,7 @@ def templates(rows: DataFrame, lines: DataFrame, depth: int, similarity: float,
 
 def dropped(rows: DataFrame, depth: int, similarity: float, min_docs: int, min_tokens: int, keep_first: bool) -> DataFrame:
     """(gid, gth, gone): the dropped line positions of each document that loses any."""
-    lines = materialize(parsed(rows, depth, min_tokens), "lines")
+    lines = materialize(parsed(rows, depth, min_tokens), "lines").filter("leaf IS NOT NULL")
     recurring = materialize(templates(rows, lines, depth, similarity, min_docs), "templates")
     hit = lines.join(recurring, ["leaf", "shape"])
     if keep_first:

@@ -36,15 +36,15 @@ def runs(docs: DataFrame, span: int, min_words: int) -> DataFrame:
     """(id, th, i, h1, h2): the run of ``span`` sentences from sentence ``i`` (0-based)."""
     plain = F.transform("s", lambda s: F.lower(F.trim(F.translate(s, "\n\t\r", "   "))))
     words = F.transform("p", lambda s: F.length(s) - F.length(F.translate(s, " ", "")) + 1)
-    cut = (docs.select("id", "th", sentences(F.col("text")).alias("s")).filter(F.size("s") >= span)
-           .select("id", "th", plain.alias("p")))
+    cut = docs.select("id", "th", sentences(F.col("text")).alias("s")).select("id", "th", plain.alias("p"))
     # hashes and word counts once a sentence; a run then combines ``span`` of them
     hashed = cut.select("id", "th", F.transform("p", lambda s: F.xxhash64(s)).alias("h"), words.alias("n"))
-    each = hashed.select("id", "th", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.size("h") - span + 1),
+    every = F.transform(
+        F.sequence(F.lit(1), F.size("h") - (span - 1)),
         lambda i: F.struct(*(F.element_at("h", i + k).alias(f"a{k}") for k in range(span)),
-                           sum((F.element_at("n", i + k) for k in range(1, span)), F.element_at("n", i)).alias("n"))))
-        .alias("i", "r"))
+                           sum((F.element_at("n", i + k) for k in range(1, span)), F.element_at("n", i)).alias("n")))
+    # outer: for an inner explode the optimiser would cut each text once more to filter on it
+    each = hashed.select("id", "th", F.posexplode_outer(F.when(F.size("h") >= span, every)).alias("i", "r"))
     parts = [F.col(f"r.a{k}") for k in range(span)]
     return each.filter(F.col("r.n") >= min_words).select(
         "id", "th", "i", F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2"))
@@ -52,7 +52,7 @@ def runs(docs: DataFrame, span: int, min_words: int) -> DataFrame:
 
 def dedup(docs: DataFrame, span: int = 3, min_words: int = 10, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """One row per input row: id, text without repeated spans, ``n_sentences``, ``n_removed``."""
+    """One row per input row: id, text without repeated spans, ``n_removed`` (sentences)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
     each = materialize(runs(rows, span, min_words), "runs")
@@ -66,12 +66,11 @@ def dedup(docs: DataFrame, span: int = 3, min_words: int = 10, id_col: str = "do
     covered = F.flatten(F.transform(F.coalesce("starts", F.array().cast("array<int>")),
                                     lambda i: F.sequence(i, i + span - 1)))
     cut = out.select("id", "text", F.when(F.col("starts").isNotNull(), sentences(F.col("text"))).alias("s"),
-                     F.size(sentences(F.col("text"))).alias("n_sentences"), F.array_distinct(covered).alias("c"))
+                     F.array_distinct(covered).alias("c"))
     # set difference of positions, then the sentences that are left
     left = F.array_except(F.sequence(F.lit(0), F.size("s") - 1), F.col("c"))
     kept = F.array_join(F.transform(left, lambda i: F.element_at("s", i + 1)), "")
     return cut.select(F.col("id").alias(id_col), F.when(F.col("s").isNull(), F.col("text")).otherwise(kept).alias(text_col),
-                      F.when(F.col("text").isNull(), 0).otherwise(F.col("n_sentences")).alias("n_sentences"),
                       F.size("c").alias("n_removed"))
 
 
