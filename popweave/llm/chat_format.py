@@ -40,7 +40,7 @@ MARKERS = {
 MARK = r"^\s*[#*<\[|]*\s*(\w+)\s*[*>\]|]*\s*:[*]*\s?"
 LENGTHS = 8  # buckets of the number of words
 NONE = len(ROLES)  # the marker of a line without a known one
-NOISE = 0.02  # share of lines whose marker misleads
+NOISE = 0.02  # share of lines whose marker says nothing, mixed into what was learned
 STATES = 2 * len(ROLES)  # 2 * role + (0: begins a turn, 1: goes on)
 
 
@@ -84,19 +84,16 @@ class Model:
         with np.errstate(divide="ignore"):
             self.step = np.log(step / step.sum(axis=1, keepdims=True))
         self.length, self.asks = np.ones((STATES, LENGTHS)), np.ones((STATES, 2))
-        for (s, length, asks), c in shows.items():
+        self.mark = np.ones((STATES, n + 1))
+        for (s, marker, length, asks), c in shows.items():
+            self.mark[s, marker] += c
             self.length[s, length] += c
             self.asks[s, asks] += c
         self.length = np.log(self.length / self.length.sum(axis=1, keepdims=True))
         self.asks = np.log(self.asks / self.asks.sum(axis=1, keepdims=True))
-        # a turn's first line has its speaker's marker, none, or (NOISE) another; a line that
-        # goes on has none but for noise
-        self.mark = np.full((STATES, n + 1), np.log(NOISE / n))
-        for s in range(STATES):
-            if s % 2:
-                self.mark[s, NONE] = np.log(1 - NOISE)
-            else:
-                self.mark[s, s // 2] = self.mark[s, NONE] = np.log((1 - NOISE) / 2)
+        # transcripts to come may lack markers more often than those learned from
+        mark = self.mark / self.mark.sum(axis=1, keepdims=True)
+        self.mark = np.log((1 - NOISE) * mark + NOISE / (n + 1))
 
     def emit(self, marker: np.ndarray, length: np.ndarray, asks: np.ndarray) -> np.ndarray:
         return (self.mark[:, marker] + self.length[:, length] + self.asks[:, asks]).T
@@ -142,11 +139,11 @@ class Model:
 
 
 def learn(numbered: DataFrame) -> Model:
-    """Counts over all labelled lines of (pos, conv, role, line, length, asks)."""
+    """Counts over all labelled lines of (pos, conv, role, line, marker, length, asks)."""
     role = F.lit(None).cast("int")
     for i, r in enumerate(ROLES):
         role = F.when(F.lower("role") == r, i).otherwise(role)
-    own = numbered.select("pos", "conv", "length", "asks", (role * 2 + F.least("line", F.lit(1))).alias("s"))
+    own = numbered.select("pos", "conv", "marker", "length", "asks", (role * 2 + F.least("line", F.lit(1))).alias("s"))
     # neighbours by position: an equi-join, however long a conversation is
     last = own.select((F.col("pos") + 1).alias("pos"), F.col("conv").alias("lc"), F.col("s").alias("ls"), F.lit(True).alias("has"))
     pairs = own.join(last, "pos", "left")
@@ -158,7 +155,7 @@ def learn(numbered: DataFrame) -> Model:
             start[s // 2] = start.get(s // 2, 0) + c
         elif a is not None:
             step[a, s] = c
-    shows = {(s, n, q): c for s, n, q, c in own.filter("s IS NOT NULL").groupBy("s", "length", "asks").count().collect()}
+    shows = {tuple(r[:4]): r[4] for r in own.filter("s IS NOT NULL").groupBy("s", "marker", "length", "asks").count().collect()}
     return Model(start, step, shows)
 
 

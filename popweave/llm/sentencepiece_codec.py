@@ -5,9 +5,10 @@ character map, which records for every normalised byte the source byte it came f
 are merged by score over the normalised text; each piece is projected through that record to
 the byte span of the original text it stands for.
 
-Byte-pair models with byte fallback are covered (no user-defined pieces). Merging never crosses
-two characters that stand side by side in no piece, so texts are cut there and the pieces of
-each cut string are kept by the Python worker, up to ``CACHED`` strings.
+Byte-pair models with byte fallback are covered (no user-defined pieces). Where no piece goes on
+from letters to other characters or on to a blank, texts are cut there into units; the units
+new to a Python worker are merged together in numpy, and kept for up to two generations of
+``CACHED`` units.
 
 Defined cases: null and empty texts give no ids and decode to the empty text; very long texts
 and very long words are encoded whole; a character without a piece becomes its UTF-8 byte
@@ -20,10 +21,9 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
-import math
 import re
+import unicodedata
 from array import array
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from popweave.llm.common import prepare, read, slices
 
 SPACE = "▁"
-CACHED = 200_000
-LONG = 48  # characters from which merging uses a heap, and strings aren't kept
+CACHED = 150_000  # units in a generation
+LONG = 48  # characters up to which units are merged side by side and kept
 # fixed values of the model file: piece types
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 
@@ -88,8 +88,8 @@ class Normalizer:
             # no character is mapped: only blanks widen, and the alignment is one vector step
             raw = np.frombuffer(source, np.uint8)
             offset = np.arange(len(raw))
-            lead = offset[(raw & 0xC0) != 0x80]
-            offset = np.repeat(lead, np.diff([*lead, len(raw)]))  # bytes of a character: its start
+            if len(source) > len(text):  # the bytes of a character stand for its start
+                offset = np.maximum.accumulate(np.where((raw & 0xC0) != 0x80, offset, 0))
             wide = np.repeat(offset, np.where(raw == 32, 3, 1))
             ahead = np.zeros(3 if self.dummy else 0, np.int64)
             return (SPACE if self.dummy else "") + text.replace(" ", SPACE), np.concatenate([ahead, wide, [len(raw)]])
@@ -142,6 +142,40 @@ class Normalizer:
         return out.decode(), np.array([*align, end], np.int64)
 
 
+class PairTable:
+    """Open-addressed hash table from a pair of symbols to the piece and score it makes."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray, score: np.ndarray):
+        self.bits = max(4, int(len(keys) * 4).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.to = np.zeros(1 << self.bits, np.int32)
+        self.score = np.full(1 << self.bits, -np.inf)
+        left = np.arange(len(keys))
+        slot = self._slot(keys)
+        while len(left):
+            free = self.keys[slot[left]] == -1
+            _, first = np.unique(slot[left[free]], return_index=True)
+            put = left[free][first]
+            self.keys[slot[put]], self.to[slot[put]], self.score[slot[put]] = keys[put], to[put], score[put]
+            left = np.setdiff1d(left, put)
+            slot[left] = np.where(self.keys[slot[left]] != -1, slot[left] + 1 & (1 << self.bits) - 1, slot[left])
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        on = np.flatnonzero((held != keys) & (held != -1))
+        flat_slot, flat_keys = slot.reshape(-1), keys.reshape(-1)
+        while len(on):
+            flat_slot[on] = flat_slot[on] + 1 & (1 << self.bits) - 1
+            held = self.keys[flat_slot[on]]
+            on = on[(held != flat_keys[on]) & (held != -1)]
+        ok = self.keys[slot] == keys
+        return np.where(ok, self.score[slot], -np.inf), self.to[slot]
+
+
 class Codec:
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2 as proto
@@ -169,68 +203,111 @@ class Codec:
         self.blank = np.array([k in (NORMAL,) and p.piece.startswith(SPACE) for k, p in zip(kinds, m.pieces)])
         self.control = np.array([k == CONTROL for k in kinds])
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
-        # units begin at blanks where no piece goes on across one
-        apart = not any(p[1] == SPACE != p[0] for p in self.pairs)
-        self.units = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else ".+", re.DOTALL)
+        # symbols of the merge: pieces by id, then other characters of pieces, then the unknown
+        # character and the padding; and a hash table of the pairs of symbols that make a piece
+        symbol = dict(self.ids)
+        extra = sorted({c for p in self.ids for c in p} - symbol.keys())
+        symbol.update(zip(extra, range(len(kinds), len(kinds) + len(extra))))
+        self.unknown = len(kinds) + len(extra)
+        self.padding = self.unknown + 1
+        self.of_char = np.full(0x110000, self.unknown, np.int32)
+        for c, i in symbol.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
+        self.is_piece = np.zeros(self.padding + 1, bool)
+        self.is_piece[list(self.ids.values())] = True
+        self.width = np.zeros(self.padding + 1, np.uint8)
+        for piece, i in symbol.items():
+            self.width[i] = len(piece.encode())
+        made = [(symbol[p[:k]], symbol[p[k:]], i) for p, i in self.ids.items() for k in range(1, len(p))
+                if p[:k] in symbol and p[k:] in symbol]
+        a, b, to = np.array(made, np.int64).reshape(-1, 3).T
+        self.table = PairTable(a * (self.padding + 1) + b, to, np.array([m.pieces[i].score for i in to], np.float64))
+        # units: a run of letters (of the pieces) or of other characters, with the blanks before
+        # it, where no piece goes on across their borders; else the whole text
+        letters = {c for p in self.ids for c in p if unicodedata.category(c)[0] in "LM"}
+        crossing = any(p[0] != SPACE and (p[1] == SPACE or (p[0] in letters) != (p[1] in letters)) for p in self.pairs)
+        word = re.escape("".join(sorted(letters)))
+        self.units = re.compile(".+" if crossing or not letters else
+                                f"{SPACE}*[{word}]+|{SPACE}*[^{word}{SPACE}]+|{SPACE}+", re.DOTALL)
+        # units met lately and, in two generations, those met before them
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the byte span (begin, end) of the original text under each."""
-        norm, align = self.normalizer(text or "")
-        if not norm:
-            return (np.zeros(0, np.int32),) * 3
-        known, unit = self.known, self._unit
-        got = [known.get(u) or unit(u) for u in self.units.findall(norm)]
-        ids = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
-        end = np.cumsum(np.frombuffer(b"".join([g[1] for g in got]), np.uint8), dtype=np.int64)
-        begin = np.concatenate([[0], end[:-1]])
-        return ids, align[begin].astype(np.int32), align[end].astype(np.int32)
-
-    def _unit(self, u: str) -> tuple[bytes, bytes]:
-        """Ids and normalised byte lengths of the pieces of ``u``."""
-        joined = list(map(self.pairs.__contains__, map(add, u, u[1:])))
-        if all(joined):
-            return self._merged(u)
-        cuts = [i for i, x in enumerate(joined, 1) if not x]
-        parts = [u[i:j] for i, j in zip([0, *cuts], [*cuts, len(u)])]
-        got = [self.known.get(p) or self._merged(p) for p in parts]
-        return self._keep(u, (b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
-
-    def _keep(self, u: str, out: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
-        if len(u) < LONG:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known[u] = out
-        return out
-
-    def _merged(self, u: str) -> tuple[bytes, bytes]:
-        ids, lengths = [], []
-        for piece in (self._merge if len(u) < LONG else self._merge_long)(list(u)):
-            raw = piece.encode()
-            if (i := self.ids.get(piece)) is not None:
-                ids.append(i)
-                lengths.append(len(raw))
-            else:
-                ids += [self.byte_ids[b] for b in raw]
-                lengths += [0] * (len(raw) - 1) + [len(raw)]
-        return self._keep(u, (array("i", ids).tobytes(), bytes(lengths)))
-
-    def _merge(self, s: list[str]) -> list[str]:
-        """Merge the pair of highest score, leftmost first, until none is a piece."""
-        score, none = self.score.get, -math.inf
-        best = [score(x, none) for x in map(add, s, s[1:])]
-        while best and (top := max(best)) != none:
-            at = best.index(top)
-            s[at:at + 2] = [s[at] + s[at + 1]]
-            del best[at]
-            if at:
-                best[at - 1] = score(s[at - 1] + s[at], none)
-            if at < len(best):
-                best[at] = score(s[at] + s[at + 1], none)
-        return s
-
-    def _merge_long(self, s: list[str]) -> list[str]:
-        """The same with a heap over a linked list, for long strings."""
+        return next(self.encode_many([text]))
+
+    def encode_many(self, texts: list[str | None]):
+        """``encode`` of each text; the units new to this worker are merged together."""
+        normal = [self.normalizer(t or "") for t in texts]
+        cut = [self.units.findall(n) for n, _ in normal]
+        if len(self.known) > CACHED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = {u for units in cut for u in units if u not in known}
+        known.update((u, older[u]) for u in new if u in older)
+        new = [u for u in new if u not in older]
+        known.update(self._merge_many([u for u in new if len(u) <= LONG]))
+        long = {u: self._merge_long(u) for u in new if len(u) > LONG}
+        for (norm, align), units in zip(normal, cut):
+            if not norm:
+                yield (np.zeros(0, np.int32),) * 3
+                continue
+            got = [known[u] for u in units] if not long else [known.get(u) or long[u] for u in units]
+            ids = np.frombuffer(b"".join([g[0] for g in got]), np.int32)
+            end = np.cumsum(np.frombuffer(b"".join([g[1] for g in got]), np.uint8), dtype=np.int64)
+            begin = np.concatenate([[0], end[:-1]])
+            yield ids, align[begin].astype(np.int32), align[end].astype(np.int32)
+
+    def _merge_many(self, units: list[str]):
+        """(unit, (ids, normalised byte lengths)) of short units, merged side by side: in every
+        round each unit merges its pair of highest score, leftmost first."""
+        units = sorted(units, key=len)
+        for at in range(0, len(units), 4096):
+            group = units[at:at + 4096]
+            size = np.array([len(u) for u in group])
+            s = np.full((len(group), size[-1] + 1), self.padding, np.int32)
+            code = np.frombuffer("".join(group).encode("utf-32-le"), "<u4")
+            s[np.arange(s.shape[1]) < size[:, None]] = self.of_char[code]
+            done = s.copy()
+            rows, place = np.arange(len(group)), np.arange(s.shape[1])
+            score, to = self._pairs(s[:, :-1], s[:, 1:])
+            while len(rows):
+                best = score.argmax(axis=1)
+                every = np.arange(len(rows))
+                live = score[every, best] > -np.inf
+                if not live.all():
+                    done[rows[~live]] = s[~live]
+                    rows, s, score, to, best = rows[live], s[live], score[live], to[live], best[live]
+                    every = np.arange(len(rows))
+                if not len(rows):
+                    break
+                made = to[every, best]
+                # drop the right half of each merged pair, then look at its new neighbours
+                shift = np.minimum(place + (place > best[:, None]), len(place) - 1)
+                s = np.take_along_axis(s, shift, axis=1)
+                s[every, best] = made
+                shift = np.minimum(shift[:, :-1], len(place) - 2)
+                score, to = np.take_along_axis(score, shift, axis=1), np.take_along_axis(to, shift, axis=1)
+                score[:, -1] = -np.inf
+                for k in (np.maximum(best - 1, 0), best):
+                    score[every, k], to[every, k] = self._pairs(s[every, k], s[every, k + 1])
+            used = done != self.padding
+            flat = done[used]
+            ids, width = flat.tobytes(), self.width[flat].tobytes()
+            end = np.cumsum(used.sum(axis=1)).tolist()
+            plain = (self.is_piece[done] | ~used).all(axis=1).tolist()
+            for u, i, j, ok in zip(group, [0, *end], end, plain):
+                yield u, (ids[4 * i:4 * j], width[i:j]) if ok else self._merge_long(u)
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray):
+        return self.table.find(a.astype(np.int64) * (self.padding + 1) + b)
+
+    def _merge_long(self, unit: str) -> tuple[bytes, bytes]:
+        """Ids and lengths of one unit, with a heap over a linked list; characters without a
+        piece become byte pieces."""
+        s = list(unit)
         n = len(s)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[float, int, str]] = []
@@ -251,7 +328,16 @@ class Codec:
                 before[after[i]] = i
             offer(i)
             offer(before[i])
-        return [x for x in s if x]
+        ids, lengths = [], []
+        for piece in filter(None, s):
+            raw = piece.encode()
+            if (i := self.ids.get(piece)) is not None:
+                ids.append(i)
+                lengths.append(len(raw))
+            else:
+                ids += [self.byte_ids[b] for b in raw]
+                lengths += [0] * (len(raw) - 1) + [len(raw)]
+        return array("i", ids).tobytes(), bytes(lengths)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a list of ids."""
@@ -298,7 +384,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
         c = codec(shared.value)
         for batch in batches:
             for part in slices(batch, 1):
-                got = [c.encode(t) for t in part.column(1).to_pylist()]
+                got = list(c.encode_many(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(_ints([g[i] for g in got]) for i in range(3))],
                                                  names=["id", "ids", "begins", "ends"])
 
@@ -330,8 +416,7 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
         for batch in batches:
             for part in slices(batch, 1):
                 n, ids_sha, text_sha, spanned = [], [], [], []
-                for text in part.column(1).to_pylist():
-                    ids, begin, end = c.encode(text)
+                for ids, begin, end in c.encode_many(part.column(1).to_pylist()):
                     n.append(len(ids))
                     spanned.append(int((end - begin).sum()))
                     ids_sha.append(hashlib.sha256(",".join(map(c.decimal.__getitem__, ids.tolist())).encode()).hexdigest())
