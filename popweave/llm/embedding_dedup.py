@@ -32,27 +32,34 @@ from popweave.session import materialize
 
 
 def bucket_keys(classes: DataFrame, tables: int, projections: int, width: float, seed: int) -> DataFrame:
-    """(cls, dim, v, label, w, sig) with ``sig`` the bucket hash of each table."""
+    """(cls, dim, v, label, w, sig): ``raw`` at length 1 and the bucket hash of each table."""
     def run(batches):
         for batch in batches:
             lists = batch.column(2)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             dims = batch.column(1).to_numpy()
             ends = np.cumsum(dims)
-            sig = np.zeros((batch.num_rows, tables), np.int64)
+            sig, unit = np.zeros((batch.num_rows, tables), np.int64), np.empty(len(flat))
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
-                m = flat[(ends[at] - d)[:, None] + np.arange(d)]
+                place = (ends[at] - d)[:, None] + np.arange(d)
+                m = flat[place]
+                # by the largest component first: the squares neither overflow nor vanish
+                m = m / np.abs(m).max(axis=1, keepdims=True)
+                m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
+                unit[place] = m
                 rng = np.random.default_rng([seed, int(d)])
                 a, b = rng.standard_normal((int(d), tables * projections)), rng.uniform(0, width, tables * projections)
                 q = np.floor((m @ a + b) / width).astype(np.int64).reshape(len(at), tables, projections)
                 mix = rng.integers(-(1 << 62), 1 << 62, (tables, projections)) * 2 + 1
                 sig[at] = (q * mix).sum(axis=2)
             sigs = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1) * tables, pa.int32()), pa.array(sig.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, sigs], names=["cls", "dim", "v", "label", "w", "sig"])
+            v = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(unit))
+            columns = [batch.column("cls"), batch.column("dim"), v, batch.column("label"), batch.column("w"), sigs]
+            yield pa.RecordBatch.from_arrays(columns, names=["cls", "dim", "v", "label", "w", "sig"])
 
     label = classes.schema["label"].dataType.simpleString()
-    return (classes.select("cls", "dim", "v", "label", "w")
+    return (classes.select("cls", "dim", "raw", "label", "w")
             .mapInArrow(run, f"cls long, dim int, v array<double>, label {label}, w long, sig array<long>"))
 
 
@@ -98,18 +105,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, tables: int = 20,
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("raw"),
                           F.col(label_col).alias("label"))
     finite = F.forall("raw", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    # scaled by the largest component first, so that the squares neither overflow nor vanish
-    top = F.array_max(F.transform("raw", F.abs))
     usable = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("raw") > 0)
-                        & finite & (top > 0), F.lit(False))
-    scaled = F.transform("raw", lambda x: x / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
+                        & finite & F.exists("raw", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("usable", usable)
     # classes of equal vectors under equal labels
     classes = materialize(
         rows.filter("usable").groupBy("label", "raw").agg(F.min("id").alias("rep"), F.count("*").alias("w"))
-        .withColumn("cls", F.monotonically_increasing_id())
-        .withColumn("v", F.transform(scaled, lambda x: x / norm)).withColumn("dim", F.size("raw")), "classes")
+        .withColumn("cls", F.monotonically_increasing_id()).withColumn("dim", F.size("raw")), "classes")
     hashed = materialize(bucket_keys(classes, tables, projections, width, seed), "hashed")
     keyed = (hashed.select("cls", "w", "dim", "label", F.posexplode("sig").alias("t", "h"))
              .select("cls", "w", "t", F.xxhash64("label", "dim", "t", "h").alias("key")))
