@@ -110,8 +110,9 @@ def _drop(columns: Iterable[str], drop: Sequence[str]) -> list[str]:
 
 
 def truncate_int(c: str) -> Column:
-    """Truncate toward zero to int (PRJ5)."""
-    return F.col(c).cast("int").alias(c)
+    """Truncate toward zero (PRJ5): keys to int, totals to 64 bits (a region of more than
+    2^31 persons fits)."""
+    return F.col(c).cast("int" if c in CONTROL_KEYS_MAZ else "bigint").alias(c)
 
 
 def controls_maz(raw: DataFrame, cfg: RunConfig) -> DataFrame:

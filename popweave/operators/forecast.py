@@ -23,7 +23,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popweave.config import NEW_ZONE_PUMA, NEW_ZONE_REGION, RunConfig
+from popweave.config import CONTROL_KEYS_MAZ, NEW_ZONE_PUMA, NEW_ZONE_REGION, RunConfig
 from popweave.functions.sizing import broadcast_if_bounded
 from popweave.functions.zones import assign_group
 from popweave.session import materialize
@@ -126,8 +126,8 @@ def forecast_zone_values(maz: DataFrame, vector: DataFrame, zones: DataFrame, cf
 
 
 def ceil_int(c: str) -> Column:
-    """PRJ6."""
-    return F.ceil(F.col(c)).cast("int").alias(c)
+    """PRJ6: keys to int, totals to 64 bits."""
+    return F.ceil(F.col(c)).cast("int" if c in CONTROL_KEYS_MAZ else "bigint").alias(c)
 
 
 def forecast_maz(maz: DataFrame, vector: DataFrame, zones: DataFrame, cfg: RunConfig,
@@ -145,7 +145,7 @@ def forecast_taz(taz: DataFrame, maz_values: DataFrame, controls: Sequence[str],
     j = t.join(mv, "taz", "left")
     keep = [c for c in measures if c in set(controls)]
     return j.select(ceil_int("region"), ceil_int("puma"), ceil_int("taz"),
-                    *[F.ceil(F.coalesce(F.col(f"_m_{c}"), F.col(c).cast("double"))).cast("int").alias(c)
+                    *[F.ceil(F.coalesce(F.col(f"_m_{c}"), F.col(c).cast("double"))).cast("bigint").alias(c)
                       for c in keep])
 
 

@@ -26,11 +26,14 @@ HOUSEHOLD_OUTPUT = ("household_id", "household_zone", "expansion_factor", "numbe
 
 
 def _narrow(df: DataFrame, name: str, typ: str, default=None) -> Column:
-    """Narrow-typed column; a value that does not fit becomes null (``try_cast``) instead
-    of wrapping. An absent column takes ``default`` (PRJ20, PRJ21)."""
+    """Narrow-typed column; a value that does not fit stops the run instead of wrapping or
+    turning into null. An absent column takes ``default`` (PRJ20, PRJ21). Zones and weights
+    are int: zone ids and weights beyond 16 bits are ordinary."""
     if name not in df.columns:
         return F.lit(default).cast(typ)
-    return F.expr(f"try_cast(`{name}` AS {typ})")
+    fits = F.expr(f"try_cast(`{name}` AS {typ})")
+    says = F.concat(F.lit(f"{name} does not fit {typ}: "), F.col(name).cast("string"))
+    return F.when(F.col(name).isNotNull() & fits.isNull(), F.raise_error(says).cast(typ)).otherwise(fits)
 
 
 def transform_persons(synpop_person: DataFrame) -> DataFrame:
@@ -51,9 +54,9 @@ def transform_persons(synpop_person: DataFrame) -> DataFrame:
         _narrow(d, "occupation", "smallint").alias("occupation"),
         txt("free_parking", "O").alias("free_parking"),
         txt("student_status").alias("student_status"),
-        _narrow(d, "employment_zone", "smallint", 0).alias("employment_zone"),
-        F.lit(0).cast("smallint").alias("school_zone"),
-        _narrow(d, "finalweight", "smallint").alias("expansion_factor"),
+        _narrow(d, "employment_zone", "int", 0).alias("employment_zone"),
+        F.lit(0).cast("int").alias("school_zone"),
+        _narrow(d, "finalweight", "int").alias("expansion_factor"),
     )
 
 
@@ -62,8 +65,8 @@ def transform_households(synpop_hh: DataFrame) -> DataFrame:
     d = synpop_hh
     return d.select(
         F.col("temp_id").cast("bigint").alias("household_id"),
-        _narrow(d, "maz", "smallint").alias("household_zone"),
-        _narrow(d, "finalweight", "smallint").alias("expansion_factor"),
+        _narrow(d, "maz", "int").alias("household_zone"),
+        _narrow(d, "finalweight", "int").alias("expansion_factor"),
         _narrow(d, "number_of_persons", "tinyint").alias("number_of_persons"),
         _narrow(d, "dwelling_type", "tinyint").alias("dwelling_type"),
         _narrow(d, "vehicles", "tinyint").alias("vehicles"),

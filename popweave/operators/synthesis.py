@@ -1,6 +1,7 @@
 """Small-area synthesis as DataFrame jobs (SY1-SY6).
 
-Model: every seed household keeps its own MAZ; household weights are balanced so that
+Model: a seed household belongs to its own MAZ; a MAZ with a household target and no seed
+household draws seed households from its puma (``seed_empty_zones``); weights are balanced so that
 ``sum(weight * incidence)`` meets the control targets at three nested levels at once
 (MAZ, TAZ, meta region), then integerised per MAZ to the household total and emitted
 as the synthetic population. No MAZ x household pairs are ever formed: households
@@ -12,7 +13,7 @@ row per MAZ) + a narrow update joined to a per-MAZ factor table (one row per MAZ
 zone dimension, broadcast). The update is simultaneous and row-normalised
 (multiplicative, SMART-style): ``w * exp(sum_c i_c a_c ln f_c / sum_c i_c a_c)`` with
 ``f_c = target / achieved`` and importance ``i_c`` scaled by the median importance and
-clipped to [0.1, 10]. A zero target with positive achieved zeroes the incident weights;
+clipped to ``RunConfig.importance_range``. A zero target with positive achieved zeroes the incident weights;
 a zero achieved leaves the factor at 1. Weights are capped at ``max_expansion_factor``
 x the number of seed households behind the signature.
 
@@ -34,6 +35,7 @@ from popweave.config import AGE_BINS, AGE_COLUMNS, RunConfig
 from popweave.functions.sizing import DIMENSION_MAX_ROWS
 from popweave.functions.zones import in_ranges
 from popweave.operators.ids import dense_position
+from popweave.session import materialize
 
 
 @dataclass(frozen=True)
@@ -50,11 +52,12 @@ class Constraint:
 
 def default_constraints(cfg: RunConfig) -> list[Constraint]:
     """The eight synthesizer targets (SY1). Occupation and employment status are
-    matched on their codes (the seed is re-coded); student status on its letters, as no
-    student map is configured. Employment-zone bins follow the run's zone ranges, with
+    matched on their codes (the seed is re-coded); student status on its codes where a
+    student map is configured, else on its letters. Employment-zone bins follow the run's zone ranges, with
     the roaming id excluded from external, as in the controls."""
     occ = cfg.person_category_map["Occupation"]
     emp = cfg.person_category_map["EmploymentStatus"]
+    student = cfg.person_category_map.get("StudentStatus", {v: v for v in "SPO"})
 
     def ez():
         return F.col("employment_zone")
@@ -75,8 +78,8 @@ def default_constraints(cfg: RunConfig) -> list[Constraint]:
                        lambda k=k: F.col("income_class") == k) for k in range(1, 7)]
     out += [Constraint(name, "meta", "person", 700, lambda lo=lo, hi=hi: F.col("age").between(lo, hi))
             for (lo, hi), name in zip(AGE_BINS, AGE_COLUMNS)]
-    out += [Constraint(f"S_{v}", "meta", "person", 800, lambda v=v: F.col("student_status") == v)
-            for v in "SPO"]
+    out += [Constraint(f"S_{v}", "meta", "person", 800, lambda v=v: F.col("student_status") == student[v])
+            for v in "SPO" if v in student]
     out.append(Constraint("totpop", "meta", "person", 100000,
                           lambda: (F.col("weight") >= 0) & (F.col("weight") < 99999999)))
     return out
@@ -88,9 +91,9 @@ def constraint_table(spark: SparkSession, constraints: Sequence[Constraint]) ->
     return spark.createDataFrame(rows, "id int, control string, level string, table string, importance double")
 
 
-def scaled_importance(constraints: Sequence[Constraint]) -> list[float]:
+def scaled_importance(constraints: Sequence[Constraint], within: tuple[float, float] = (0.1, 10.0)) -> list[float]:
     m = median(c.importance for c in constraints)
-    return [min(10.0, max(0.1, c.importance / m)) for c in constraints]
+    return [min(within[1], max(within[0], c.importance / m)) for c in constraints]
 
 
 def incidence(households: DataFrame, persons: DataFrame,
@@ -153,11 +156,10 @@ def achieved(W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
 
     The weight frame is reduced to one row per MAZ (partial sums map-side, final sums
     over the usual shuffle partitions, so no task reads every map task's partials); only
-    that zone-sized result is moved into a single partition, where the TAZ and region
-    totals are window sums with no further exchange."""
+    that zone-sized result is windowed by TAZ and by region."""
     inc = inc_columns(constraints)
     a = W.groupBy("maz", "taz", "region").agg(
-        *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)]).repartition(1)
+        *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)])
     # each constraint is read at its own level only: a_i (MAZ), at_i (TAZ) or am_i (region)
     level = {"maz": "a_{i}", "taz": "sum(a_{i}) OVER (PARTITION BY taz) AS at_{i}",
              "meta": "sum(a_{i}) OVER (PARTITION BY region) AS am_{i}"}
@@ -169,7 +171,8 @@ def factors(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -
     """Per MAZ: ``lnf_k`` (log target/achieved at the constraint's level, 0 when either
     side gives no information), ``kill_k`` (target 0, achieved > 0) and ``res_k``
     (relative residual)."""
-    j = ach.join(tgt.drop("taz", "region"), "maz", "inner")
+    # a MAZ with seed households and no control row keeps its weights (no target, factor 1)
+    j = ach.join(tgt.drop("taz", "region"), "maz", "left")
     cols = []
     for i, c in enumerate(constraints):
         a = {"maz": f"a_{i}", "taz": f"at_{i}", "meta": f"am_{i}"}[c.level]
@@ -203,12 +206,12 @@ def max_residual(fac: DataFrame, k: int) -> float:
 
 
 def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], cfg: RunConfig,
-            iterations: int = 50, tolerance: float = 1e-4,
-            patience: int = 5, step: int = 2) -> tuple[DataFrame, list[float]]:
+            iterations: int | None = None, tolerance: float = 1e-4,
+            patience: int | None = None, step: int = 2) -> tuple[DataFrame, list[float]]:
     """Balancing with a residual stop (SY3): at most ``iterations`` updates; stops when
     the largest relative residual is below ``tolerance``, or when it has not improved
     on its best value by 0.1 % for ``patience`` reads (contradictory or unreachable
-    targets, e.g. a zone with no seed households, never reach the tolerance). The
+    targets never reach the tolerance). The
     residual is read every ``step`` iterations. Returns the checked weight frame with
     the smallest residual (the largest residual need not fall monotonically when the
     levels contradict each other) and the residual history. The driver loop only
@@ -230,7 +233,9 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
     spark = sig.sparkSession
     base = f"{scratch_dir(spark)}/balance-{uuid.uuid4().hex}"
     k = len(constraints)
-    imp = scaled_importance(constraints)
+    imp = scaled_importance(constraints, cfg.importance_range)
+    iterations = cfg.balance_iterations if iterations is None else iterations
+    patience = cfg.balance_patience if patience is None else patience
     step = max(1, int(step))
     # targets and factors have one row per MAZ: broadcast them when the MAZ count is
     # within the dimension bound (checked once), else let the planner shuffle-join
@@ -282,8 +287,13 @@ def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], c
 
 
 def residual_report(W: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Achieved vs target per (level, geography, control) (SY6)."""
-    ach = achieved(W, constraints).join(tgt.drop("taz", "region"), "maz", "inner")
+    """Achieved vs target per (level, geography, control) (SY6): every target of every zone,
+    zones without households at 0."""
+    # weightless rows stand for the zones that no household is in
+    empty = tgt.select("maz", "taz", "region").join(W.select("maz").distinct(), "maz", "left_anti")
+    both = W.unionByName(empty.select("*", F.lit(0.0).alias("w"), *[
+        F.lit(0).alias(c) for c in inc_columns(constraints)]), allowMissingColumns=True)
+    ach = achieved(both, constraints).join(tgt.drop("taz", "region"), "maz", "inner")
     rows = []
     for i, c in enumerate(constraints):
         geo = {"maz": "maz", "taz": "taz", "meta": "region"}[c.level]
@@ -295,6 +305,46 @@ def residual_report(W: DataFrame, tgt: DataFrame, constraints: Sequence[Constrai
     return long.withColumn("residual", F.col("achieved") - F.col("target"))
 
 
+def seed_empty_zones(households: DataFrame, zones: DataFrame) -> DataFrame:
+    """Households plus draws for the zones that have a target and no household (SY3).
+
+    ``households`` has household_id, maz, taz, region, puma, weight and more; ``zones`` has
+    maz, taz, region, puma and ``target``. Each empty zone gets as many units as its target
+    from the households of its puma (of all pumas where its own has none), in proportion to
+    their weights: both sides are numbered densely within the pool and joined on (pool,
+    number), so the work is linear in the units. A household drawn several times by a zone
+    is one row with that weight."""
+    pooled = lambda df: df.select("puma").distinct().withColumn("_own", F.lit(True))
+    held = households.select("maz").distinct()
+    empty = (zones.withColumn("_n", F.round("target").cast("long")).filter("_n > 0")
+             .join(held, "maz", "left_anti").join(pooled(households), "puma", "left")
+             .withColumn("_pool", F.when(F.col("_own"), F.col("puma").cast("string")).otherwise("all")))
+    empty = materialize(empty.select("maz", "taz", "region", "_pool", "_n"), "empty-zones")
+    need = empty.groupBy("_pool").agg(F.sum("_n").alias("_need"))
+    # every household stands in its puma's pool and, where a zone needs it, in the common one
+    donors = (households.select("household_id", "weight", F.explode(F.array(
+        F.col("puma").cast("string"), F.lit("all"))).alias("_pool")).join(need, "_pool"))
+    drawn = integerize(donors, "_pool", "weight", target=F.col("_need"), out_col="_u").filter("_u > 0")
+    unit = (drawn.select("_pool", "household_id", F.explode(F.sequence(F.lit(1), F.col("_u"))).alias("_k"))
+            .withColumn("_mix", F.xxhash64("household_id", "_k")))
+    slot = empty.select("_pool", "maz", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
+
+    def numbered(df: DataFrame, *order: str) -> DataFrame:
+        d = dense_position(df, ["_pool", *order], "_pos")
+        first = d.groupBy("_pool").agg(F.min("_pos").alias("_first"))
+        return d.join(first, "_pool").withColumn("_slot", F.col("_pos") - F.col("_first"))
+
+    units = numbered(unit, "_mix", "household_id", "_k").select("_pool", "_slot", "household_id")
+    slots = numbered(slot, "maz", "_k").select("_pool", "_slot", "maz")
+    given = (slots.join(units, ["_pool", "_slot"]).groupBy("household_id", "maz")
+             .agg(F.count(F.lit(1)).alias("_w"))
+             .join(empty.select("maz", "taz", "region"), "maz"))
+    households = households.withColumn("weight", F.col("weight").cast("double"))
+    rest = households.drop("maz", "taz", "region", "weight")
+    drawn_rows = given.join(rest, "household_id").withColumn("weight", F.col("_w").cast("double"))
+    return households.unionByName(drawn_rows.select(*households.columns))
+
+
 def household_weights(hh_inc: DataFrame, W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Spread each signature's balanced weight over its households by seed weight."""
     keys = ["maz", *inc_columns(constraints)]
@@ -308,17 +358,18 @@ def integerize(df: DataFrame, group: str, weight: str, target: Column | None = N
                tie: Sequence[str] = ("household_id",), out_col: str = "finalweight") -> DataFrame:
     """Integer weights whose per-group total is exact (SY4): scale to the group target
     (default: the rounded weight total), take floors, and give the group's remaining
-    units to the largest fractional parts (ties by ``tie``).
+    units to the largest fractional parts (ties by ``tie``). A group whose weights are all
+    zero shares its target equally.
 
     The per-group rank comes from a distributed dense position over
     (group, -fraction, tie) minus the group's first position, so a large group is not
     one window partition."""
-    tot = df.groupBy(group).agg(F.sum(weight).alias("_tot"))
+    tot = df.groupBy(group).agg(F.sum(weight).alias("_tot"), F.count(F.lit(1)).alias("_rows"))
     d = df.join(tot, group, "inner")
     tgt = F.round(F.col("_tot").cast("double"), 0) if target is None else target
     d = d.withColumn("_T", tgt.cast("long"))
     scaled = F.when(F.col("_tot") > 0, F.col(weight).cast("double") * F.col("_T").cast("double")
-                    / F.col("_tot").cast("double")).otherwise(F.lit(0.0))
+                    / F.col("_tot").cast("double")).otherwise(F.col("_T") / F.col("_rows"))
     d = d.withColumn("_s", scaled).withColumn("_fl", F.floor("_s")) \
          .withColumn("_fr", F.col("_s") - F.col("_fl")).withColumn("_nfr", -F.col("_fr"))
     pos = dense_position(d, [group, "_nfr", *tie], "_pos")
@@ -327,7 +378,7 @@ def integerize(df: DataFrame, group: str, weight: str, target: Column | None = N
     r = pos.join(stats, group)
     extra = F.when(F.col("_pos") - F.col("_first") < F.col("_T") - F.col("_sfl"), 1).otherwise(0)
     return r.withColumn(out_col, (F.col("_fl") + extra).cast("int")) \
-            .drop("_tot", "_T", "_s", "_fl", "_fr", "_nfr", "_sfl", "_pos", "_first")
+            .drop("_tot", "_rows", "_T", "_s", "_fl", "_fr", "_nfr", "_sfl", "_pos", "_first")
 
 
 def synthesize(hh_final: DataFrame, persons: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -335,5 +386,6 @@ def synthesize(hh_final: DataFrame, persons: DataFrame) -> tuple[DataFrame, Data
     and their persons carrying the household's ``temp_id`` and final weight (SY5)."""
     kept = hh_final.filter(F.col("finalweight") > 0)
     hh = dense_position(kept, ["maz", "household_id"], "temp_id")
+    # a household drawn by several zones has a row, an id and its persons in each
     p = persons.join(hh.select("household_id", "temp_id", "finalweight"), "household_id", "inner")
     return hh, p

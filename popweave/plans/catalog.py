@@ -62,7 +62,7 @@ def raw_controls(spark: SparkSession, sf_dir: str,
 
 
 def _trunc_cols(cols) -> str:
-    return ", ".join(f"CAST(trunc({c}) AS INTEGER) AS {c}" for c in cols)
+    return ", ".join(f"CAST(trunc({c}) AS BIGINT) AS {c}" for c in cols)
 
 
 # --- control totals ------------------------------------------------------------------
@@ -122,7 +122,7 @@ def q_controls_drop_columns(spark, sf_dir):
 @register("controls_totpop_override", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + """,
 vec AS (SELECT zone, CASE WHEN zone % 6 = 0 THEN 0.0 ELSE CAST(zone AS DOUBLE) * 1000.0 END AS population
         FROM zones)
-SELECT maz, CAST(trunc(COALESCE(v.population, CAST(r.totpop AS DOUBLE))) AS INTEGER) AS totpop
+SELECT maz, CAST(trunc(COALESCE(v.population, CAST(r.totpop AS DOUBLE))) AS BIGINT) AS totpop
 FROM raw r LEFT JOIN vec v ON r.maz = v.zone"""))
 def q_controls_totpop_override(spark, sf_dir):
     raw = raw_controls(spark, sf_dir)
@@ -320,7 +320,7 @@ def forecast_inputs(spark, sf_dir, seeds: seedplan.PreparedSeeds | None = None):
 
 
 @register("forecast_maz", sq.with_seeds(_FC_SQL + f"""
-SELECT region, puma, k AS taz, k AS maz, {", ".join(f"CAST(ceil({c}) AS INTEGER) AS {c}" for c in _FC_CONTROLS)}
+SELECT region, puma, k AS taz, k AS maz, {", ".join(f"CAST(ceil({c}) AS BIGINT) AS {c}" for c in _FC_CONTROLS)}
 FROM fc"""))
 def q_forecast_maz(spark, sf_dir):
     maz, _, _, vec, zones = forecast_inputs(spark, sf_dir)
@@ -328,7 +328,7 @@ def q_forecast_maz(spark, sf_dir):
 
 
 @register("forecast_taz", sq.with_seeds(_FC_SQL + f"""
-SELECT region, puma, k AS taz, {", ".join(f"CAST(ceil({c}) AS INTEGER) AS {c}" for c in _FC_CONTROLS)}
+SELECT region, puma, k AS taz, {", ".join(f"CAST(ceil({c}) AS BIGINT) AS {c}" for c in _FC_CONTROLS)}
 FROM fc"""))
 def q_forecast_taz(spark, sf_dir):
     maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir)
@@ -339,8 +339,8 @@ def q_forecast_taz(spark, sf_dir):
 m0 AS (SELECT region, {", ".join(f"SUM({c}) AS {c}" for c in META_MEASURES)} FROM raw GROUP BY region),
 m AS (SELECT CAST(region AS INTEGER) AS region, {_trunc_cols(META_MEASURES)} FROM m0),
 tot AS (SELECT SUM(CAST(totpop AS DECIMAL(38,18))) AS tp, SUM(CAST(totalhh AS DECIMAL(38,18))) AS th FROM fc)
-SELECT region, {", ".join("CAST(ceil(tot.tp) AS INTEGER) AS totpop" if c == "totpop" else
-                          "CAST(ceil(tot.th) AS INTEGER) AS totalhh" if c == "totalhh" else c
+SELECT region, {", ".join("CAST(ceil(tot.tp) AS BIGINT) AS totpop" if c == "totpop" else
+                          "CAST(ceil(tot.th) AS BIGINT) AS totalhh" if c == "totalhh" else c
                           for c in META_MEASURES)}
 FROM m, tot"""))
 def q_forecast_meta(spark, sf_dir):
@@ -455,9 +455,9 @@ _MERGE_COLS = ("household_id", "household_zone", "expansion_factor", "number_of_
 
 @register("merge_populations", sq.with_outputs(f"""
 a AS (SELECT * EXCLUDE (vehicles), 0 AS src FROM out_h),
-b AS (SELECT household_id, household_zone, CAST(expansion_factor AS DOUBLE) AS expansion_factor,
+b AS (SELECT household_id + 1000 AS household_id, household_zone, CAST(expansion_factor AS DOUBLE) AS expansion_factor,
              number_of_persons, dwelling_type, vehicles, income_class, 1 AS src
-      FROM hh WHERE household_id % 2 = 0),
+      FROM hh),
 u AS (SELECT household_id, household_zone, expansion_factor, number_of_persons, dwelling_type,
              0 AS vehicles, income_class, src FROM a
       UNION ALL SELECT * FROM b)
@@ -465,9 +465,11 @@ SELECT {", ".join(_MERGE_COLS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY src, {", ".join(_MERGE_COLS[1:])}) AS rn
   FROM u) t WHERE rn = 1"""))
 def q_merge_populations(spark, sf_dir):
-    """Synthetic households (lacking ``vehicles``) merged with seed households of even id."""
+    """Synthetic households (lacking ``vehicles``) merged with all seed households under shifted
+    ids: most ids are in both populations, some in one."""
     h = outputs(spark, sf_dir)[1].drop("vehicles")
-    other = sv.households(spark, sf_dir).filter(F.col("household_id") % 2 == 0) \
+    other = sv.households(spark, sf_dir) \
+        .withColumn("household_id", F.col("household_id") + 1000) \
         .withColumn("expansion_factor", F.col("expansion_factor").cast("double")) \
         .select(*_MERGE_COLS)
     return out.merge_populations(h, other, ["household_id"], _MERGE_COLS)
@@ -488,14 +490,14 @@ def q_missing_zones(spark, sf_dir):
 @register("replace_population", sq.with_outputs("""
 SELECT * FROM out_h WHERE household_zone NOT IN (3, 7)
 UNION ALL
-SELECT household_id, CAST(household_zone AS SMALLINT), CAST(expansion_factor AS DOUBLE),
+SELECT household_id, CAST(household_zone AS INTEGER), CAST(expansion_factor AS DOUBLE),
        CAST(number_of_persons AS TINYINT), CAST(dwelling_type AS TINYINT), CAST(vehicles AS TINYINT),
        CAST(income_class AS TINYINT)
 FROM hh WHERE household_zone IN (3, 7)"""))
 def q_replace_population(spark, sf_dir):
     a = outputs(spark, sf_dir)[1]
     b = sv.households(spark, sf_dir).select(
-        "household_id", F.col("household_zone").cast("smallint").alias("household_zone"),
+        "household_id", F.col("household_zone").cast("int").alias("household_zone"),
         F.col("expansion_factor").cast("double").alias("expansion_factor"),
         *[F.col(c).cast("tinyint").alias(c) for c in ("number_of_persons", "dwelling_type",
                                                       "vehicles", "income_class")])
@@ -557,7 +559,7 @@ def q_occupation_zone_crosstab(spark, sf_dir):
 
 
 @register("pd_compare", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + "," + sq.SYNTHETIC + f""",
-c AS (SELECT z.pd, CAST(SUM(CAST(trunc(r.hhsize1) AS INTEGER)) AS DOUBLE) AS control
+c AS (SELECT z.pd, CAST(SUM(CAST(trunc(r.hhsize1) AS BIGINT)) AS DOUBLE) AS control
       FROM raw r JOIN zones z ON r.taz = z.zone GROUP BY 1),
 s AS (SELECT z.pd, CAST(SUM(h.expansion_factor) AS DOUBLE) AS synthesized
       FROM out_h h JOIN zones z ON h.household_zone = z.zone WHERE h.number_of_persons = 1 GROUP BY 1)
@@ -572,8 +574,8 @@ def q_pd_compare(spark, sf_dir):
 # --- zone groups, repair, lenient load -------------------------------------------------
 
 @register("zone_running_population", sq.with_seeds(sq.raw_controls_cte(CONTROL_MEASURES)[1:] + """
-SELECT maz AS zone, CAST(trunc(totpop) AS INTEGER) AS population,
-       SUM(CAST(trunc(totpop) AS INTEGER)) OVER (ORDER BY maz ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+SELECT maz AS zone, CAST(trunc(totpop) AS BIGINT) AS population,
+       SUM(CAST(trunc(totpop) AS BIGINT)) OVER (ORDER BY maz ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
          AS running
 FROM raw"""))
 def q_zone_running_population(spark, sf_dir):
@@ -584,7 +586,7 @@ def q_zone_running_population(spark, sf_dir):
 
 @register("balanced_pumas", "WITH RECURSIVE " + sq.SEEDS + "," + sq.raw_controls_cte(CONTROL_MEASURES)[1:] + """,
 c AS (SELECT maz AS zone, row_number() OVER (ORDER BY maz) AS pos,
-             SUM(CAST(trunc(totpop) AS INTEGER)) OVER (ORDER BY maz ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             SUM(CAST(trunc(totpop) AS BIGINT)) OVER (ORDER BY maz ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                AS cum FROM raw),
 lim AS (SELECT CAST(MAX(cum) AS DOUBLE) / CAST(3 AS DOUBLE) AS l FROM c),
 r(pos, zone, cum, grp, start) AS (
@@ -737,10 +739,7 @@ def q_integerize(spark, sf_dir):
     return r.select("household_id", "household_zone", "finalweight")
 
 
-BALANCE_ITERATIONS = 20
-
-
-def balanced(spark, sf_dir, iterations: int = BALANCE_ITERATIONS):
+def balanced(spark, sf_dir, iterations: int | None = None):
     """Seed households balanced to the forecast controls (the synthesis run)."""
     seeds = prepared(spark, sf_dir)  # one seed preparation feeds targets and households
     maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir, seeds)
@@ -748,6 +747,8 @@ def balanced(spark, sf_dir, iterations: int = BALANCE_ITERATIONS):
     tgt = syn.targets(fmaz.select("maz", "taz", "region"), fmaz, ftaz, fmeta, CONSTRAINTS)
     tgt = materialize(tgt, "targets")  # zone-sized; cut the lineage once
     hh, persons = synthesis_seed(spark, sf_dir, seeds)
+    zones_of = fmaz.select("maz", "taz", "region", "puma", F.col("totalhh").alias("target"))
+    hh = syn.seed_empty_zones(materialize(hh, "seed-households"), materialize(zones_of, "zone-targets"))
     hh_inc = materialize(syn.incidence(hh, persons, CONSTRAINTS), "incidence")
     W, hist = syn.balance(syn.signatures(hh_inc, CONSTRAINTS), tgt, CONSTRAINTS, CFG,
                           iterations=iterations)
@@ -768,14 +769,38 @@ def q_balance_residual(spark, sf_dir):
     return syn.residual_report(W, tgt, CONSTRAINTS)
 
 
+def integerised(hh_inc, W, tgt):
+    """Households with whole weights that meet each MAZ's household target."""
+    hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
+    hw = hw.join(broadcast_if_bounded(tgt.select("maz", F.col("t_0").alias("_t_hh"))), "maz", "left")
+    return syn.integerize(hw, "maz", "balanced_weight",
+                          target=F.coalesce(F.round(F.col("_t_hh"), 0), F.round(F.col("_tot"), 0)))
+
+
+def synthesized(spark, sf_dir):
+    """(households, persons) of the synthetic population."""
+    hh_inc, persons, W, tgt, _ = balanced(spark, sf_dir)
+    return syn.synthesize(integerised(hh_inc, W, tgt), persons)
+
+
 @register("synthesize")
 def q_synthesize(spark, sf_dir):
+    return synthesized(spark, sf_dir)[0].select("temp_id", "maz", "household_id", "finalweight", "dwelling_type",
+                                                "number_of_persons", "vehicles", "income_class")
+
+
+@register("synthesize_persons")
+def q_synthesize_persons(spark, sf_dir):
+    return synthesized(spark, sf_dir)[1].select("temp_id", "household_id", "person_number", "age", "sex",
+                                                "employment_status", "occupation", "finalweight")
+
+
+@register("synthesize_totals", f"""
+SELECT maz, totalhh AS target, totalhh AS households FROM ({ORACLE["forecast_maz"]}) f""")
+def q_synthesize_totals(spark, sf_dir):
+    """Households of the synthetic population per MAZ against the MAZ's target: equal."""
     hh_inc, persons, W, tgt, _ = balanced(spark, sf_dir)
-    hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
-    t = tgt.select("maz", F.col("t_0").alias("_t_hh"))
-    hw = hw.join(broadcast_if_bounded(t), "maz", "left")
-    fin = syn.integerize(hw, "maz", "balanced_weight",
-                         target=F.coalesce(F.round(F.col("_t_hh"), 0), F.round(F.col("_tot"), 0)))
-    hh, _ = syn.synthesize(fin, persons)
-    return hh.select("temp_id", "maz", "household_id", "finalweight", "dwelling_type",
-                     "number_of_persons", "vehicles", "income_class")
+    fin = integerised(hh_inc, W, tgt)
+    got = fin.groupBy("maz").agg(F.sum("finalweight").alias("households"))
+    return (tgt.select("maz", F.col("t_0").cast("long").alias("target")).join(got, "maz", "left")
+            .select("maz", "target", F.coalesce("households", F.lit(0)).cast("long").alias("households")))

@@ -122,7 +122,7 @@ def apply_forecast(spark: SparkSession, cfg: RunConfig, out_dir: str, vector_pat
         sk.write_csv(materialize(df, name), f"{_inputs_dir(out_dir)}/{name}")
 
 
-def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: int = 50) -> None:
+def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: int | None = None) -> None:
     """SY1-SY5: balance the processed seed to the control tables and write the
     synthesizer-shaped tables ``synpop_hh`` / ``synpop_person`` plus the residuals."""
     maz, taz, meta = read_control_tables(spark, out_dir)
@@ -140,6 +140,8 @@ def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: in
     persons = pst.withColumn("weight", F.col("weight").cast("double"))
     for c in ("age", "employment_status", "occupation", "employment_zone"):
         persons = persons.withColumn(c, F.col(c).cast("int"))
+    zones_target = maz.select("maz", "taz", "region", "puma", F.col("totalhh").alias("target"))
+    hh = syn.seed_empty_zones(materialize(hh, "seed-households"), zones_target)
     hh_inc = materialize(syn.incidence(hh, persons, constraints), "incidence")
     W, _ = syn.balance(syn.signatures(hh_inc, constraints), tgt, constraints, cfg, iterations)
     syn.residual_report(W, tgt, constraints).write.mode("overwrite").parquet(
@@ -220,7 +222,7 @@ def validate(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str
 
 
 def full_run(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str,
-             vector_path: str | None = None, iterations: int = 50) -> None:
+             vector_path: str | None = None, iterations: int | None = None) -> None:
     """The whole chain: inputs -> records -> [forecast] -> synthesis -> outputs -> validation.
     Every stage writes its results to ``out_dir``; the intermediate tables of the run live
     in one scratch folder under the checkpoint dir that is deleted when the run ends."""

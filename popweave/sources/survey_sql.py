@@ -31,7 +31,7 @@ hh AS (
          CAST(o_orderkey % 5 + 1 AS INTEGER) AS number_of_persons,
          CAST(o_custkey % 4 AS INTEGER) AS vehicles,
          CAST(o_orderkey % 7 + 1 AS INTEGER) AS income_class,
-         CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 10000 AS DECIMAL(8,6)) AS expansion_factor
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 10000 AS DECIMAL(18,6)) AS expansion_factor
   FROM orders JOIN customer ON o_custkey = c_custkey),
 ps AS (
   SELECT l_orderkey AS household_id,
@@ -46,7 +46,7 @@ ps AS (
          ['S','P','O','9'][CAST((l_orderkey + l_linenumber) % 4 AS INTEGER) + 1] AS student_status,
          CAST(l_suppkey % 27 AS INTEGER) AS employment_zone,
          CAST(l_partkey % 21 AS INTEGER) AS school_zone,
-         CAST(1 + CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(8,6)) AS expansion_factor
+         CAST(1 + CAST(l_discount AS DECIMAL(18,2)) * 10 AS DECIMAL(18,6)) AS expansion_factor
   FROM lineitem)"""
 
 
@@ -206,7 +206,7 @@ def forecast_ctes(measures: tuple[str, ...], person: tuple[str, ...], household:
     forecast values of the control columns)."""
     controls = [c for c in person if c in measures] + \
         [c for c in household if c in measures and c not in person]
-    trunc = ", ".join(f"CASE WHEN maz = {zero_zone} THEN 0 ELSE CAST(trunc({m}) AS INTEGER) END AS {m}"
+    trunc = ", ".join(f"CASE WHEN maz = {zero_zone} THEN 0 ELSE CAST(trunc({m}) AS BIGINT) END AS {m}"
                       for m in measures)
     fill = ", ".join(f"COALESCE(mm.{m}, 0) AS {m}" for m in measures)
     rat = ", ".join(f"CAST(SUM({c}) AS DOUBLE) / CAST(SUM(totpop) AS DOUBLE) AS {c}" for c in controls)
@@ -255,7 +255,7 @@ SYNTHETIC = f"""
 syn_hh AS (SELECT household_id AS temp_id, household_zone AS maz,
                   CAST(floor(expansion_factor) * 2 AS INTEGER) AS finalweight,
                   dwelling_type, number_of_persons, vehicles, income_class
-           FROM hh WHERE household_id % 3 <> 0),
+           FROM hh),
 syn_p AS (SELECT p.household_id AS temp_id, p.person_number, p.age, p.sex, p.license, p.transit_pass,
                  {_code_case("p.employment_status", DEFAULT_PERSON_CATEGORY_MAP["EmploymentStatus"])}
                    AS employment_status,
@@ -266,11 +266,11 @@ tr_p AS (SELECT CAST(temp_id AS BIGINT) AS household_id, CAST(person_number AS I
                 TRY_CAST(age AS SMALLINT) AS age, sex, license, transit_pass,
                 TRY_CAST(employment_status AS SMALLINT) AS employment_status,
                 TRY_CAST(occupation AS SMALLINT) AS occupation, free_parking, student_status,
-                TRY_CAST(employment_zone AS SMALLINT) AS employment_zone,
-                CAST(0 AS SMALLINT) AS school_zone, TRY_CAST(finalweight AS SMALLINT) AS expansion_factor
+                TRY_CAST(employment_zone AS INTEGER) AS employment_zone,
+                CAST(0 AS INTEGER) AS school_zone, TRY_CAST(finalweight AS INTEGER) AS expansion_factor
          FROM syn_p),
-tr_h AS (SELECT CAST(temp_id AS BIGINT) AS household_id, TRY_CAST(maz AS SMALLINT) AS household_zone,
-                TRY_CAST(finalweight AS SMALLINT) AS expansion_factor,
+tr_h AS (SELECT CAST(temp_id AS BIGINT) AS household_id, TRY_CAST(maz AS INTEGER) AS household_zone,
+                TRY_CAST(finalweight AS INTEGER) AS expansion_factor,
                 TRY_CAST(number_of_persons AS TINYINT) AS number_of_persons,
                 TRY_CAST(dwelling_type AS TINYINT) AS dwelling_type,
                 TRY_CAST(vehicles AS TINYINT) AS vehicles, TRY_CAST(income_class AS TINYINT) AS income_class

