@@ -54,11 +54,14 @@ def templates(rows: DataFrame, lines: DataFrame, depth: int, similarity: float,
     many = materialize(shapes.join(wide, "leaf"), "many")
     # the tokens of one line of each such shape
     one = (lines.join(many.select("leaf", "shape"), ["leaf", "shape"], "left_semi")
-           .groupBy("leaf", "shape").agg(F.min(F.struct("th", "pos")).alias("at")))
-    one = materialize(one.groupBy(F.col("at.th").alias("oth")).agg(F.collect_list(F.struct("leaf", "shape", F.col("at.pos").alias("pos"))).alias("of")), "one")
-    texts = rows.select("th", "text").join(one, rows.th == one.oth).dropDuplicates(["th"])
+           .groupBy("leaf", "shape").agg(F.min(F.struct("id", "th", "pos")).alias("at")))
+    one = one.groupBy(F.col("at.id").alias("oid"), F.col("at.th").alias("oth")).agg(
+        F.collect_list(F.struct("leaf", "shape", F.col("at.pos").alias("pos"))).alias("of"))
+    # about every other document holds such a shape, at any size: a merge join from the start
+    texts = rows.join(one.hint("merge"), rows.id.eqNullSafe(F.col("oid")) & (rows.th == F.col("oth")))
     spelled = (texts.select(F.split("text", "\n").alias("l"), F.explode("of").alias("o"))
-               .select("o.leaf", "o.shape", tokens(F.element_at("l", F.col("o.pos") + 1)).alias("t")))
+               .select("o.leaf", "o.shape", tokens(F.element_at("l", F.col("o.pos") + 1)).alias("t"))
+               .dropDuplicates(["leaf", "shape"]))
     each = materialize(many.join(spelled, ["leaf", "shape"])
                        .select("leaf", "shape", "docs", "leaf_docs", F.posexplode("t").alias("p", "token")), "tokens")
     counts = each.groupBy("leaf", "p", "token", "leaf_docs").agg(F.sum("docs").alias("c"))
