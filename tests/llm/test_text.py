@@ -219,7 +219,7 @@ def test_line_dedup_equals_brute_force(spark):
 
 
 def test_line_dedup_templates_with_variable_fields(spark, odd):
-    rows = [(i, f"Unique opening number{i} words {'abcdefghij'[i]}\nPosted on the board by {'ann bob cyd dan eve fay gus hal ida joe'.split()[i]} at 1{i}:30 today\n"
+    rows = [(i, f"{'abcdefghij'[i] * 4} opens this page alone\nPosted on the board by {'ann bob cyd dan eve fay gus hal ida joe'.split()[i]} at 1{i}:30 today\n"
                 f"Own words {'klmnopqrst'[i] * 3} close text{i * 7}") for i in range(10)]
     rows += [(100, "This clean line stands alone\nand so does this one here")]
     got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
