@@ -201,7 +201,7 @@ def _update(W: DataFrame, fac: DataFrame, imp: list[float], cap: float,
 
 def max_residual(fac: DataFrame, k: int) -> float:
     terms = ", ".join(f"coalesce(res_{i}, 0.0)" for i in range(k))
-    row = fac.selectExpr(f"max(greatest({terms})) AS r").first()
+    row = fac.selectExpr(f"max(greatest(0.0, {terms})) AS r").first()
     return float(row["r"] or 0.0)
 
 

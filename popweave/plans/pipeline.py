@@ -42,6 +42,16 @@ OUTPUT_HOUSEHOLD_HEADERS = {
     "expansion_factor": "ExpansionFactor", "number_of_persons": "NumberOfPersons",
     "dwelling_type": "DwellingType", "vehicles": "Vehicles", "income_class": "IncomeClass",
 }
+PROCESSED_HOUSEHOLD_HEADERS = {
+    "household_id": "HouseholdId", "dwelling_type": "DwellingType", "number_of_persons": "NumberOfPersons",
+    "vehicles": "Vehicles", "income_class": "IncomeClass",
+}
+PROCESSED_HOUSEHOLD = T.StructType([
+    T.StructField("HouseholdId", T.LongType()), T.StructField("puma", T.IntegerType()),
+    T.StructField("DwellingType", T.IntegerType()), T.StructField("NumberOfPersons", T.IntegerType()),
+    T.StructField("Vehicles", T.IntegerType()), T.StructField("IncomeClass", T.IntegerType()),
+    T.StructField("weight", T.DoubleType()),
+])
 VALIDATION_HEADERS = {"observed_total": "Observed Total",
                       "synthesized_total": "Synthesized Total", "abs_difference": "Abs. Difference"}
 
@@ -72,7 +82,7 @@ def generate_inputs(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_d
                      sort_by=("puma", "taz"))
         sk.write_csv(ctl.controls_meta(raw, cfg), f"{_inputs_dir(out_dir)}/controls_meta")
     ph = seedplan.sampled(seeds, cfg)
-    sk.write_csv(out.rename_for_sink(seedplan.processed_households(ph), {"household_id": "HouseholdId"}),
+    sk.write_csv(out.rename_for_sink(seedplan.processed_households(ph), PROCESSED_HOUSEHOLD_HEADERS),
                  f"{_inputs_dir(out_dir)}/processed_households")
     sk.write_csv(out.rename_for_sink(seedplan.processed_persons(ph, cfg), OUTPUT_PERSON_HEADERS),
                  f"{_inputs_dir(out_dir)}/processed_persons")
@@ -84,14 +94,11 @@ def generate_inputs(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_d
 def initialize_records(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
     """PL2: record tables with dense ``hhnum``; doubles narrowed to float for the load
     (PRJ4). Written as Parquet next to the inputs."""
-    hh = spark.read.option("header", True).csv(f"{_inputs_dir(out_dir)}/processed_households",
-                                               inferSchema=False)
+    hh = rd.read_csv(spark, f"{_inputs_dir(out_dir)}/processed_households", PROCESSED_HOUSEHOLD)
     pp = spark.read.option("header", True).csv(f"{_inputs_dir(out_dir)}/processed_persons",
                                                inferSchema=False)
-    hh = hh.select(F.col("HouseholdId").cast("long").alias("household_id"),
-                   *[F.col(c).cast("int") for c in ("puma", "dwelling_type", "number_of_persons",
-                                                    "vehicles", "income_class")],
-                   F.col("weight").cast("float"))
+    snake_h = {v: k for k, v in PROCESSED_HOUSEHOLD_HEADERS.items()}
+    hh = hh.select(*[F.col(c).alias(snake_h.get(c, c)) for c in hh.columns]).withColumn("weight", F.col("weight").cast("float"))
     snake = {v: k for k, v in OUTPUT_PERSON_HEADERS.items()}
     ints = ("person_number", "puma", "age", "employment_status", "occupation", "employment_zone",
             "school_zone")
@@ -112,9 +119,12 @@ def read_control_tables(spark: SparkSession, out_dir: str) -> tuple[DataFrame, .
 
 
 def apply_forecast(spark: SparkSession, cfg: RunConfig, out_dir: str, vector_path: str,
-                   zones_path: str, fallback: str = "last_group") -> None:
-    """FC5 over the run's control files; the re-scaled tables replace them."""
-    maz, taz, meta = read_control_tables(spark, out_dir)
+                   zones_path: str, fallback: str = "last_group",
+                   controls_dir: str | None = None) -> None:
+    """FC5 over the run's control files, or those of another folder (``controls_dir``); the
+    re-scaled tables become the run's."""
+    src = controls_dir or _inputs_dir(out_dir)
+    maz, taz, meta = (rd.read_controls(spark, f"{src}/{n}") for n in CONTROL_FILES)
     vec = rd.read_population_vector(spark, vector_path)
     zones = rd.read_zone_map(spark, zones_path)
     fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, cfg, fallback)
@@ -159,24 +169,26 @@ def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: in
 
 
 def generate_outputs(spark: SparkSession, cfg: RunConfig, out_dir: str,
-                     merge_with: tuple[str, str] | None = None) -> None:
+                     merge_with: tuple[str, str] | None = None, saved: str | None = None) -> None:
     """PL3: transform, scale, inverse re-code, optional merge, household totals and the
-    8 zonal-residence files (one partitioned write)."""
-    persons = out.output_persons(spark.read.parquet(f"{out_dir}/tables/synpop_person"), cfg)
-    households = out.output_households(spark.read.parquet(f"{out_dir}/tables/synpop_hh"), cfg)
+    8 zonal-residence files (one partitioned write). ``saved`` is the folder of an earlier run
+    whose output files are read instead of the synthesizer's tables (SRC9); ``merge_with`` are
+    household and person files of another population, their columns found by name."""
+    if saved is not None:
+        persons, households = read_outputs(spark, saved)
+    else:
+        persons = out.output_persons(spark.read.parquet(f"{out_dir}/tables/synpop_person"), cfg)
+        households = out.output_households(spark.read.parquet(f"{out_dir}/tables/synpop_hh"), cfg)
     if merge_with is not None:
-        other_h = rd.read_csv(spark, merge_with[0], S.HOUSEHOLD_SEED)
-        other_p = rd.read_csv(spark, merge_with[1], S.PERSON_SEED)
-        households = out.merge_populations(
-            households, other_h.select(*[F.col(a).alias(b) for a, b in S.SEED_HOUSEHOLD_RENAMES.items()]),
-            ["household_id"], list(households.columns))
-        persons = out.merge_populations(
-            persons, other_p.select(*[F.col(a).alias(b) for a, b in S.SEED_PERSON_RENAMES.items()]),
-            ["household_id", "person_number"], list(persons.columns))
+        households = out.merge_populations(households, rd.read_household_seed(spark, merge_with[0]),
+                                           ["household_id"], list(households.columns))
+        persons = out.merge_populations(persons, rd.read_person_seed(spark, merge_with[1]),
+                                        ["household_id", "person_number"], list(persons.columns))
     households = materialize(households, "out-households")
     persons = materialize(persons, "out-persons")
     joined = out.synthetic_join(persons, households)
-    sk.write_partitioned(out.zonal_residence(joined, cfg), f"{out_dir}/ZonalResidence",
+    residence = out.rename_for_sink(out.zonal_residence(joined, cfg), {"zone": "Zone", "persons": "Persons"})
+    sk.write_partitioned(residence, f"{out_dir}/ZonalResidence",
                          ["occupation", "employment_status"])
     sk.write_csv(out.rename_for_sink(out.household_totals(households),
                                      {"zone": "Zone", "expanded_households": "ExpandedHouseholds"}),
@@ -189,21 +201,8 @@ def generate_outputs(spark: SparkSession, cfg: RunConfig, out_dir: str,
 
 def read_outputs(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
     """SRC9: saved output CSVs with integer zones."""
-    p = spark.read.option("header", True).csv(f"{out_dir}/HouseholdData/Persons")
-    h = spark.read.option("header", True).csv(f"{out_dir}/HouseholdData/Households")
-    inv_p = {v: k for k, v in OUTPUT_PERSON_HEADERS.items()}
-    inv_h = {v: k for k, v in OUTPUT_HOUSEHOLD_HEADERS.items()}
-    p = p.select(*[F.col(c).alias(inv_p.get(c, c)) for c in p.columns])
-    h = h.select(*[F.col(c).alias(inv_h.get(c, c)) for c in h.columns])
-    ints_p = ("household_id", "person_number", "age", "employment_zone", "school_zone")
-    ints_h = ("household_id", "household_zone", "number_of_persons", "dwelling_type", "vehicles",
-              "income_class")
-    p = p.select(*[F.col(c).cast("long" if c == "household_id" else "int").alias(c) if c in ints_p
-                   else F.col(c).cast("double").alias(c) if c == "expansion_factor" else F.col(c)
-                   for c in p.columns])
-    h = h.select(*[F.col(c).cast("long" if c == "household_id" else "int").alias(c) if c in ints_h
-                   else F.col(c).cast("double").alias(c) for c in h.columns])
-    return p, h
+    return (rd.read_person_seed(spark, f"{out_dir}/HouseholdData/Persons"),
+            rd.read_household_seed(spark, f"{out_dir}/HouseholdData/Households"))
 
 
 def validate(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str) -> None:

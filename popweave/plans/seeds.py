@@ -75,11 +75,10 @@ def processed_households(persons_hh: DataFrame) -> DataFrame:
     The group-by key equals the join key that partitioned ``persons_hh``, so this
     aggregate adds no exchange.
     """
-    g = persons_hh.groupBy("household_id").agg(
-        F.first("puma").alias("puma"), F.first("dwelling_type").alias("dwelling_type"),
-        F.first("number_of_persons").alias("number_of_persons"),
-        F.first("vehicles").alias("vehicles"), F.first("income_class").alias("income_class"),
-        F.first("household_weight").alias("weight"))
+    # the smallest whole row of an id, so that rows under one id never mix
+    row = F.min(F.struct("puma", "dwelling_type", "number_of_persons", "vehicles", "income_class",
+                         F.col("household_weight").alias("weight"))).alias("r")
+    g = persons_hh.groupBy("household_id").agg(row).select("household_id", "r.*")
     return g.select("household_id", F.col("puma").cast("int").alias("puma"), "dwelling_type",
                     "number_of_persons", "vehicles", "income_class",
                     F.round("weight", 5).cast("double").alias("weight"))
