@@ -104,7 +104,8 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, rad
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item, with all their columns."""
     gone = contaminated(docs, items).select(F.col("id").alias("_gone"), F.col("th").alias("_th")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")) & (F.xxhash64(docs.text) == F.col("_th")), "left_anti")
+    # the documents that go are a share of the corpus, so this is a merge join at any size
+    return docs.join(gone.hint("merge"), docs.doc_id.eqNullSafe(F.col("_gone")) & (F.xxhash64(docs.text) == F.col("_th")), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,7 @@ def dedup(docs: DataFrame, depth: int = 4, similarity: float = 0.6, min_docs: in
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
     gone = dropped(rows, depth, similarity, min_docs, min_tokens, keep_first)
     text = docs[text_col].cast("string")
-    out = docs.join(gone, docs[id_col].eqNullSafe(F.col("gid")) & (F.xxhash64(text) == F.col("gth")), "left")
+    out = docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(F.col("gid")) & (F.xxhash64(text) == F.col("gth")), "left")
     split = F.split(text, "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
     kept = F.array_join(F.transform(left, lambda i: F.element_at(split, i + 1)), "\n")

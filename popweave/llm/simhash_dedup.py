@@ -115,10 +115,10 @@ def classify(docs: DataFrame, width: int = 4, radius: int = 4, blocks: int = 7,
 def dedup(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFrame:
     """Keep the documents that are their group's smallest id (rows without id stay; of
     repeated rows with one id, all or none stay); all columns of ``docs``."""
-    # reuse the classes, not the texts: the verdict joins on the narrow id
     gone = (classify(docs, width, radius).filter("component_id IS NOT NULL AND doc_id != component_id")
             .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs.doc_id == gone._gone, "left_anti")
+    # copies are a share of the corpus, so this is a merge join at any size
+    return docs.join(gone.hint("merge"), docs.doc_id == gone._gone, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

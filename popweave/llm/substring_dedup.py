@@ -62,7 +62,7 @@ def dedup(docs: DataFrame, span: int = 3, min_words: int = 10, id_col: str = "do
     later = each.join(repeated, ["h1", "h2"]).filter(at != F.col("first"))
     # a document's positions: bounded by its own sentences
     gone = later.groupBy(F.col("id").alias("gid"), F.col("th").alias("gth")).agg(F.collect_set("i").alias("starts"))
-    out = rows.join(gone, rows.id.eqNullSafe(F.col("gid")) & (rows.th == F.col("gth")), "left")
+    out = rows.join(gone.hint("merge"), rows.id.eqNullSafe(F.col("gid")) & (rows.th == F.col("gth")), "left")
     covered = F.flatten(F.transform(F.coalesce("starts", F.array().cast("array<int>")),
                                     lambda i: F.sequence(i, i + span - 1)))
     cut = out.select("id", "text", F.when(F.col("starts").isNotNull(), sentences(F.col("text"))).alias("s"),
