@@ -4,7 +4,7 @@ Method: every row has a byte size; the global prefix sum of the sizes, built fro
 per-partition totals, is cut at equal targets. Rows keep the order of ``order``, so a shard is
 a contiguous stretch of it. Only the narrow columns are shuffled, never the texts.
 
-Defined cases: null or empty text has size 1 (its separator); ties on ``order`` and repeated
+Defined cases: null or empty text has size 1 (its separator) and CRC 0; ties on ``order`` and repeated
 rows each get a slot of their own; an empty table gives no rows; other columns of the input
 are carried along, columns named like an output are replaced.
 """
@@ -47,7 +47,7 @@ def assign(df: DataFrame, n_shards: int, size: str = "size", order: list[str] |
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = read(spark, sf_dir, "documents").select(
-        "doc_id", byte_size().alias("size"), F.crc32(F.col("text")).cast("long").alias("text_crc32"))
+        "doc_id", byte_size().alias("size"), F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"))
     return assign(rows, 8, "size", ["doc_id"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
