@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from popweave.llm.anchors import sized
 from popweave.llm.common import prepare, read, slices
 from popweave.session import materialize
 
@@ -243,10 +244,11 @@ def fit(docs: DataFrame, learn: Column, sample: int = 400, id_col: str = "doc_id
     # the smallest hashes of each language, found on narrow columns (each task keeps its own
     # smallest before the shuffle); only those rows' texts are carried on
     by_hash = Window.partitionBy("lang").orderBy("key")
-    edge = (rows.select(lang, key).withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= sample)
-            .groupBy("lang").agg(F.max("key").alias("edge")))
-    chosen = materialize(rows.select(lang, key, F.col(text_col).cast("string").alias("text")).join(edge, "lang")
-                         .filter("key <= edge")
+    edge = materialize(rows.select(lang, key).withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= sample)
+                       .groupBy("lang").agg(F.max("key").alias("edge")), "edges")
+    # one row per language: broadcast behind a count, so that no text is dealt out by language
+    chosen = materialize(rows.select(lang, key, F.col(text_col).cast("string").alias("text"))
+                         .join(sized(edge, edge.count()), "lang").filter("key <= edge")
                          .select("lang", "text", (F.pmod("key", F.lit(5)) == 0).cast("long").alias("part")), "sample")
     grams = gram_counts(word_counts(chosen.filter("part = 0"))).toPandas()  # bounded by the sample
     model = Model(grams)
