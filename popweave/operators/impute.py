@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from popweave.functions.draws import keyed_uniform
+from popweave.functions.sizing import broadcast_if_bounded
+from popweave.session import materialize
 
 
 @dataclass(frozen=True)
@@ -92,7 +94,8 @@ def resample_invalid(df: DataFrame, columns: Sequence[ImputeSpec], weight: str,
     """
     shares = category_shares(df, columns, weight, group)
     bounds = _bounds_by_group(shares, columns, group).withColumnRenamed(group, "_pool")
-    bounds = F.broadcast(bounds)  # one row per group id
+    # one row per group id, written once; broadcast behind a count, as ``group`` is the caller's
+    bounds = broadcast_if_bounded(materialize(bounds, "draw-bounds"))
     if pool is None:
         key = F.col(group)
     elif pool.startswith("global:"):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from popweave.config import RunConfig
@@ -139,11 +139,12 @@ def merge_populations(primary: DataFrame, other: DataFrame, keys: Sequence[str],
 def missing_zones(zone_list: DataFrame, zone_col: str = "zone") -> DataFrame:
     """Ids between the smallest and largest zone of a list that the list lacks (JN11).
 
-    ``sequence(min, max)`` spans the zone-id range (a dimension, not records); the
-    anti-join runs against the list itself."""
-    span = zone_list.agg(F.min(zone_col).alias("_lo"), F.max(zone_col).alias("_hi"))
-    ids = span.select(F.explode(F.sequence("_lo", "_hi")).alias(zone_col))
-    return ids.join(zone_list.select(zone_col), zone_col, "left_anti")
+    Each listed zone opens the gap up to the next one (one row per gap, not one array for the
+    whole span); the window runs over the zone dimension, not records."""
+    following = F.lead(zone_col).over(Window.orderBy(zone_col))
+    ids = zone_list.select(zone_col).filter(F.col(zone_col).isNotNull()).distinct().withColumn("_next", following)
+    return (ids.filter(F.col("_next") > F.col(zone_col) + 1)
+            .select(F.explode(F.sequence(F.col(zone_col) + 1, F.col("_next") - 1)).alias(zone_col)))
 
 
 def fill_missing_zones(vector: DataFrame, value_col: str = "population") -> DataFrame:

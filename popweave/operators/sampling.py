@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popweave.functions.draws import keyed_uniform
+from popweave.functions.sizing import broadcast_if_bounded
 from popweave.operators.ids import dense_position
+from popweave.session import materialize
 
 
 def sampled_household_ids(persons_hh: DataFrame, frac: float, key_cols: Sequence[str],
@@ -38,11 +40,11 @@ def sampled_household_ids(persons_hh: DataFrame, frac: float, key_cols: Sequence
     order = [group, "_u", *key_cols]
     pos = dense_position(rows, order, "_pos")
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    # offset of a puma = rows of all smaller pumas; one row per puma, broadcast
+    # offset of a puma = rows of all smaller pumas; one row per puma, broadcast behind a count
     from pyspark.sql import Window
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(group, "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    ranked = pos.join(F.broadcast(offs), group, "inner")  # one row per puma (config groups)
+    ranked = pos.join(broadcast_if_bounded(materialize(offs, "group-offsets")), group, "inner")
     keep = F.col("_pos") - F.col("_off") <= F.bround(F.col("_n") * F.lit(frac), 0)
     return ranked.filter(keep).select("household_id").distinct()
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,12 +46,12 @@ def prepare(zones: DataFrame, households: DataFrame, persons: DataFrame,
     zone map knows), exactly as the filter follows the imputation there.
     """
     zmap = broadcast_if_bounded(zone_map(zones, cfg))
-    # Each imputation reads its input twice (shares, then the draw). The inputs are
-    # persisted so the scan and the person-household join run once; lost cached blocks
-    # are rebuilt from lineage.
-    hz0 = households_with_zone(households, zmap).persist(StorageLevel.MEMORY_AND_DISK)
+    # Each imputation reads its input twice: the shares need the group, the codes and the
+    # weight only, so that pass is pruned to them; caching both fact frames for it would
+    # put a second copy of all their columns on the executors' disks.
+    hz0 = households_with_zone(households, zmap)
     hz = resample_invalid(hz0, HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
-    ph0 = persons_households(persons, hz).persist(StorageLevel.MEMORY_AND_DISK)
+    ph0 = persons_households(persons, hz)
     ph = resample_invalid(ph0, PERSON_IMPUTE, "expansion_factor", list(PERSON_KEY))
     return PreparedSeeds(zmap,
                          filter_internal(hz, "household_zone", cfg),
