@@ -1,8 +1,9 @@
 """Line dedup by log templates (operator 4), in DataFrame functions only.
 
 Method: a parse tree of fixed depth. A line's tokens are its runs without white space, tokens
-that hold a digit being variable fields; its leaf is the token count and the first ``depth``
-tokens. In a leaf, a position whose most frequent token covers at least half of the leaf's
+that hold a digit being variable fields (in scripts written without blanks, where a token can be
+a whole sentence, only the digits are); its leaf is the token count and the first ``depth``
+tokens, so lines of up to ``depth`` tokens merge only where they are equal but for the fields. In a leaf, a position whose most frequent token covers at least half of the leaf's
 documents is constant and the others are variable; where at least ``similarity`` of the
 positions are constant, the leaf has a template, and the lines that agree with all its constants
 are the template's. Any other line is a template of its own. A template that lines of
@@ -12,8 +13,8 @@ One line of a recurring template stays, the first (smallest id, then position),
 content vanishes altogether; ``keep_first=False`` drops that one too. Exact copies of a document
 count as one text: a page copied many times isn't boilerplate.
 
-Defined cases: null texts stay null, empty texts empty; blank lines and lines of fewer than
-``min_tokens`` tokens always stay; very long texts and lines are parsed whole; ties for a
+Defined cases: null texts stay null, empty texts empty; blank lines always stay (and lines of
+fewer than ``min_tokens`` tokens, where that is set above 1); very long texts and lines are parsed whole; ties for a
 position's token go to the one that sorts first; rows with the same id and text are one
 document; null ids take part; an empty table gives no rows; ``dedup`` ignores other columns.
 """
@@ -27,8 +28,10 @@ from popweave.llm.common import prepare, read
 from popweave.session import materialize
 
 FIELD = "<*>"
-#: A token that holds a digit; tried at token starts only.
-VARIABLE = r"(?<!\S)[^\s\d]*+\d\S*"
+#: Letters of scripts written without blanks: Thai, Lao, Burmese, Khmer, Han and kana.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
+#: A token that holds a digit and no such letter; else a run of digits.
+VARIABLE = rf"(?<!\S)[^\s\d{UNSPACED}]*+\d[^\s{UNSPACED}]*+(?!\S)|\d++"
 
 
 def tokens(line) -> Column:
@@ -38,9 +41,9 @@ def tokens(line) -> Column:
 def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """(id, th, pos, leaf, shape) of every line that can be dropped."""
     lines = rows.select("id", "th", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
-    cut = lines.select("id", "th", "pos", tokens(F.col("line")).alias("t"))
-    # null for short lines, left out after the write: as a filter here, every line would be cut twice
-    leaf = F.when(F.size("t") >= min_tokens, F.xxhash64(F.size("t"), F.slice("t", 1, depth)))
+    cut = lines.select("id", "th", "pos", F.col("line").rlike(r"(?U)\S").alias("filled"), tokens(F.col("line")).alias("t"))
+    # null for blank and short lines, left out after the write: as a filter here, every line would be cut twice
+    leaf = F.when(F.col("filled") & (F.size("t") >= min_tokens), F.xxhash64(F.size("t"), F.slice("t", 1, depth)))
     return cut.select("id", "th", "pos", leaf.alias("leaf"), F.xxhash64("t").alias("shape"))
 
 
@@ -92,7 +95,7 @@ def dropped(rows: DataFrame, depth: int, similarity: float, min_docs: int, min_t
     return hit.groupBy(F.col("id").alias("gid"), F.col("th").alias("gth")).agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup(docs: DataFrame, depth: int = 4, similarity: float = 0.6, min_docs: int = 5, min_tokens: int = 3,
+def dedup(docs: DataFrame, depth: int = 4, similarity: float = 0.6, min_docs: int = 5, min_tokens: int = 1,
           keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines of recurring templates dropped from its texts, and the added
     columns ``n_lines`` and ``n_dropped``."""
