@@ -81,7 +81,7 @@ def runs(docs: DataFrame, span: int, min_words: int, lone_words: int) -> DataFra
     return each.filter("r IS NOT NULL").select("id", "th", "r.i", "r.k", F.col("r.ah").alias("h1"), F.col("r.bh").alias("h2"))
 
 
-def dedup(docs: DataFrame, span: int = 3, min_words: int = 10, lone_words: int = 1 << 30, id_col: str = "doc_id",
+def dedup(docs: DataFrame, span: int = 2, min_words: int = 10, lone_words: int = 25, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """One row per input row: id, text without repeated spans, ``n_removed`` (sentences)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
