@@ -45,14 +45,38 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def windows(docs: DataFrame, needles: DataFrame, k: int) -> DataFrame:
+def windows(docs: DataFrame, needles: DataFrame, k: int, least: float | None = None) -> DataFrame:
     """(win, id, th, start, n, h): needle-sized windows of ``docs`` (id, th, text) around shared
-    shingles; ``start`` and ``n`` count shingles. ``needles`` has ``h`` and ``n``."""
+    shingles; ``start`` and ``n`` count shingles. ``needles`` has ``h`` and ``n``.
+
+    With ``least``, windows are laid for a needle (named ``tk``) only in documents that hold that
+    share of its distinct shingles: in the others no window could."""
+    if least is not None:
+        return laid(docs, holding(docs, needles, k, least), k)
     vocabulary = materialize(needles.select("n", F.posexplode("h").alias("off", "g")).distinct(), "vocabulary")
     each = hashed(docs, "text", k, "id", "th").select("id", "th", F.posexplode_outer("h").alias("pos", "g"))
     # a window that would begin before the text begins with it
     spots = (each.join(sized(vocabulary, vocabulary.count()), "g")
              .select("id", "th", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n").distinct())
+    return laid(docs, spots, k)
+
+
+def holding(docs: DataFrame, needles: DataFrame, k: int, least: float) -> DataFrame:
+    """(id, th, start, n): the needle-sized windows of documents that hold ``least`` of a needle."""
+    need = F.ceil(F.size(F.array_distinct("h")) * F.lit(least) - F.lit(1e-9)).alias("need")
+    vocabulary = materialize(needles.select("tk", "n", need, F.posexplode("h").alias("off", "g")).distinct(), "vocabulary")
+    each = hashed(docs, "text", k, "id", "th").select("id", "th", F.posexplode_outer("h").alias("pos", "g"))
+    met = materialize(each.join(sized(vocabulary, vocabulary.count()), "g")
+                      .select("id", "th", "tk", "n", "need", "g", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"))
+                      .distinct(), "met")
+    enough = (met.select("id", "th", "tk", "need", "g").distinct().groupBy("id", "th", "tk", "need").agg(F.count("*").alias("c"))
+              .filter("c >= need").select(F.col("id").alias("eid"), F.col("th").alias("eth"), F.col("tk").alias("etk")))
+    on = met.id.eqNullSafe(F.col("eid")) & (met.th == F.col("eth")) & (met.tk == F.col("etk"))
+    return met.join(enough, on, "left_semi").select("id", "th", "start", "n").distinct()
+
+
+def laid(docs: DataFrame, spots: DataFrame, k: int) -> DataFrame:
+    """The windows of ``docs`` at ``spots`` (id, th, start, n)."""
     # a document's windows: bounded by its words times the needle sizes
     spots = materialize(spots.groupBy("id", "th").agg(F.collect_list(F.struct("start", "n")).alias("at"))
                         .select(F.col("id").alias("sid"), F.col("th").alias("sth"), "at"), "spots")
