@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from popweave.llm import (
+    centroid_clusters,
     chat_format,
     decontaminate,
     embedding_dedup,
+    fill_in_middle,
     language_id,
     license_scan,
     line_dedup,
@@ -17,6 +19,7 @@ from popweave.llm import (
     sharding,
     simhash_dedup,
     substring_dedup,
+    topk_search,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,5 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash_dedup.query,
     "op9_chat_format": chat_format.query,
     "op10_embedding_dedup": embedding_dedup.query,
+    "op11_fill_in_middle": fill_in_middle.query,
+    "op12_centroid_clusters": centroid_clusters.query,
+    "op13_topk_search": topk_search.query,
+}
+ORACLE: dict[str, str] = {
+    "op11_fill_in_middle": fill_in_middle.SQL,
+    "op12_centroid_clusters": centroid_clusters.SQL,
+    "op13_topk_search": topk_search.SQL,
 }
-ORACLE: dict[str, str] = {}
