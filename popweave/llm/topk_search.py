@@ -45,6 +45,7 @@ from popweave.session import drop_path, materialize
 UNIT = ["cell", "ci", "qi"]
 LIMIT = (1 << 31) - 1
 EXACT = 1 << 53    # integers below it are exact in double precision
+OPEN = -(1 << 63)  # stands for the threshold of a query that holds too few rows
 BLOCK = 1024       # rows a task turns into one matrix
 
 
@@ -151,7 +152,7 @@ def _visits(pivots: Pivots, directory: tuple, done: int, upto: int):
     def run(batches):
         for batch in batches:
             ends, out = [0], [np.zeros(0, np.int32)]
-            t = batch.column("t").cast(pa.float64()).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+            t = batch.column("t").fill_null(OPEN).to_numpy(zero_copy_only=False)
             for i in range(0, batch.num_rows, BLOCK):
                 bound = _bounds(pivots, pivot, lo, hi, matrix(batch.column("v").slice(i, BLOCK)))
                 order = np.argsort(-bound, axis=1, kind="stable")[:, done:upto]
@@ -172,7 +173,7 @@ def _best(k: int, longest: int, block: int = 256):
             side = table.column("side").to_numpy()
             item = table.column("item").to_numpy()
             hid = table.column("hid").fill_null(np.iinfo(np.int64).max).to_numpy()
-            t = table.column("t").cast(pa.float64()).fill_null(-np.inf).to_numpy()
+            t = table.column("t").fill_null(OPEN).to_numpy()
             found = []
             for i, j in zip(at, [*at[1:], table.num_rows]):
                 own, ask = i + np.flatnonzero(side[i:j] == 0), i + np.flatnonzero(side[i:j] == 1)
@@ -185,9 +186,9 @@ def _best(k: int, longest: int, block: int = 256):
                     score = products(matrix(table.column("v").take(pa.array(rows))), c, longest)
                     least = t[rows]
                     if len(own) > k:
-                        open_ = np.isneginf(least)
-                        if open_.any():
-                            least[open_] = np.partition(score[open_], -k, axis=1)[:, -k]
+                        free = least == OPEN
+                        if free.any():
+                            least[free] = np.partition(score[free], -k, axis=1)[:, -k]
                     r, p = np.nonzero(score >= least[:, None])
                     value = score[r, p].astype(np.int64)
                     order = np.lexsort((p, -value, r))
