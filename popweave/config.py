@@ -100,11 +100,7 @@ class RunConfig:
     input_sample: float = 1.0
     percent_population: float = 1.0
     max_expansion_factor: float = MAX_EXPANSION_FACTOR
-    balance_iterations: int = 50
-    # reads of the residual without improvement after which balancing stops
-    balance_patience: int = 5
-    # bounds of a constraint's importance over the median importance
-    importance_range: tuple[float, float] = (0.1, 10.0)
+    balance_iterations: int = 100
 
     @classmethod
     def from_json(cls, d: Mapping) -> "RunConfig":

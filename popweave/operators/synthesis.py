@@ -1,41 +1,21 @@
 """Small-area synthesis as DataFrame jobs (SY1-SY6).
 
-Model: a seed household belongs to its own MAZ; a MAZ with a household target and no seed
-household draws seed households from its puma (``seed_empty_zones``); weights are balanced so that
-``sum(weight * incidence)`` meets the control targets at three nested levels at once
-(MAZ, TAZ, meta region), then integerised per MAZ to the household total and emitted
-as the synthetic population. No MAZ x household pairs are ever formed: households
-with the same incidence vector in the same MAZ share one weight factor, so the
-balanced frame is one row per (MAZ, incidence signature) - at most one per household.
-
-One balancing iteration = one aggregate of the weight frame (partial sums, output one
-row per MAZ) + a narrow update joined to a per-MAZ factor table (one row per MAZ: a
-zone dimension, broadcast). The update is simultaneous and row-normalised
-(multiplicative, SMART-style): ``w * exp(sum_c i_c a_c ln f_c / sum_c i_c a_c)`` with
-``f_c = target / achieved`` and importance ``i_c`` scaled by the median importance and
-clipped to ``RunConfig.importance_range``. A zero target with positive achieved zeroes the incident weights;
-a zero achieved leaves the factor at 1. Weights are capped at ``max_expansion_factor``
-x the number of seed households behind the signature.
-
-Lineage: the weight frame is written under the session's checkpoint folder every
-iteration, so plans stay one iteration deep and a lost executor recomputes at most
-one iteration.
+Constraints and their targets, household incidence, largest-remainder integers, the
+sharing out of whole signature weights over households, emission of the synthetic population and
+the residual report. The weights themselves are balanced over puma pools in ``operators/pool``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from statistics import median
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from popweave.config import AGE_BINS, AGE_COLUMNS, RunConfig
-from popweave.functions.sizing import DIMENSION_MAX_ROWS
 from popweave.functions.zones import in_ranges
 from popweave.operators.ids import dense_position
-from popweave.session import materialize
 
 
 @dataclass(frozen=True)
@@ -91,11 +71,6 @@ def constraint_table(spark: SparkSession, constraints: Sequence[Constraint]) ->
     return spark.createDataFrame(rows, "id int, control string, level string, table string, importance double")
 
 
-def scaled_importance(constraints: Sequence[Constraint], within: tuple[float, float] = (0.1, 10.0)) -> list[float]:
-    m = median(c.importance for c in constraints)
-    return [min(within[1], max(within[0], c.importance / m)) for c in constraints]
-
-
 def incidence(households: DataFrame, persons: DataFrame,
               constraints: Sequence[Constraint]) -> DataFrame:
     """Households with ``inc_<control>`` columns: 0/1 for household constraints, member
@@ -137,221 +112,60 @@ def inc_columns(constraints: Sequence[Constraint]) -> list[str]:
     return [f"inc_{c.control}" for c in constraints]
 
 
-def signatures(hh_inc: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Collapse households with equal incidence in the same MAZ: ``(maz, taz, region,
-    inc_..., n, w0, w)``. Incidence stays in flat int columns (cheaper to scan and
-    write each iteration than an array)."""
-    return (hh_inc.groupBy("maz", "taz", "region", *inc_columns(constraints))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("weight").cast("double").alias("w0"))
-            .withColumn("w", F.col("w0")))
-
-
-# The per-iteration frames have ~3 columns per constraint; their expressions are built
-# as SQL text and parsed once on the JVM side (one call per select instead of several
-# per column), which keeps the driver's plan-building time small in the loop.
-
-def achieved(W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Per MAZ, TAZ or region sums of ``w * inc_k`` (the constraint's own level), laid out
-    per MAZ.
-
-    The weight frame is reduced to one row per MAZ (partial sums map-side, final sums
-    over the usual shuffle partitions, so no task reads every map task's partials); only
-    that zone-sized result is windowed by TAZ and by region."""
-    inc = inc_columns(constraints)
-    a = W.groupBy("maz", "taz", "region").agg(
-        *[F.expr(f"sum(w * `{c}`) AS a_{i}") for i, c in enumerate(inc)])
-    # each constraint is read at its own level only: a_i (MAZ), at_i (TAZ) or am_i (region)
-    level = {"maz": "a_{i}", "taz": "sum(a_{i}) OVER (PARTITION BY taz) AS at_{i}",
-             "meta": "sum(a_{i}) OVER (PARTITION BY region) AS am_{i}"}
-    return a.selectExpr("maz", "taz", "region",
-                        *[level[c.level].format(i=i) for i, c in enumerate(constraints)])
-
-
-def factors(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Per MAZ: ``lnf_k`` (log target/achieved at the constraint's level, 0 when either
-    side gives no information), ``kill_k`` (target 0, achieved > 0) and ``res_k``
-    (relative residual)."""
-    # a MAZ with seed households and no control row keeps its weights (no target, factor 1)
-    j = ach.join(tgt.drop("taz", "region"), "maz", "left")
-    cols = []
-    for i, c in enumerate(constraints):
-        a = {"maz": f"a_{i}", "taz": f"at_{i}", "meta": f"am_{i}"}[c.level]
-        t = f"t_{i}"
-        cols += [
-            f"CASE WHEN {t} IS NOT NULL AND {a} > 0 AND {t} > 0 THEN ln({t} / {a}) ELSE 0.0 END AS lnf_{i}",
-            f"({t} IS NOT NULL AND {t} = 0 AND {a} > 0) AS kill_{i}",
-            f"CASE WHEN {t} IS NOT NULL THEN abs({a} - {t}) / greatest({t}, 1.0) END AS res_{i}",
-        ]
-    return j.selectExpr("maz", *cols)
-
-
-def _update(W: DataFrame, fac: DataFrame, imp: list[float], cap: float,
-            constraints: Sequence[Constraint], small: bool = True) -> DataFrame:
-    # fac has one row per MAZ; broadcast when the MAZ count passed the size check
-    j = W.join(F.broadcast(fac) if small else fac, "maz", "inner")
-    inc = [f"`{c}`" for c in inc_columns(constraints)]
-    num = " + ".join(f"{imp[i]!r} * {inc[i]} * lnf_{i}" for i in range(len(imp)))
-    den = " + ".join(f"{imp[i]!r} * {inc[i]}" for i in range(len(imp)))
-    kill = " OR ".join(f"({inc[i]} > 0 AND kill_{i})" for i in range(len(imp)))
-    new = (f"CASE WHEN {kill} THEN 0.0 "
-           f"WHEN ({den}) > 0 THEN least(w * exp(({num}) / ({den})), n * {float(cap)!r}) "
-           f"ELSE w END AS w")
-    return j.selectExpr("maz", "taz", "region", *inc, "n", "w0", new)
-
-
-def max_residual(fac: DataFrame, k: int) -> float:
-    terms = ", ".join(f"coalesce(res_{i}, 0.0)" for i in range(k))
-    row = fac.selectExpr(f"max(greatest(0.0, {terms})) AS r").first()
-    return float(row["r"] or 0.0)
-
-
-def balance(sig: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint], cfg: RunConfig,
-            iterations: int | None = None, tolerance: float = 1e-4,
-            patience: int | None = None, step: int = 2) -> tuple[DataFrame, list[float]]:
-    """Balancing with a residual stop (SY3): at most ``iterations`` updates; stops when
-    the largest relative residual is below ``tolerance``, or when it has not improved
-    on its best value by 0.1 % for ``patience`` reads (contradictory or unreachable
-    targets never reach the tolerance). The
-    residual is read every ``step`` iterations. Returns the checked weight frame with
-    the smallest residual (the largest residual need not fall monotonically when the
-    levels contradict each other) and the residual history. The driver loop only
-    chains DataFrame steps; the one value it reads is the maximum residual.
-
-    Every ``step`` iterations the weights are written as a Parquet table under the
-    session's checkpoint folder and read back: the next plan starts from that file, so
-    neither the lineage nor the plan grows with the iteration count, and a lost executor
-    costs ``step`` iterations at most. In between, only the zone-sized factor tables are
-    cached; the weight updates of a block run as one narrow chain in the write job.
-    Per block: one residual read (aggregate of the weights) and one write. A block's
-    table is deleted once it is neither the next block's input nor the best so far, so
-    the scratch space stays at three weight tables whatever the iteration count.
-    """
-    import uuid
-
-    from popweave.session import drop_path, scratch_dir
-
-    spark = sig.sparkSession
-    base = f"{scratch_dir(spark)}/balance-{uuid.uuid4().hex}"
-    k = len(constraints)
-    imp = scaled_importance(constraints, cfg.importance_range)
-    iterations = cfg.balance_iterations if iterations is None else iterations
-    patience = cfg.balance_patience if patience is None else patience
-    step = max(1, int(step))
-    # targets and factors have one row per MAZ: broadcast them when the MAZ count is
-    # within the dimension bound (checked once), else let the planner shuffle-join
-    small = tgt.limit(DIMENSION_MAX_ROWS + 1).count() <= DIMENSION_MAX_ROWS
-    if small:
-        tgt = F.broadcast(tgt)
-
-    def materialise(df: DataFrame, done: int) -> tuple[DataFrame, str]:
-        path = f"{base}/w{done}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path), path
-
-    def update(W: DataFrame, fac: DataFrame) -> DataFrame:
-        return _update(W, fac, imp, cfg.max_expansion_factor, constraints, small)
-
-    W, path = materialise(sig, 0)
-    history: list[float] = []
-    best: tuple[float, DataFrame, str] | None = None
-    done = 0
-    while True:
-        fac = factors(achieved(W, constraints), tgt, constraints).persist()  # zone-sized
-        r = max_residual(fac, k)
-        history.append(r)
-        if best is None or r < best[0]:
-            if best is not None and best[2] != path:
-                drop_path(spark, best[2])
-            best = (r, W, path)
-        stalled = len(history) > patience and \
-            min(history[-patience:]) > min(history[:-patience]) * (1 - 1e-3)
-        if r <= tolerance or stalled or done >= iterations:
-            fac.unpersist()
-            break
-        cached = [fac]
-        nxt = update(W, fac)
-        for _ in range(1, min(step, iterations - done)):
-            f = factors(achieved(nxt, constraints), tgt, constraints).persist()
-            cached.append(f)
-            nxt = update(nxt, f)
-        done += len(cached)
-        prev = path
-        W, path = materialise(nxt, done)
-        for f in cached:
-            f.unpersist()
-        if prev != best[2]:
-            drop_path(spark, prev)
-    if path != best[2]:
-        drop_path(spark, path)
-    return best[1], history
-
-
-def residual_report(W: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
+def by_level(ach: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
+    """Zone sums ``a_i`` read at each constraint's own level: summed by TAZ or region where it is one."""
+    key = {"taz": "taz", "meta": "region"}
+    return ach.select("maz", "taz", "region", *[
+        (F.sum(f"a_{i}").over(Window.partitionBy(key[c.level])) if c.level in key else F.col(f"a_{i}")).alias(f"a_{i}")
+        for i, c in enumerate(constraints)])
+
+
+def residual_report(ach: DataFrame, tgt: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     """Achieved vs target per (level, geography, control) (SY6): every target of every zone,
-    zones without households at 0."""
-    # weightless rows stand for the zones that no household is in
-    empty = tgt.select("maz", "taz", "region").join(W.select("maz").distinct(), "maz", "left_anti")
-    both = W.unionByName(empty.select("*", F.lit(0.0).alias("w"), *[
-        F.lit(0).alias(c) for c in inc_columns(constraints)]), allowMissingColumns=True)
-    ach = achieved(both, constraints).join(tgt.drop("taz", "region"), "maz", "inner")
-    rows = []
-    for i, c in enumerate(constraints):
-        geo = {"maz": "maz", "taz": "taz", "meta": "region"}[c.level]
-        a = {"maz": f"a_{i}", "taz": f"at_{i}", "meta": f"am_{i}"}[c.level]
-        rows.append(F.struct(F.lit(c.level).alias("level"), F.col(geo).cast("int").alias("geo"),
-                             F.lit(c.control).alias("control"), F.col(f"t_{i}").alias("target"),
-                             F.col(a).alias("achieved")))
-    long = ach.select(F.inline(F.array(*rows))).filter(F.col("target").isNotNull()).distinct()
-    return long.withColumn("residual", F.col("achieved") - F.col("target"))
-
-
-def seed_empty_zones(households: DataFrame, zones: DataFrame) -> DataFrame:
-    """Households plus draws for the zones that have a target and no household (SY3).
-
-    ``households`` has household_id, maz, taz, region, puma, weight and more; ``zones`` has
-    maz, taz, region, puma and ``target``. Each empty zone gets as many units as its target
-    from the households of its puma (of all pumas where its own has none), in proportion to
-    their weights: both sides are numbered densely within the pool and joined on (pool,
-    number), so the work is linear in the units. A household drawn several times by a zone
-    is one row with that weight."""
-    pooled = lambda df: df.select("puma").distinct().withColumn("_own", F.lit(True))
-    held = households.select("maz").distinct()
-    empty = (zones.withColumn("_n", F.round("target").cast("long")).filter("_n > 0")
-             .join(held, "maz", "left_anti").join(pooled(households), "puma", "left")
-             .withColumn("_pool", F.when(F.col("_own"), F.col("puma").cast("string")).otherwise("all")))
-    empty = materialize(empty.select("maz", "taz", "region", "_pool", "_n"), "empty-zones")
-    need = empty.groupBy("_pool").agg(F.sum("_n").alias("_need"))
-    # every household stands in its puma's pool and, where a zone needs it, in the common one
-    donors = (households.select("household_id", "weight", F.explode(F.array(
-        F.col("puma").cast("string"), F.lit("all"))).alias("_pool")).join(need, "_pool"))
-    drawn = integerize(donors, "_pool", "weight", target=F.col("_need"), out_col="_u").filter("_u > 0")
-    unit = (drawn.select("_pool", "household_id", F.explode(F.sequence(F.lit(1), F.col("_u"))).alias("_k"))
-            .withColumn("_mix", F.xxhash64("household_id", "_k")))
-    slot = empty.select("_pool", "maz", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
+    zones without households at 0. ``ach`` is zone-sized: (maz, taz, region, a_0..)."""
+    zero = [F.coalesce(f"a_{i}", F.lit(0.0)).alias(f"a_{i}") for i in range(len(constraints))]
+    whole = tgt.select("maz", "taz", "region").join(ach.drop("taz", "region"), "maz", "left").select("maz", "taz", "region", *zero)
+    both = by_level(whole, constraints).join(tgt.drop("taz", "region"), "maz")
+    rows = [F.struct(F.lit(c.level).alias("level"), F.col({"maz": "maz", "taz": "taz", "meta": "region"}[c.level]).cast("int").alias("geo"),
+                     F.lit(c.control).alias("control"), F.col(f"t_{i}").alias("target"), F.col(f"a_{i}").alias("achieved"))
+            for i, c in enumerate(constraints)]
+    long = both.select(F.inline(F.array(*rows))).filter(F.col("target").isNotNull())
+    # the zones of a TAZ or region repeat its rows
+    return (long.groupBy("level", "geo", "control").agg(F.max("target").alias("target"), F.max("achieved").alias("achieved"))
+            .withColumn("residual", F.col("achieved") - F.col("target")))
+
+
+def achieved_units(units: DataFrame, signatures: DataFrame, tgt: DataFrame, k: int) -> DataFrame:
+    """Zone sums (maz, taz, region, a_0..) of whole weights (maz, sig, units)."""
+    a = (units.join(signatures.select("sig", "inc"), "sig").groupBy("maz")
+         .agg(*[F.sum(F.col("units") * F.col("inc")[i]).cast("double").alias(f"a_{i}") for i in range(k)]))
+    return a.join(tgt.select("maz", "taz", "region"), "maz")
+
+
+def households_of(units: DataFrame, members: DataFrame) -> DataFrame:
+    """(maz, household_id, finalweight): the units of each signature shared out over its
+    households in proportion to their seed weights (SY5).
+
+    A signature with one household passes its units on. Else its units are given to the households as
+    whole numbers (``integerize``); both sides are numbered densely within the signature, in
+    mixed order, and joined on (signature, number): linear in the units."""
+    single = (units.join(members.filter("n = 1").select("sig", "household_id"), "sig")
+              .select("maz", "household_id", F.col("units").alias("finalweight")))
+    need = units.groupBy("sig").agg(F.sum("units").alias("_need"))
+    shared = integerize(members.filter("n > 1").join(need, "sig"), "sig", "weight", target=F.col("_need"), out_col="_u").filter("_u > 0")
+    each = lambda c: F.explode(F.sequence(F.lit(1).cast("long"), F.col(c).cast("long")))
 
     def numbered(df: DataFrame, *order: str) -> DataFrame:
-        d = dense_position(df, ["_pool", *order], "_pos")
-        first = d.groupBy("_pool").agg(F.min("_pos").alias("_first"))
-        return d.join(first, "_pool").withColumn("_slot", F.col("_pos") - F.col("_first"))
-
-    units = numbered(unit, "_mix", "household_id", "_k").select("_pool", "_slot", "household_id")
-    slots = numbered(slot, "maz", "_k").select("_pool", "_slot", "maz")
-    given = (slots.join(units, ["_pool", "_slot"]).groupBy("household_id", "maz")
-             .agg(F.count(F.lit(1)).alias("_w"))
-             .join(empty.select("maz", "taz", "region"), "maz"))
-    households = households.withColumn("weight", F.col("weight").cast("double"))
-    rest = households.drop("maz", "taz", "region", "weight")
-    drawn_rows = given.join(rest, "household_id").withColumn("weight", F.col("_w").cast("double"))
-    return households.unionByName(drawn_rows.select(*households.columns))
-
-
-def household_weights(hh_inc: DataFrame, W: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Spread each signature's balanced weight over its households by seed weight."""
-    keys = ["maz", *inc_columns(constraints)]
-    j = hh_inc.join(W.select(*keys, "w0", F.col("w").alias("_w")), keys, "inner")
-    share = F.when(F.col("w0") > 0, F.col("_w") / F.col("w0")).otherwise(F.lit(0.0))
-    return j.withColumn("balanced_weight", F.col("weight").cast("double") * share) \
-            .drop("w0", "_w")
+        d = dense_position(df, ["sig", *order], "_pos")
+        first = d.groupBy("sig").agg(F.min("_pos").alias("_first"))
+        return d.join(first, "sig").withColumn("_slot", F.col("_pos") - F.col("_first"))
+
+    given = numbered(shared.select("sig", "household_id", each("_u").alias("_k"))
+                     .withColumn("_mix", F.xxhash64("household_id", "_k")), "_mix", "household_id", "_k")
+    asked = numbered(units.join(shared.select("sig").distinct(), "sig", "left_semi").select("sig", "maz", each("units").alias("_k")), "maz", "_k")
+    many = (asked.select("sig", "_slot", "maz").join(given.select("sig", "_slot", "household_id"), ["sig", "_slot"])
+            .groupBy("maz", "household_id").agg(F.count(F.lit(1)).alias("finalweight")))
+    return single.unionByName(many).withColumn("finalweight", F.col("finalweight").cast("int"))
 
 
 def integerize(df: DataFrame, group: str, weight: str, target: Column | None = None,

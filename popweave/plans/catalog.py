@@ -19,6 +19,7 @@ from popweave.functions.zones import expand_ranges
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
 from popweave.operators import outputs as out
+from popweave.operators import pool
 from popweave.operators import quality as qual
 from popweave.operators import synthesis as syn
 from popweave.operators import validation as val
@@ -652,11 +653,10 @@ def synthesis_seed(spark, sf_dir, seeds: seedplan.PreparedSeeds | None = None):
     sampled internal seed."""
     s = seeds or prepared(spark, sf_dir)
     ph = seedplan.sampled(s, CFG)
-    hh = ph.groupBy("household_id").agg(
-        F.first("household_zone").alias("maz"), F.first("household_weight").alias("weight"),
-        F.first("income_class").alias("income_class"), F.first("puma").alias("puma"),
-        F.first("number_of_persons").alias("number_of_persons"),
-        F.first("dwelling_type").alias("dwelling_type"), F.first("vehicles").alias("vehicles"))
+    # the smallest whole row of an id, so that rows under one id never mix
+    row = F.min(F.struct(F.col("household_zone").alias("maz"), F.col("household_weight").alias("weight"), "income_class",
+                         "puma", "number_of_persons", "dwelling_type", "vehicles")).alias("r")
+    hh = ph.groupBy("household_id").agg(row).select("household_id", "r.*")
     hh = hh.withColumn("taz", F.col("maz")).withColumn("region", F.lit(1))
     return hh, seedplan.processed_persons(ph, CFG)
 
@@ -739,48 +739,94 @@ def q_integerize(spark, sf_dir):
     return r.select("household_id", "household_zone", "finalweight")
 
 
-def balanced(spark, sf_dir, iterations: int | None = None):
-    """Seed households balanced to the forecast controls (the synthesis run)."""
+def balance_inputs(spark, sf_dir):
+    """(households with incidence, coded persons, targets, forecast zones) of the synthesis run."""
     seeds = prepared(spark, sf_dir)  # one seed preparation feeds targets and households
     maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir, seeds)
     fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)
-    tgt = syn.targets(fmaz.select("maz", "taz", "region"), fmaz, ftaz, fmeta, CONSTRAINTS)
-    tgt = materialize(tgt, "targets")  # zone-sized; cut the lineage once
+    fmaz = materialize(fmaz, "forecast")  # zone-sized; cut the lineage once
+    tgt = materialize(syn.targets(fmaz.select("maz", "taz", "region"), fmaz, ftaz, fmeta, CONSTRAINTS), "targets")
     hh, persons = synthesis_seed(spark, sf_dir, seeds)
-    zones_of = fmaz.select("maz", "taz", "region", "puma", F.col("totalhh").alias("target"))
-    hh = syn.seed_empty_zones(materialize(hh, "seed-households"), materialize(zones_of, "zone-targets"))
     hh_inc = materialize(syn.incidence(hh, persons, CONSTRAINTS), "incidence")
-    W, hist = syn.balance(syn.signatures(hh_inc, CONSTRAINTS), tgt, CONSTRAINTS, CFG,
-                          iterations=iterations)
-    return hh_inc, persons, W, tgt, hist
+    return hh_inc, persons, tgt, fmaz
+
+
+def balanced(spark, sf_dir, iterations: int | None = None):
+    """The synthesis run: (balanced population, household attributes, coded persons, targets)."""
+    hh_inc, persons, tgt, fmaz = balance_inputs(spark, sf_dir)
+    return pool.balance(hh_inc, tgt, fmaz.select("maz", "puma"), CONSTRAINTS, CFG, iterations), hh_inc, persons, tgt
 
 
 @register("balance_weights")
 def q_balance_weights(spark, sf_dir):
-    hh_inc, _, W, _, _ = balanced(spark, sf_dir)
-    hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
-    return hw.select("household_id", "maz", F.col("weight").cast("double").alias("seed_weight"),
-                     "balanced_weight")
+    """Weights above zero of every (zone, household): each zone draws on all households of its puma."""
+    pop, hh, _, _ = balanced(spark, sf_dir)
+    hw = syn.households_of(pop.units, pop.members)
+    return (hw.join(hh.select("household_id", F.col("weight").cast("double").alias("seed_weight")), "household_id")
+            .select("household_id", "maz", "seed_weight", F.col("finalweight").alias("balanced_weight")))
+
+
+@register("balance_multipliers")
+def q_balance_multipliers(spark, sf_dir):
+    """The multiplier of every constraint in every zone: with the signature dictionary, all fractional weights."""
+    pop = balanced(spark, sf_dir)[0]
+    return pool.multipliers(spark, pop.zones, CONSTRAINTS)
+
+
+def _settled_sql() -> str:
+    """Every target of the zones that get households holds up to its relaxation."""
+    table = {"maz": ("fm", "maz"), "taz": ("ft", "taz"), "meta": ("fr", "region")}
+    rows = [f"SELECT '{c.level}' AS level, CAST({key} AS INTEGER) AS geo, '{c.control}' AS control, "
+            f"CAST({c.control} AS DOUBLE) AS target, TRUE AS settled FROM {src} "
+            f"WHERE {key} IN (SELECT {key} FROM fm WHERE totalhh > 0)"
+            for c in CONSTRAINTS for src, key in [table[c.level]]]
+    return f"""WITH fm AS ({ORACLE["forecast_maz"]}), ft AS ({ORACLE["forecast_taz"]}), fr AS ({ORACLE["forecast_meta"]})
+""" + "\nUNION ALL ".join(rows)
+
+
+@register("balance_optimality", _settled_sql())
+def q_balance_optimality(spark, sf_dir):
+    """The optimality condition of the balanced weights, target by target (a certificate: the dual is
+    strictly convex, so weights that meet it are the only ones)."""
+    pop = balanced(spark, sf_dir)[0]
+    return pool.optimality(spark, pop.zones, pop.sums, CONSTRAINTS)
+
+
+def _start_sql() -> str:
+    sums = ", ".join(f"SUM(CAST(household_weight AS DOUBLE) * inc_{c.control}) AS s_{c.control}" for c in CONSTRAINTS)
+    rows = "\nUNION ALL ".join(f"SELECT f.maz, '{c.control}' AS control, round(p.s_{c.control} / p.w * f.totalhh, 2) AS achieved "
+                               f"FROM f JOIN p ON f.puma = p.puma" for c in CONSTRAINTS)
+    return f"""i AS ({_inc_sql().replace("pc AS", "WITH pc AS", 1)}),
+hp AS (SELECT DISTINCT household_id, puma, household_weight FROM phi),
+p AS (SELECT hp.puma, SUM(CAST(household_weight AS DOUBLE)) AS w, {sums} FROM hp JOIN i ON hp.household_id = i.household_id GROUP BY hp.puma),
+f AS (SELECT * FROM ({ORACLE["forecast_maz"]}) WHERE totalhh > 0)
+{rows}"""
+
+
+@register("balance_step", sq.with_seeds(_start_sql()))
+def q_balance_step(spark, sf_dir):
+    """One pass over the signature dictionary at the start: what each zone's share of its puma achieves."""
+    hh_inc, _, tgt, fmaz = balance_inputs(spark, sf_dir)
+    table, _, zone_pool = pool.dictionary(hh_inc, syn.inc_columns(CONSTRAINTS), fmaz.select("maz", "puma"))
+    z = pool.zones_of(tgt, zone_pool, table, CONSTRAINTS, 0, CFG.max_expansion_factor)
+    sums = pool.look(table, z)[:, 3:3 + len(CONSTRAINTS)]
+    rows = F.array(*[F.struct(F.lit(c.control).alias("control"), F.round(f"a_{i}", 2).alias("achieved"))
+                     for i, c in enumerate(CONSTRAINTS)])
+    return pool.achieved(spark, z, sums).select("maz", F.inline(rows))
 
 
 @register("balance_residual")
 def q_balance_residual(spark, sf_dir):
-    _, _, W, tgt, _ = balanced(spark, sf_dir)
-    return syn.residual_report(W, tgt, CONSTRAINTS)
-
-
-def integerised(hh_inc, W, tgt):
-    """Households with whole weights that meet each MAZ's household target."""
-    hw = syn.household_weights(hh_inc, W, CONSTRAINTS)
-    hw = hw.join(broadcast_if_bounded(tgt.select("maz", F.col("t_0").alias("_t_hh"))), "maz", "left")
-    return syn.integerize(hw, "maz", "balanced_weight",
-                          target=F.coalesce(F.round(F.col("_t_hh"), 0), F.round(F.col("_tot"), 0)))
+    pop, _, _, tgt = balanced(spark, sf_dir)
+    return syn.residual_report(pop.achieved, tgt, CONSTRAINTS)
 
 
 def synthesized(spark, sf_dir):
     """(households, persons) of the synthetic population."""
-    hh_inc, persons, W, tgt, _ = balanced(spark, sf_dir)
-    return syn.synthesize(integerised(hh_inc, W, tgt), persons)
+    pop, hh, persons, _ = balanced(spark, sf_dir)
+    kept = syn.households_of(pop.units, pop.members)
+    rest = hh.drop("maz", "taz", "region", *syn.inc_columns(CONSTRAINTS))
+    return syn.synthesize(kept.join(rest, "household_id"), persons)
 
 
 @register("synthesize")
@@ -799,8 +845,7 @@ def q_synthesize_persons(spark, sf_dir):
 SELECT maz, totalhh AS target, totalhh AS households FROM ({ORACLE["forecast_maz"]}) f""")
 def q_synthesize_totals(spark, sf_dir):
     """Households of the synthetic population per MAZ against the MAZ's target: equal."""
-    hh_inc, persons, W, tgt, _ = balanced(spark, sf_dir)
-    fin = integerised(hh_inc, W, tgt)
-    got = fin.groupBy("maz").agg(F.sum("finalweight").alias("households"))
+    pop, _, _, tgt = balanced(spark, sf_dir)
+    got = syn.households_of(pop.units, pop.members).groupBy("maz").agg(F.sum("finalweight").alias("households"))
     return (tgt.select("maz", F.col("t_0").cast("long").alias("target")).join(got, "maz", "left")
             .select("maz", "target", F.coalesce("households", F.lit(0)).cast("long").alias("households")))

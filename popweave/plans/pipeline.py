@@ -20,6 +20,7 @@ from popweave.functions.sizing import broadcast_if_bounded
 from popweave.operators import controls as ctl
 from popweave.operators import forecast as fc
 from popweave.operators import outputs as out
+from popweave.operators import pool
 from popweave.operators import synthesis as syn
 from popweave.operators import validation as val
 from popweave.operators.ids import assign_hhnum
@@ -86,9 +87,6 @@ def generate_inputs(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_d
                  f"{_inputs_dir(out_dir)}/processed_households")
     sk.write_csv(out.rename_for_sink(seedplan.processed_persons(ph, cfg), OUTPUT_PERSON_HEADERS),
                  f"{_inputs_dir(out_dir)}/processed_persons")
-    # the synthesis stage needs the home zone, which the processed seed drops
-    sk.write_csv(seeds.households.select("household_id", "household_zone"),
-                 f"{_inputs_dir(out_dir)}/household_zones")
 
 
 def initialize_records(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -133,34 +131,28 @@ def apply_forecast(spark: SparkSession, cfg: RunConfig, out_dir: str, vector_pat
 
 
 def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: int | None = None) -> None:
-    """SY1-SY5: balance the processed seed to the control tables and write the
-    synthesizer-shaped tables ``synpop_hh`` / ``synpop_person`` plus the residuals."""
+    """SY1-SY5: balance the processed seed to the control tables, every zone drawing on all
+    households of its puma, and write the synthesizer-shaped tables ``synpop_hh`` / ``synpop_person``,
+    the residuals of the fractional and of the whole weights and the multipliers."""
     maz, taz, meta = read_control_tables(spark, out_dir)
-    hht = spark.read.parquet(f"{out_dir}/tables/hhtable")
+    hh = spark.read.parquet(f"{out_dir}/tables/hhtable")
     pst = spark.read.parquet(f"{out_dir}/tables/perstable")
-    zones_of = rd.read_csv(spark, f"{_inputs_dir(out_dir)}/household_zones",
-                           T.StructType([T.StructField("household_id", T.LongType()),
-                                         T.StructField("household_zone", T.IntegerType())]))
-    hh = (hht.join(zones_of, "household_id", "inner")
-          .withColumnRenamed("household_zone", "maz").withColumn("taz", F.col("maz"))
-          .withColumn("region", F.lit(1)))
     constraints = syn.default_constraints(cfg)
     tgt = materialize(syn.targets(maz.select("maz", "taz", "region"), maz, taz, meta, constraints),
                       "targets")
     persons = pst.withColumn("weight", F.col("weight").cast("double"))
     for c in ("age", "employment_status", "occupation", "employment_zone"):
         persons = persons.withColumn(c, F.col(c).cast("int"))
-    zones_target = maz.select("maz", "taz", "region", "puma", F.col("totalhh").alias("target"))
-    hh = syn.seed_empty_zones(materialize(hh, "seed-households"), zones_target)
     hh_inc = materialize(syn.incidence(hh, persons, constraints), "incidence")
-    W, _ = syn.balance(syn.signatures(hh_inc, constraints), tgt, constraints, cfg, iterations)
-    syn.residual_report(W, tgt, constraints).write.mode("overwrite").parquet(
-        f"{out_dir}/tables/balance_residual")
-    hw = syn.household_weights(hh_inc, W, constraints)
-    t_hh = tgt.select("maz", F.col("t_0").alias("_t_hh"))
-    fin = syn.integerize(hw.join(broadcast_if_bounded(t_hh), "maz", "left"), "maz", "balanced_weight",
-                         target=F.coalesce(F.round("_t_hh", 0), F.round("_tot", 0)))
-    sh, sp = syn.synthesize(fin, persons)
+    pop = pool.balance(hh_inc, tgt, maz.select("maz", "puma"), constraints, cfg, iterations)
+    whole = syn.achieved_units(pop.units, pop.signatures, tgt, len(constraints))
+    report = syn.residual_report(pop.achieved, tgt, constraints).join(
+        syn.residual_report(whole, tgt, constraints).select("level", "geo", "control", F.col("achieved").alias("achieved_whole")),
+        ["level", "geo", "control"])
+    report.write.mode("overwrite").parquet(f"{out_dir}/tables/balance_residual")
+    pool.multipliers(spark, pop.zones, constraints).write.mode("overwrite").parquet(f"{out_dir}/tables/balance_multipliers")
+    kept = syn.households_of(pop.units, pop.members)
+    sh, sp = syn.synthesize(kept.join(hh, "household_id"), persons)
     sh.select("temp_id", "maz", "finalweight", "household_id", "dwelling_type", "number_of_persons",
               "vehicles", "income_class").write.mode("overwrite").parquet(f"{out_dir}/tables/synpop_hh")
     sp.select("temp_id", "person_number", "age", "sex", "license", "transit_pass", "employment_status",

@@ -69,33 +69,12 @@ def test_student_map_uses_its_codes(spark):
     assert df.filter(cons["S_S"].cond()).count() == 2
 
 
-def test_zones_without_seed_households_are_served_from_their_puma(spark):
-    hh = spark.createDataFrame([(h, 1 + h % 2, 1 + h % 2, 1, 1 + h % 2, float(1 + h % 3)) for h in range(12)],
-                               "household_id long, maz int, taz int, region int, puma int, weight double")
-    zones = spark.createDataFrame([(1, 1, 1, 1, 50.0), (2, 2, 1, 2, 50.0), (3, 3, 1, 1, 70.0), (4, 4, 1, 2, 5.0), (5, 5, 1, 9, 33.0), (6, 6, 1, 1, 0.0)],
-                                  "maz int, taz int, region int, puma int, target double")
-    got = syn.seed_empty_zones(hh, zones)
-    units = {r.maz: (r.w, r.pumas) for r in got.groupBy("maz").agg(F.sum("weight").alias("w"), F.collect_set("puma").alias("pumas")).collect()}
-    assert units[3] == (70.0, [1]) and units[4] == (5.0, [2]) and units[5][0] == 33.0 and 6 not in units
-    assert got.filter("maz <= 2").count() == 12 and got.groupBy("household_id", "maz").count().filter("count > 1").count() == 0
-
-
 def test_a_group_of_zero_weights_still_meets_its_target(spark):
     df = spark.createDataFrame([(1, 1, 0.0), (2, 1, 0.0)], "household_id long, maz int, w double")
     r = syn.integerize(df, "maz", "w", target=F.lit(101))
     assert sorted(x.finalweight for x in r.collect()) == [50, 51]
 
 
-def test_a_zone_without_controls_keeps_its_weights_and_an_empty_one_is_reported(spark):
-    cons = [syn.Constraint("totalhh", "maz", "household", 1000, lambda: F.col("weight") > -100)]
-    hh = spark.createDataFrame([(1, 1, 1, 1, 2.0), (2, 2, 2, 1, 3.0)], "household_id long, maz int, taz int, region int, weight double")
-    inc = hh.withColumn("inc_totalhh", F.lit(1))
-    tgt = spark.createDataFrame([(1, 1, 1, 10.0), (3, 3, 1, 4.0)], "maz int, taz int, region int, t_0 double")
-    W, _ = syn.balance(syn.signatures(inc, cons), tgt, cons, RunConfig(), iterations=3)
-    assert {r.maz: round(r.w, 6) for r in W.collect()} == {1: 10.0, 2: 3.0}
-    assert {(r.geo, r.target, round(r.achieved, 6)) for r in syn.residual_report(W, tgt, cons).collect()} == {(1, 10.0, 10.0), (3, 4.0, 0.0)}
-
-
 def test_tables_written_appended_and_read(spark):
     import uuid
 

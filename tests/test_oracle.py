@@ -7,7 +7,7 @@ import pytest
 from tools.oracle_check import compare, duck
 
 SF_DIR = os.environ.get("POPWEAVE_TEST_SF", "/root/testdata/sf0.001")
-SLOW = {"balance_weights", "balance_residual", "synthesize", "synthesize_persons"}
+SLOW = {"balance_weights", "balance_residual", "synthesize", "synthesize_persons", "balance_multipliers"}
 
 
 def _names():

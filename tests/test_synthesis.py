@@ -1,50 +1,168 @@
-"""Balancing convergence on a feasible fixture, exact integerisation, emission."""
+"""Balancing over puma pools, controlled rounding, exact integers, emission."""
 
+import itertools
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from popweave.config import RunConfig
+from popweave.operators import pool
 from popweave.operators import synthesis as syn
 
+TOTAL = syn.Constraint("totalhh", "maz", "household", 1000, lambda: F.col("weight") > -100)
+
 
-def _fixture(spark):
+def _people(spark, n=240):
     hh = spark.createDataFrame(
-        [(h, 1 + h % 4, 1 + h % 4, 1, 1.0, 1 + (h // 3) % 2) for h in range(40)],
-        "household_id long, maz int, taz int, region int, weight double, income_class int")
+        [(h, 1 + h % 6, 1 + h % 2, 1.0 + h % 4, 1 + (h // 3) % 2, 1 + h % 5) for h in range(n)],
+        "household_id long, home int, puma int, weight double, income_class int, size int")
     persons = spark.createDataFrame(
-        [(h, k, 20 + k) for h in range(40) for k in range(1 + h % 3)],
+        [(h, k, 20 + (7 * h + 13 * k) % 50) for h in range(n) for k in range(1 + h % 5)],
         "household_id long, person_number int, age int")
-    cons = [syn.Constraint("totalhh", "maz", "household", 1000, lambda: F.col("weight") > -100),
+    cons = [TOTAL, syn.Constraint("young", "maz", "person", 1000, lambda: F.col("age") < 40),
             syn.Constraint("inc1", "taz", "household", 900, lambda: F.col("income_class") == 1),
-            syn.Constraint("totpop", "meta", "person", 1000, lambda: F.col("age") >= 0)]
-    return hh, persons, cons
-
-
-def test_balancing_converges_on_feasible_targets(spark):
-    hh, persons, cons = _fixture(spark)
-    inc = syn.incidence(hh, persons, cons)
-    truth = inc.withColumn("w", (F.col("household_id") % 5 + 1).cast("double"))
-    tmaz = truth.groupBy("maz").agg(F.sum("w").alias("totalhh"))
-    ttaz = truth.groupBy("taz").agg(F.sum(F.col("w") * F.col("inc_inc1")).alias("inc1"))
-    tmeta = truth.groupBy("region").agg(F.sum(F.col("w") * F.col("inc_totpop")).alias("totpop"))
-    keys = hh.select("maz", "taz", "region").distinct()
-    tgt = syn.targets(keys, tmaz, ttaz, tmeta, cons)
-    cfg = RunConfig(max_expansion_factor=320.0)
-    W, hist = syn.balance(syn.signatures(inc, cons), tgt, cons, cfg, iterations=40, tolerance=1e-6)
-    assert hist[-1] < 1e-2, hist[-5:]
-    assert all(b <= a + 1e-12 for a, b in zip(hist[5:], hist[6:]))  # settles monotonically
-    assert W.agg(F.max(F.col("w") / F.col("n"))).first()[0] <= 320.0
-    rep = syn.residual_report(W, tgt, cons)
-    assert rep.agg(F.max(F.abs(F.col("residual")) / F.col("target"))).first()[0] < 1e-2
-
-
-def test_zero_target_zeroes_incident_weights(spark):
-    hh, persons, cons = _fixture(spark)
-    inc = syn.incidence(hh, persons, cons)
-    keys = hh.select("maz", "taz", "region").distinct()
-    tmaz = keys.select("maz", F.when(F.col("maz") == 1, 0.0).otherwise(10.0).alias("totalhh"))
-    tgt = syn.targets(keys, tmaz, keys.select("taz").distinct(), keys.select("region").distinct(), cons)
-    W, _ = syn.balance(syn.signatures(inc, cons), tgt, cons, RunConfig(), iterations=3)
-    assert W.filter("maz = 1").agg(F.sum("w")).first()[0] == 0.0
+            syn.Constraint("old", "meta", "person", 700, lambda: F.col("age") >= 60),
+            syn.Constraint("totpop", "meta", "person", 100000, lambda: F.col("age") >= 0)]
+    return syn.incidence(hh, persons, cons), cons
+
+
+def _zones(spark):
+    """Zones 1 to 6 in TAZs of two, pumas by turns."""
+    return spark.createDataFrame([(z, (z + 1) // 2, 1, 1 + z % 2) for z in range(1, 7)], "maz int, taz int, region int, puma int")
+
+
+def _truth(spark, inc, cons, lift=1.0):
+    """Targets that some weights of each puma's households meet, times ``lift`` for TAZs."""
+    zones = _zones(spark)
+    t = inc.join(zones.withColumnRenamed("puma", "zp"), F.col("puma") == F.col("zp"))
+    w = (F.col("household_id") % 3 + 1) * F.col("maz")
+    sums = {lv: t.groupBy(k).agg(*[F.round(F.sum(w * F.col(f"inc_{c.control}")) * (lift if lv == "taz" else 1.0)).alias(c.control)
+                                   for c in cons if c.level == lv])
+            for lv, k in (("maz", "maz"), ("taz", "taz"), ("meta", "region"))}
+    return zones, syn.targets(zones.select("maz", "taz", "region"), sums["maz"], sums["taz"], sums["meta"], cons)
+
+
+def _report(df):
+    return {(r.level, r.geo, r.control): (r.target, r.achieved) for r in df.collect()}
+
+
+def _check_whole(spark, got, tgt, cons, inc, slack):
+    """Whole weights: exact totals, and every control near what the balanced weights achieve."""
+    balanced = _report(syn.residual_report(got.achieved, tgt, cons))
+    whole = _report(syn.residual_report(syn.achieved_units(got.units, got.signatures, tgt, len(cons)), tgt, cons))
+    assert balanced.keys() == whole.keys()
+    for k, (target, a) in whole.items():
+        if k[2] == "totalhh":
+            assert a == target, k
+        assert abs(a - balanced[k][1]) <= slack, (k, a, balanced[k])
+    kept = syn.households_of(got.units, got.members)
+    assert kept.groupBy("household_id", "maz").count().filter("count > 1").count() == 0
+    pumas = _zones(spark).select("maz", F.col("puma").alias("zp"))
+    assert kept.join(inc, "household_id").join(pumas, "maz").filter("puma <> zp").count() == 0
+    homes = kept.join(inc, "household_id").filter("home <> maz").count()
+    assert homes > 0  # zones use households of the whole puma
+    got_hh = {r.maz: r.s for r in kept.groupBy("maz").agg(F.sum("finalweight").alias("s")).collect()}
+    assert got_hh == {k[1]: int(t) for k, (t, _) in whole.items() if k[2] == "totalhh"}
+
+
+@pytest.mark.parametrize("block", [16384, 12])
+def test_feasible_targets_are_met_and_rounded_weights_keep_them(spark, block, monkeypatch):
+    monkeypatch.setattr(pool, "BLOCK", block)
+    inc, cons = _people(spark)
+    zones, tgt = _truth(spark, inc, cons)
+    got = pool.balance(inc, tgt, zones.select("maz", "puma"), cons, RunConfig())
+    assert got.history[-1] <= 1e-6
+    for k, (target, a) in _report(syn.residual_report(got.achieved, tgt, cons)).items():
+        assert abs(a - target) <= 0.02 * max(target, 1), k
+    assert all(r.settled for r in pool.optimality(spark, got.zones, got.sums, cons).collect())
+    _check_whole(spark, got, tgt, cons, inc, 1.01 if block > 1000 else 3.01)
+
+
+def test_contradictory_levels_settle_and_totals_stay_exact(spark):
+    inc, cons = _people(spark)
+    zones, tgt = _truth(spark, inc, cons, lift=1.4)
+    got = pool.balance(inc, tgt, zones.select("maz", "puma"), cons, RunConfig())
+    assert got.history[-1] <= 1e-6
+    assert all(r.settled for r in pool.optimality(spark, got.zones, got.sums, cons).collect())
+    _check_whole(spark, got, tgt, cons, inc, 1.51)
+
+
+@pytest.mark.parametrize("i1,i2", [(3000.0, 1000.0), (1000.0, 1000.0), (500.0, 40000.0)])
+def test_contradictory_totals_give_the_compromise_of_their_importances(spark, i1, i2):
+    """Two targets for one sum: (I1 + I2) / (I1 / T1 + I2 / T2)."""
+    hh = spark.createDataFrame([(h, 1, 1.0, 1 + h % 4) for h in range(40)], "household_id long, puma int, weight double, size int")
+    persons = spark.createDataFrame([(h, k) for h in range(40) for k in range(1 + h % 4)], "household_id long, person_number int")
+    cons = [TOTAL, syn.Constraint("near", "maz", "person", i1, lambda: F.lit(True)), syn.Constraint("far", "meta", "person", i2, lambda: F.lit(True))]
+    tgt = spark.createDataFrame([(1, 1, 1, 100.0, 180.0, 240.0)], "maz int, taz int, region int, t_0 double, t_1 double, t_2 double")
+    got = pool.balance(syn.incidence(hh, persons, cons), tgt, spark.createDataFrame([(1, 1)], "maz int, puma int"), cons, RunConfig())
+    want = (i1 + i2) / (i1 / 180 + i2 / 240)
+    assert abs(got.sums[0, 1] - want) < 0.002 * want and abs(got.sums[0, 0] - 100) < 1e-3
+    m = {r.control: r for r in pool.multipliers(spark, got.zones, cons).collect()}
+    assert abs(m["near"].relaxation - want / 180) < 0.003 and abs(m["far"].relaxation - want / 240) < 0.003
+
+
+def test_empty_zones_pumas_without_households_and_zones_without_controls(spark):
+    hh = spark.createDataFrame([(h, 1 + h % 2, 1.0 + h % 3) for h in range(30)], "household_id long, puma int, weight double")
+    inc = hh.withColumn("inc_totalhh", F.lit(1))
+    tgt = spark.createDataFrame([(1, 1, 1, 70.0), (2, 2, 1, 0.0), (3, 3, 1, 33.0), (4, 4, 1, None)], "maz int, taz int, region int, t_0 double")
+    pumas = spark.createDataFrame([(1, 1), (2, 2), (3, 9), (4, 1), (5, 2)], "maz int, puma int")
+    got = pool.balance(inc, tgt, pumas, [TOTAL], RunConfig())
+    kept = syn.households_of(got.units, got.members).join(hh.select("household_id", "puma"), "household_id")
+    by = {r.maz: (r.s, sorted(r.p)) for r in kept.groupBy("maz").agg(F.sum("finalweight").alias("s"), F.collect_set("puma").alias("p")).collect()}
+    assert by == {1: (70, [1]), 3: (33, [1, 2])}
+    assert _report(syn.residual_report(got.achieved, tgt, [TOTAL])) == {
+        ("maz", 1, "totalhh"): (70.0, pytest.approx(70.0)), ("maz", 2, "totalhh"): (0.0, 0.0), ("maz", 3, "totalhh"): (33.0, pytest.approx(33.0))}
+    none = pool.balance(inc, tgt.limit(0), pumas, [TOTAL], RunConfig())
+    assert none.units.count() == 0 and none.achieved.count() == 0
+
+
+def test_weights_stay_below_the_cap(spark):
+    hh = spark.createDataFrame([(h, 1, 100.0 if h == 0 else 1.0, 1 if h else 0) for h in range(20)], "household_id long, puma int, weight double, own int")
+    cons = [TOTAL, syn.Constraint("own", "maz", "household", 1000, lambda: F.col("own") == 0)]
+    inc = hh.withColumn("inc_totalhh", F.lit(1)).withColumn("inc_own", 1 - F.col("own"))
+    tgt = spark.createDataFrame([(1, 1, 1, 60.0, 55.0)], "maz int, taz int, region int, t_0 double, t_1 double")
+    got = pool.balance(inc, tgt, spark.createDataFrame([(1, 1)], "maz int, puma int"), cons, RunConfig(max_expansion_factor=10.0))
+    assert abs(got.sums[0, 0] - 60) < 1e-3 and got.sums[0, 1] <= 10 + 1e-9  # one household of its kind
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_repair_against_all_whole_weights_of_small_zones(seed):
+    rng = np.random.default_rng(seed)
+    best_found = 0
+    for _ in range(12):
+        n, k, count = 5, 4, 7
+        s = np.column_stack([np.ones(n), rng.integers(0, 4, (n, k - 1))]).astype(float)
+        w = rng.dirichlet(np.ones(n)) * count
+        target, price = np.round(w @ s), rng.uniform(0.5, 4, k)
+        price[0] = 0.0
+        most = np.full(n, 5.0)
+        cost = lambda u: float((price * (u @ s - target) ** 2).sum())
+        start = np.minimum(pool.rounded(w, count), 5)
+        if start.sum() != count:
+            continue
+        got = pool.repair(start, s, target, price, w, most)
+        assert got.sum() == count and (got >= 0).all() and (got <= most).all() and cost(got) <= cost(start)
+        near = 1e-3 * price[price > 0].min()
+        full = lambda u: cost(u) + near * ((u - w) ** 2).sum()
+        for i, j in itertools.permutations(range(n), 2):   # no exchange is left that helps
+            if got[i] > 0 and got[j] < most[j]:
+                u = got.copy()
+                u[i] -= 1
+                u[j] += 1
+                assert full(u) >= full(got) - 1e-6
+        every = [np.array(u) for u in itertools.product(range(6), repeat=n) if sum(u) == count]
+        best_found += cost(got) <= min(map(cost, every)) + 1e-9
+    assert best_found >= 6
+
+
+def test_rounding_along_the_running_sum_is_exact():
+    rng = np.random.default_rng(1)
+    for count in (0, 1, 7, 1000):
+        w = rng.exponential(size=50)
+        u = pool.rounded(w, count)
+        assert u.sum() == count and np.abs(u - w / w.sum() * count).max() < 1
+    assert pool.rounded(np.zeros(4), 6).sum() == 6
 
 
 def test_integerize_hits_group_totals_exactly(spark):
@@ -62,47 +180,3 @@ def test_synthesize_emits_kept_households_with_dense_ids(spark):
     h, p = syn.synthesize(hh, persons)
     assert sorted((r["temp_id"], r["household_id"]) for r in h.collect()) == [(1, 3), (2, 2)]
     assert p.count() == 3
-
-
-def test_balancing_returns_best_checked_weights_and_keeps_one_table(spark):
-    import os
-    from popweave.session import scratch_dir
-
-    hh, persons, cons = _fixture(spark)
-    inc = syn.incidence(hh, persons, cons)
-    truth = inc.withColumn("w", (F.col("household_id") % 5 + 1).cast("double"))
-    # contradictory levels: TAZ +20 %, meta -10 % against the MAZ totals
-    tmaz = truth.groupBy("maz").agg(F.sum("w").alias("totalhh"))
-    ttaz = truth.groupBy("taz").agg((1.2 * F.sum(F.col("w") * F.col("inc_inc1"))).alias("inc1"))
-    tmeta = truth.groupBy("region").agg((0.9 * F.sum(F.col("w") * F.col("inc_totpop"))).alias("totpop"))
-    keys = hh.select("maz", "taz", "region").distinct()
-    tgt = syn.targets(keys, tmaz, ttaz, tmeta, cons)
-    root = scratch_dir(spark).removeprefix("file:")
-    before = set(os.listdir(root)) if os.path.isdir(root) else set()
-    W, hist = syn.balance(syn.signatures(inc, cons), tgt, cons, RunConfig(), iterations=9)
-    got = syn.max_residual(syn.factors(syn.achieved(W, cons), tgt, cons), len(cons))
-    assert abs(got - min(hist)) <= 1e-9 * max(1.0, got)
-    new = [d for d in set(os.listdir(root)) - before if d.startswith("balance-")]
-    assert len(new) == 1 and len(os.listdir(os.path.join(root, new[0]))) == 1
-    assert W.count() == syn.signatures(inc, cons).count()
-
-
-def test_block_chaining_equals_one_write_per_iteration(spark):
-    hh, persons, cons = _fixture(spark)
-    inc = syn.incidence(hh, persons, cons)
-    truth = inc.withColumn("w", (F.col("household_id") % 5 + 1).cast("double"))
-    tmaz = truth.groupBy("maz").agg(F.sum("w").alias("totalhh"))
-    ttaz = truth.groupBy("taz").agg(F.sum(F.col("w") * F.col("inc_inc1")).alias("inc1"))
-    tmeta = truth.groupBy("region").agg(F.sum(F.col("w") * F.col("inc_totpop")).alias("totpop"))
-    keys = hh.select("maz", "taz", "region").distinct()
-    tgt = syn.targets(keys, tmaz, ttaz, tmeta, cons)
-    sig = syn.signatures(inc, cons)
-    runs = {}
-    for step in (1, 2):
-        W, hist = syn.balance(sig, tgt, cons, RunConfig(), iterations=4, tolerance=0.0,
-                              patience=100, step=step)
-        assert hist == sorted(hist, reverse=True)  # feasible: the best is the last
-        runs[step] = {(r["maz"], r["inc_totalhh"], r["inc_inc1"], r["inc_totpop"]): r["w"]
-                      for r in W.collect()}
-    assert runs[1].keys() == runs[2].keys()
-    assert max(abs(runs[1][k] - runs[2][k]) for k in runs[1]) < 1e-9
