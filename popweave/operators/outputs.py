@@ -127,11 +127,11 @@ def zonal_residence(joined: DataFrame, cfg: RunConfig) -> DataFrame:
 
 def merge_populations(primary: DataFrame, other: DataFrame, keys: Sequence[str],
                       columns: Sequence[str]) -> DataFrame:
-    """Append ``other`` to ``primary`` column-aligned, numeric nulls -> 0, projected to
-    ``columns``, first row per key with ``primary`` rows first (SO4). Idempotent."""
+    """Append ``other`` to ``primary`` column-aligned, nulls -> 0 (in text columns ``"0"``, PRJ18),
+    projected to ``columns``, first row per key with ``primary`` rows first (SO4). Idempotent."""
     a = primary.withColumn("_src", F.lit(0))
     b = other.withColumn("_src", F.lit(1))
-    u = a.unionByName(b, allowMissingColumns=True).na.fill(0)
+    u = a.unionByName(b, allowMissingColumns=True).na.fill(0).na.fill("0")
     u = u.select(*columns, "_src")
     return first_per_key(u, keys, ["_src"]).drop("_src")
 

@@ -6,24 +6,25 @@ so the sample is repeatable and survives task retries.
 
 * ``method="threshold"`` (default, scales): a row is sampled when its keyed uniform is
   below ``frac``. No shuffle beyond the household grouping the input already has.
-* ``method="exact"``: per puma exactly ``round_half_even(frac * rows)`` rows, the ones
-  with the smallest keyed uniform. The rank inside a puma comes from a distributed
-  dense position over ``(puma, u, key)`` minus the puma's offset, so a large puma is
-  never one window partition.
+* ``method="exact"``: per puma exactly ``round_half_even(frac * rows)`` rows, the ones with the
+  smallest keyed uniform. A histogram of the uniforms per puma finds the bucket that the last
+  of them falls into; buckets before it are kept whole and only that bucket's rows (one in
+  ``BUCKETS``) are ranked, so records are neither sorted nor ranged for the choice.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from popweave.functions.draws import keyed_uniform
 from popweave.functions.sizing import broadcast_if_bounded
-from popweave.operators.ids import dense_position
 from popweave.session import materialize
 
+BUCKETS = 1 << 16  # of the uniforms' histogram
+
 
 def sampled_household_ids(persons_hh: DataFrame, frac: float, key_cols: Sequence[str],
                           group: str = "puma", method: str = "threshold",
@@ -35,18 +36,20 @@ def sampled_household_ids(persons_hh: DataFrame, frac: float, key_cols: Sequence
         return rows.select("household_id").distinct()
     if method != "exact":
         raise ValueError(f"unknown sampling method {method!r}")
-    rows = persons_hh.select(group, "household_id", *[c for c in key_cols if c != "household_id"],
-                             u.alias("_u"))
-    order = [group, "_u", *key_cols]
-    pos = dense_position(rows, order, "_pos")
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    # offset of a puma = rows of all smaller pumas; one row per puma, broadcast behind a count
-    from pyspark.sql import Window
-    w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(group, "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    ranked = pos.join(broadcast_if_bounded(materialize(offs, "group-offsets")), group, "inner")
-    keep = F.col("_pos") - F.col("_off") <= F.bround(F.col("_n") * F.lit(frac), 0)
-    return ranked.filter(keep).select("household_id").distinct()
+    rows = persons_hh.select(group, "household_id", *[c for c in key_cols if c != "household_id"], u.alias("_u"),
+                             F.floor(u * BUCKETS).cast("int").alias("_b"))
+    counts = rows.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))  # at most BUCKETS rows a puma
+    run = Window.partitionBy(group).orderBy("_b")
+    cum = counts.select(group, "_b", (F.sum("_n").over(run) - F.col("_n")).alias("_before"), F.sum("_n").over(run).alias("_upto"),
+                        F.bround(F.sum("_n").over(Window.partitionBy(group)) * F.lit(frac), 0).cast("long").alias("_k"))
+    # the bucket that the last row to keep falls into: one row a puma, broadcast behind a count
+    edge = cum.filter("_before < _k AND _k <= _upto").select(
+        F.col(group), F.col("_b").alias("_edge"), (F.col("_k") - F.col("_before")).alias("_rest"))
+    placed = rows.join(broadcast_if_bounded(materialize(edge, "sample-edges")), group)
+    whole = placed.filter("_b < _edge").select("household_id")
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_u", *key_cols))
+    part = placed.filter("_b = _edge").withColumn("_rank", rank).filter("_rank <= _rest").select("household_id")
+    return whole.unionByName(part).distinct()
 
 
 def sample_households(persons_hh: DataFrame, frac: float, key_cols: Sequence[str],

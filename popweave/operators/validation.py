@@ -54,36 +54,40 @@ def household_labels() -> list[tuple[str, Column]]:
 
 def labelled_totals(df: DataFrame, labels: list[tuple[str, Column]], weight: str,
                     value_name: str) -> DataFrame:
-    """One aggregate pass -> ``(label, value_name)`` rows (double, 0 when nothing matches)."""
+    """One aggregate pass -> ``(ordinal, label, value_name)`` rows (double, 0 when nothing matches)."""
     aggs = [F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)).cast("double").alias(f"_v{i}")
             for i, (_, cond) in enumerate(labels)]
     wide = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(name).alias("label"), F.col(f"_v{i}").alias(value_name))
+    pairs = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("label"), F.col(f"_v{i}").alias(value_name))
                       for i, (name, _) in enumerate(labels)])
     return wide.select(F.inline(pairs))
 
 
 def compare_totals(observed: DataFrame, synthesized: DataFrame,
-                   labels: list[tuple[str, Column]], weight: str = "expansion_factor") -> DataFrame:
+                   labels: list[tuple[str, Column]], weight: str = "expansion_factor",
+                   ordinal: bool = False) -> DataFrame:
     """``label, observed_total, synthesized_total, abs_difference`` where the difference
-    is observed - synthesized, signed (D10)."""
+    is observed - synthesized, signed (D10). ``ordinal`` keeps the row's place in the report, which
+    is carried from the label list through unpivot and join (SNK7)."""
     o = labelled_totals(observed, labels, weight, "observed_total")
     s = labelled_totals(synthesized, labels, weight, "synthesized_total")
-    return (o.join(s, "label", "inner")
+    both = (o.join(s, ["ordinal", "label"], "inner")
             .withColumn("abs_difference", F.col("observed_total") - F.col("synthesized_total")))
+    return both if ordinal else both.drop("ordinal")
 
 
-def validation_persons(obs_joined: DataFrame, syn_joined: DataFrame, cfg: RunConfig) -> DataFrame:
+def validation_persons(obs_joined: DataFrame, syn_joined: DataFrame, cfg: RunConfig,
+                       ordinal: bool = False) -> DataFrame:
     """AG20 over two :func:`validation_join` results."""
-    return compare_totals(obs_joined, syn_joined, person_labels(cfg))
+    return compare_totals(obs_joined, syn_joined, person_labels(cfg), ordinal=ordinal)
 
 
 def validation_households(obs_households: DataFrame, syn_households: DataFrame,
-                          cfg: RunConfig) -> DataFrame:
+                          cfg: RunConfig, ordinal: bool = False) -> DataFrame:
     """AG21: households filtered to internal zones only (no PD filter, as surveyed)."""
     o = obs_households.filter(in_ranges("household_zone", cfg.internal))
     s = syn_households.filter(in_ranges("household_zone", cfg.internal))
-    return compare_totals(o, s, household_labels())
+    return compare_totals(o, s, household_labels(), ordinal=ordinal)
 
 
 CROSSTAB_OCCUPATIONS = ("P", "G", "S", "M", "O")

@@ -249,6 +249,15 @@ def q_slice_population(spark, sf_dir):
                     F.col("expansion_factor").cast("double").alias("expansion_factor"))
 
 
+@register("slice_population_persons", "WITH " + sq.VIEWS + f"""
+SELECT household_id, person_number, age, CAST(expansion_factor * 2.0 AS DOUBLE) AS expansion_factor
+FROM ps WHERE {keyed_uniform_sql('slice', 'household_id')} < 0.5""")
+def q_slice_population_persons(spark, sf_dir):
+    """The persons of the sliced households, their weights scaled alike."""
+    _, p = slice_population(sv.households(spark, sf_dir), sv.persons(spark, sf_dir), 0.5)
+    return p.select("household_id", "person_number", "age", F.col("expansion_factor").cast("double").alias("expansion_factor"))
+
+
 @register("recode_categories", "WITH " + sq.VIEWS + f"""
 SELECT household_id, person_number, {sq.OCC_CODE} AS occupation, {sq.EMP_CODE} AS employment_status
 FROM ps""")
@@ -476,6 +485,53 @@ def q_merge_populations(spark, sf_dir):
     return out.merge_populations(h, other, ["household_id"], _MERGE_COLS)
 
 
+_PERSON_COLS = ("household_id", "person_number", "age", "sex", "license", "transit_pass", "employment_status", "occupation",
+                "free_parking", "student_status", "employment_zone", "school_zone", "expansion_factor")
+_PERSON_TYPES = {"age": "smallint", "employment_zone": "int", "school_zone": "int", "expansion_factor": "double"}
+
+
+def _seed_persons_like_outputs(spark, sf_dir):
+    return sv.persons(spark, sf_dir).select(*[F.col(c).cast(_PERSON_TYPES[c]).alias(c) if c in _PERSON_TYPES else F.col(c)
+                                              for c in _PERSON_COLS])
+
+
+def _seed_persons_sql(shift: int = 0) -> str:
+    cast = {**_PERSON_TYPES, "household_id": "bigint"}
+    cols = ", ".join(f"CAST({c}{f' + {shift}' if shift and c == 'household_id' else ''} AS {cast[c]}) AS {c}" if c in cast else c
+                     for c in _PERSON_COLS)
+    return f"SELECT {cols} FROM ps"
+
+
+@register("merge_populations_persons", sq.with_outputs(f"""
+u AS (SELECT * REPLACE ('0' AS student_status), 0 AS src FROM out_p
+      UNION ALL SELECT *, 1 AS src FROM ({_seed_persons_sql(1000)})),
+f AS (SELECT * REPLACE ({", ".join(f"COALESCE({c}, '0') AS {c}" for c in
+                                   ("sex", "license", "transit_pass", "employment_status", "occupation", "free_parking", "student_status"))})
+      FROM u)
+SELECT {", ".join(_PERSON_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY household_id, person_number ORDER BY src, {", ".join(_PERSON_COLS[2:])}) AS rn
+  FROM f) t WHERE rn = 1"""))
+def q_merge_populations_persons(spark, sf_dir):
+    """Synthetic persons (lacking ``student_status``, filled with 0) merged with all seed persons of
+    shifted households."""
+    p = outputs(spark, sf_dir)[0].drop("student_status")
+    other = _seed_persons_like_outputs(spark, sf_dir).withColumn("household_id", F.col("household_id") + 1000)
+    return out.merge_populations(p, other, ["household_id", "person_number"], _PERSON_COLS)
+
+
+@register("replace_population_persons", sq.with_outputs(f"""
+keep AS (SELECT household_id FROM out_h WHERE household_zone NOT IN (3, 7)),
+new AS (SELECT household_id FROM hh WHERE household_zone IN (3, 7))
+SELECT {", ".join(_PERSON_COLS)} FROM out_p WHERE household_id IN (SELECT household_id FROM keep)
+UNION ALL
+SELECT * FROM ({_seed_persons_sql()}) WHERE household_id IN (SELECT household_id FROM new)"""))
+def q_replace_population_persons(spark, sf_dir):
+    """Persons of the replaced population: those of the zones' households come from the seed."""
+    p, h = outputs(spark, sf_dir)
+    return out.replace_population_persons(p.select(*_PERSON_COLS), _seed_persons_like_outputs(spark, sf_dir), h,
+                                          sv.households(spark, sf_dir), [3, 7])
+
+
 @register("missing_zones", "WITH " + sq.VIEWS + ", " + sq.VECTOR + """,
 present AS (SELECT zone FROM vec WHERE population > 0),
 span AS (SELECT generate_series AS zone FROM generate_series((SELECT min(zone) FROM present),

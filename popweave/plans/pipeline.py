@@ -9,6 +9,7 @@ output folder (a shared path on a cluster).
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,18 +94,17 @@ def initialize_records(spark: SparkSession, out_dir: str) -> tuple[DataFrame, Da
     """PL2: record tables with dense ``hhnum``; doubles narrowed to float for the load
     (PRJ4). Written as Parquet next to the inputs."""
     hh = rd.read_csv(spark, f"{_inputs_dir(out_dir)}/processed_households", PROCESSED_HOUSEHOLD)
-    pp = spark.read.option("header", True).csv(f"{_inputs_dir(out_dir)}/processed_persons",
-                                               inferSchema=False)
+    snake = {v: k for k, v in OUTPUT_PERSON_HEADERS.items()}
+    wide = {"household_id": T.LongType(), "weight": T.DoubleType(), "weightp": T.DoubleType()}
+    ints = ("person_number", "puma", "age", "employment_status", "occupation", "employment_zone", "school_zone")
+    path = f"{_inputs_dir(out_dir)}/processed_persons"
+    # the student map decides whether that column holds codes or letters, so the file's own names are kept
+    names = spark.read.option("header", True).csv(path).columns
+    kind = lambda c: wide.get(snake.get(c, c), T.IntegerType() if snake.get(c, c) in ints else T.StringType())
+    pp = rd.read_csv(spark, path, T.StructType([T.StructField(c, kind(c)) for c in names]))
     snake_h = {v: k for k, v in PROCESSED_HOUSEHOLD_HEADERS.items()}
     hh = hh.select(*[F.col(c).alias(snake_h.get(c, c)) for c in hh.columns]).withColumn("weight", F.col("weight").cast("float"))
-    snake = {v: k for k, v in OUTPUT_PERSON_HEADERS.items()}
-    ints = ("person_number", "puma", "age", "employment_status", "occupation", "employment_zone",
-            "school_zone")
     pp = pp.select(*[F.col(c).alias(snake.get(c, c)) for c in pp.columns])
-    pp = pp.select(*[F.col(c).cast("long").alias(c) if c == "household_id"
-                     else F.col(c).cast("int").alias(c) if c in ints
-                     else F.col(c).cast("double").alias(c) if c in ("weight", "weightp")
-                     else F.col(c) for c in pp.columns])
     hht, pst = assign_hhnum(hh, pp)
     hht.write.mode("overwrite").parquet(f"{out_dir}/tables/hhtable")
     pst.write.mode("overwrite").parquet(f"{out_dir}/tables/perstable")
@@ -161,16 +161,19 @@ def synthesize(spark: SparkSession, cfg: RunConfig, out_dir: str, iterations: in
 
 
 def generate_outputs(spark: SparkSession, cfg: RunConfig, out_dir: str,
-                     merge_with: tuple[str, str] | None = None, saved: str | None = None) -> None:
+                     merge_with: tuple[str, str] | None = None, saved: str | None = None,
+                     tables: tuple[str, str] | None = None) -> None:
     """PL3: transform, scale, inverse re-code, optional merge, household totals and the
     8 zonal-residence files (one partitioned write). ``saved`` is the folder of an earlier run
-    whose output files are read instead of the synthesizer's tables (SRC9); ``merge_with`` are
+    whose output files are read instead of the synthesizer's tables (SRC9); ``tables`` are the
+    catalog names of household and person tables to read instead (SRC7); ``merge_with`` are
     household and person files of another population, their columns found by name."""
     if saved is not None:
         persons, households = read_outputs(spark, saved)
     else:
-        persons = out.output_persons(spark.read.parquet(f"{out_dir}/tables/synpop_person"), cfg)
-        households = out.output_households(spark.read.parquet(f"{out_dir}/tables/synpop_hh"), cfg)
+        hh, pp = tables or (f"{out_dir}/tables/synpop_hh", f"{out_dir}/tables/synpop_person")
+        persons = out.output_persons(rd.read_table(spark, pp), cfg)
+        households = out.output_households(rd.read_table(spark, hh), cfg)
     if merge_with is not None:
         households = out.merge_populations(households, rd.read_household_seed(spark, merge_with[0]),
                                            ["household_id"], list(households.columns))
@@ -206,10 +209,58 @@ def validate(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str
     syn_p, syn_h = read_outputs(spark, out_dir)
     obs = val.validation_join(seed_p, seed_h, zones, cfg)
     synj = val.validation_join(syn_p, syn_h, zones, cfg)
-    sk.write_csv(out.rename_for_sink(val.validation_persons(obs, synj, cfg), VALIDATION_HEADERS),
-                 f"{out_dir}/Validation/persons_totals")
-    sk.write_csv(out.rename_for_sink(val.validation_households(seed_h, syn_h, cfg), VALIDATION_HEADERS),
-                 f"{out_dir}/Validation/households_totals")
+    sk.write_report(out.rename_for_sink(val.validation_persons(obs, synj, cfg, ordinal=True), VALIDATION_HEADERS),
+                    f"{out_dir}/Validation/persons_totals")
+    sk.write_report(out.rename_for_sink(val.validation_households(seed_h, syn_h, cfg, ordinal=True), VALIDATION_HEADERS),
+                    f"{out_dir}/Validation/households_totals")
+
+
+def compare(spark: SparkSession, files: SeedFiles, out_dir: str, control: str = "hhsize1", column: str = "NumberOfPersons",
+            value: int = 1, controls: str | None = None) -> None:
+    """Saved households against a control column, per planning district (SRC12, SNK9, AG23).
+
+    Reads only the columns it needs of the run's household file and control table (or of the file
+    ``controls``, e.g. one with a count of one-vehicle households: ``control="numv1", column="Vehicles"``),
+    and writes the comparison per district, in district order, and the households with theirs."""
+    zones = rd.read_zone_map(spark, files.zones)
+    kept = [f for f in S.HOUSEHOLD_SEED.fields if f.name in ("HouseholdId", "HouseholdZone", "ExpansionFactor", column)]
+    households = rd.read_csv(spark, f"{out_dir}/HouseholdData/Households", T.StructType(kept))
+    households = households.select(*[F.col(f.name).alias(S.SEED_HOUSEHOLD_RENAMES[f.name]) for f in kept])
+    totals = rd.read_csv(spark, controls or f"{_inputs_dir(out_dir)}/controls_maz",
+                         T.StructType([T.StructField("taz", T.IntegerType()), T.StructField(control, T.DoubleType())]))
+    chosen = F.col(S.SEED_HOUSEHOLD_RENAMES[column]) == value
+    by_pd = val.pd_compare(totals, control, households, chosen, zones)
+    sk.write_report(by_pd.select(F.col("pd").alias("_pd"), F.col("pd").alias("PD"), F.col("control").alias(control),
+                                 F.col("synthesized").alias("ExpansionFactor")), f"{out_dir}/Compare/pd_compare", "_pd")
+    pd = broadcast_if_bounded(zones.select(F.col("zone").alias("household_zone"), "pd"))
+    sk.write_csv(out.rename_for_sink(households.join(pd, "household_zone"), OUTPUT_HOUSEHOLD_HEADERS | {"pd": "PD"}),
+                 f"{out_dir}/Compare/households_with_pd")
+
+
+CONTROL_KEYS = {"controls_maz": ("maz",), "controls_taz": ("taz",), "controls_meta": ("region",)}
+
+
+def publish_controls(spark: SparkSession, out_dir: str, prefix: str = "control_totals_") -> list[str]:
+    """The run's control tables as catalog tables, refused where a key is missing or twice there (SNK3, PL5)."""
+    names = []
+    for df, name in zip(read_control_tables(spark, out_dir), CONTROL_FILES):
+        names.append(prefix + name.removeprefix("controls_"))
+        sk.publish_table(df, names[-1], CONTROL_KEYS[name])
+    return names
+
+
+def export_controls(spark: SparkSession, names: Sequence[str], out_dir: str) -> None:
+    """Control tables of the catalog (MAZ, TAZ, meta) as the control files of a run that did not
+    build them itself (SRC8)."""
+    for table, name in zip(names, CONTROL_FILES):
+        df = rd.read_table(spark, table)
+        sk.write_csv(df, f"{_inputs_dir(out_dir)}/{name}", sort_by=[k for k in ("puma", "taz", "maz", "region") if k in df.columns])
+
+
+def export_population(spark: SparkSession, out_dir: str) -> None:
+    """The synthesizer's tables as header-less CSV, in id order (SNK8)."""
+    for name in ("synpop_hh", "synpop_person"):
+        sk.write_csv(spark.read.parquet(f"{out_dir}/tables/{name}"), f"{out_dir}/Export/{name}", header=False, sort_by=("temp_id",))
 
 
 def full_run(spark: SparkSession, cfg: RunConfig, files: SeedFiles, out_dir: str,

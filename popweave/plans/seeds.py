@@ -1,9 +1,9 @@
 """Seed preparation pipeline (PL1): zones -> join -> puma -> impute -> join -> filter ->
 controls -> sample -> re-code -> processed seeds.
 
-Each step is a DataFrame transformation; Catalyst sees one plan per sink. The
-person-household join is the only fact-fact shuffle; everything downstream that
-groups by household reuses its hash partitioning.
+Each step is a DataFrame transformation. The person-household join is the only fact-fact
+shuffle and runs once: ``prepare`` writes its rows as a table under the checkpoint folder,
+which every later step scans with its own columns only.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from popweave.operators.impute import ImputeSpec, resample_invalid
 from popweave.operators.sampling import sample_households
 from popweave.operators.seeds import (filter_internal, households_with_zone,
                                       persons_households, zone_map)
+from popweave.session import materialize
 
 PERSON_KEY = ("household_id", "person_number")
 
@@ -51,7 +52,9 @@ def prepare(zones: DataFrame, households: DataFrame, persons: DataFrame,
     # put a second copy of all their columns on the executors' disks.
     hz0 = households_with_zone(households, zmap)
     hz = resample_invalid(hz0, HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
-    ph0 = persons_households(persons, hz)
+    # The one fact join of a run: its rows are written once; shares, draws, controls, seeds and
+    # incidence all read that table.
+    ph0 = materialize(persons_households(persons, hz), "persons-households")
     ph = resample_invalid(ph0, PERSON_IMPUTE, "expansion_factor", list(PERSON_KEY))
     return PreparedSeeds(zmap,
                          filter_internal(hz, "household_zone", cfg),
@@ -71,9 +74,7 @@ def processed_households(persons_hh: DataFrame) -> DataFrame:
     """One row per household present among the (sampled) persons, weight rounded to 5
     places. Households without persons are absent here but counted in ``totalhh`` (D15).
 
-    The group-by key equals the join key that partitioned ``persons_hh``, so this
-    aggregate adds no exchange.
-    """
+    The aggregate combines map-side, so a household's rows meet as one."""
     # the smallest whole row of an id, so that rows under one id never mix
     row = F.min(F.struct("puma", "dwelling_type", "number_of_persons", "vehicles", "income_class",
                          F.col("household_weight").alias("weight"))).alias("r")

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from popweave.config import CONTROL_KEYS_MAZ, CONTROL_MEASURES
-
 PERSON_SEED = T.StructType([
     T.StructField("HouseholdId", T.LongType()),
     T.StructField("PersonNumber", T.IntegerType()),
@@ -46,11 +44,6 @@ POPULATION_VECTOR = T.StructType([
     T.StructField("population", T.DoubleType()),
 ])
 
-CONTROL_MAZ = T.StructType(
-    [T.StructField(k, T.IntegerType()) for k in CONTROL_KEYS_MAZ]
-    + [T.StructField(m, T.IntegerType()) for m in CONTROL_MEASURES]
-)
-
 SEED_PERSON_RENAMES = {
     "HouseholdId": "household_id", "PersonNumber": "person_number", "Age": "age",
     "Sex": "sex", "License": "license", "TransitPass": "transit_pass",
