@@ -34,8 +34,9 @@ UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\u9FFF\uF900-\uFAFF\x
 VARIABLE = rf"(?<!\S)[^\s\d{UNSPACED}]*+\d[^\s{UNSPACED}]*+(?!\S)|\d++"
 
 
-def tokens(line) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, VARIABLE, FIELD)), r"\s+")
+def tokens(line: Column) -> Column:
+    # few lines hold a digit: only those go through the pattern
+    return F.split(F.trim(F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, FIELD)).otherwise(line)), r"\s+")
 
 
 def parsed(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
