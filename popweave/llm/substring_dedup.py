@@ -88,8 +88,9 @@ def dedup(docs: DataFrame, span: int = 2, min_words: int = 10, lone_words: int =
     rows = rows.withColumn("th", F.xxhash64("text"))
     each = materialize(runs(rows, span, min_words, lone_words), "runs")
     at = F.struct("id", "th", "i")
-    repeated = (each.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-                .filter("first != last"))
+    # one place a hash is carried, not two; rows of one document count twice and meet only themselves
+    repeated = (each.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").drop("n"))
     later = each.join(repeated, ["h1", "h2"]).filter(at != F.col("first"))
     # a document's runs: bounded by its own sentences
     gone = later.groupBy(F.col("id").alias("gid"), F.col("th").alias("gth")).agg(F.collect_set(F.struct("i", "k")).alias("gone"))
