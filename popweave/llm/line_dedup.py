@@ -5,8 +5,10 @@ that hold a digit being variable fields (in scripts written without blanks, wher
 a whole sentence, only the digits are); its leaf is the token count and the first ``depth``
 tokens, so lines of up to ``depth`` tokens merge only where they are equal but for the fields. In a leaf, a position whose most frequent token covers at least half of the leaf's
 documents is constant and the others are variable; where at least ``similarity`` of the
-positions are constant, the leaf has a template, and the lines that agree with all its constants
-are the template's. Any other line is a template of its own. A template that lines of
+positions are constant, the leaf has a template, and the lines that agree with it at ``similarity`` of
+their positions are the template's (not at all constants: a hot source's own fields look constant).
+Where such a template recurs, the step is taken again on what is left of the leaf, until no new one is
+found. Any other line is a template of its own. A template that lines of
 ``min_docs`` or more different texts share is recurring: its lines are dropped.
 
 One line of a recurring template stays, the first (smallest id, then position), so that no
@@ -21,6 +23,8 @@ document; null ids take part; an empty table gives no rows; ``dedup`` ignores ot
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,22 +71,37 @@ def templates(rows: DataFrame, lines: DataFrame, depth: int, similarity: float,
                .select("o.leaf", "o.shape", tokens(F.element_at("l", F.col("o.pos") + 1)).alias("t"))
                .dropDuplicates(["leaf", "shape"]))
     each = materialize(many.join(spelled, ["leaf", "shape"])
-                       .select("leaf", "shape", "docs", "leaf_docs", F.posexplode("t").alias("p", "token")), "tokens")
-    counts = each.groupBy("leaf", "p", "token", "leaf_docs").agg(F.sum("docs").alias("c"))
-    constant = (counts.groupBy("leaf", "p", "leaf_docs").agg(F.min(F.struct((-F.col("c")).alias("c"), "token")).alias("m"))
-                .withColumn("constant", (F.col("m.token") != FIELD) & (F.col("m.c") * -2 >= F.col("leaf_docs"))))
-    model = (constant.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.col("constant").cast("int")).alias("n_constant"))
-             .filter(F.col("n_constant") >= F.col("n") * F.lit(similarity)).select("leaf", "n_constant"))
-    agree = (each.join(constant.filter("constant").select("leaf", "p", F.col("m.token").alias("token")), ["leaf", "p", "token"])
-             .groupBy("leaf", "shape").agg(F.count("*").alias("agreed"), F.max("docs").alias("docs")))
-    members = agree.join(model, "leaf").filter("agreed = n_constant").select("leaf", "shape", "docs")
-    grown = members.groupBy("leaf").agg(F.sum("docs").alias("all_docs")).filter(F.col("all_docs") >= min_docs)
-    several = members.join(grown, "leaf").select("leaf", "shape", F.col("leaf").alias("template"))
+                       .select("leaf", "shape", "docs", F.posexplode("t").alias("p", "token")), "tokens")
+    several, free = [], each
+    while True:
+        members = materialize(grown(free, similarity, min_docs, len(several)), "members")
+        if members.isEmpty():
+            break
+        several.append(members)
+        # what is left of the leaves that gave a template may hold another
+        free = materialize(free.join(members.select("leaf").distinct(), "leaf", "left_semi")
+                           .join(members.select("leaf", "shape"), ["leaf", "shape"], "left_anti"), "free")
+    several = reduce(DataFrame.unionByName, several, members)
     alone = (shapes.filter(F.col("docs") >= min_docs).select("leaf", "shape")
              .join(several, ["leaf", "shape"], "left_anti").select("leaf", "shape", F.col("shape").alias("template")))
     return several.unionByName(alone)
 
 
+def grown(each: DataFrame, similarity: float, min_docs: int, number: int) -> DataFrame:
+    """(leaf, shape, template): one template a leaf, where there is one, and the shapes it takes in."""
+    size = each.filter("p = 0").groupBy("leaf").agg(F.sum("docs").alias("leaf_docs"))
+    counts = each.groupBy("leaf", "p", "token").agg(F.sum("docs").alias("c"))
+    top = counts.groupBy("leaf", "p").agg(F.min(F.struct((-F.col("c")).alias("c"), "token")).alias("m")).join(size, "leaf")
+    constant = top.withColumn("constant", (F.col("m.token") != FIELD) & (F.col("m.c") * -2 >= F.col("leaf_docs")))
+    model = (constant.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.col("constant").cast("int")).alias("n_constant"))
+             .filter(F.col("n_constant") >= F.col("n") * F.lit(similarity)).select("leaf", "n"))
+    agree = (each.join(constant.filter("constant").select("leaf", "p", F.col("m.token").alias("token")), ["leaf", "p", "token"])
+             .groupBy("leaf", "shape").agg(F.count("*").alias("agreed"), F.max("docs").alias("docs")))
+    members = agree.join(model, "leaf").filter(F.col("agreed") >= F.col("n") * F.lit(similarity))
+    enough = members.groupBy("leaf").agg(F.sum("docs").alias("all_docs")).filter(F.col("all_docs") >= min_docs)
+    return members.join(enough, "leaf").select("leaf", "shape", F.xxhash64("leaf", F.lit(number)).alias("template"))
+
+
 def dropped(rows: DataFrame, depth: int, similarity: float, min_docs: int, min_tokens: int, keep_first: bool) -> DataFrame:
     """(gid, gth, gone): the dropped line positions of each document that loses any."""
     lines = materialize(parsed(rows, depth, min_tokens), "lines").filter("leaf IS NOT NULL")

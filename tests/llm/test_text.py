@@ -137,19 +137,23 @@ def plain_sentences(text):
     return re.split(substring_dedup.CUT, text)
 
 
-def brute_spans(rows, span=3, least=10):
+def brute_spans(rows, span=2, least=10, lone=25):
+    """Every run of sentences that is evidence, of any length up to where it must reach both bounds."""
     plain = lambda s: s.replace("\n", " ").replace("\t", " ").replace("\r", " ").strip(" ").lower()
-    places = defaultdict(list)
-    for d, t in sorted(set(rows)):
-        s = plain_sentences(t or "")
-        for i in range(len(s) - span + 1):
-            run = tuple(plain(x) for x in s[i:i + span])
-            if sum(x.count(" ") + 1 for x in run) >= least:
-                places[run].append((d, i))
+    places = defaultdict(set)
+    for d, t in set(rows):
+        s = [plain(x) for x in plain_sentences(t or "")]
+        n = [x.count(" ") + 1 for x in s]
+        for i in range(len(s)):
+            for j in range(i + 1, min(len(s), i + max(span, least)) + 1):
+                if j - i >= span and sum(n[i:j]) >= least or j - i == 1 and n[i] >= lone:
+                    places[tuple(s[i:j]), False].add((d, i))
+        if len(s) < span and sum(n) >= least:
+            places[tuple(s), True].add((d, 0))
     gone = defaultdict(set)
-    for p in places.values():
+    for (run, _), p in places.items():
         for d, i in sorted(p)[1:]:
-            gone[d] |= set(range(i, i + span))
+            gone[d] |= set(range(i, i + len(run)))
     return {d: "".join(x for i, x in enumerate(plain_sentences(t or "")) if i not in gone[d]) for d, t in rows}
 
 
@@ -171,23 +175,32 @@ def test_substring_dedup_planted_and_odd(spark, odd):
     assert substring_dedup.dedup(odd.limit(0)).count() == 0
 
 
-def brute_lines(rows, depth=4, similarity=0.6, least=5, least_tokens=3):
-    toks = lambda l: re.split(r"\s+", re.sub(r"(?<!\S)[^\s\d]*\d\S*", "<*>", l).strip(" "), flags=re.ASCII)
+def fields(line):
+    """Tokens with digits become fields; in scripts without blanks only the digits do."""
+    out = []
+    for token in re.split(r"[ \t\n\x0b\f\r]+", line.strip(" ")):
+        if re.search("[0-9]", token):
+            letters = re.search("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]", token)
+            token = re.sub("[0-9]+", "<*>", token) if letters else "<*>"
+        out.append(token)
+    return tuple(out)
+
+
+def brute_lines(rows, depth=4, similarity=0.6, least=5):
     shapes, at = defaultdict(set), defaultdict(list)
     for d, t in rows:
         for pos, line in enumerate((t or "").split("\n")):
-            k = toks(line)
-            if len(k) >= least_tokens:
-                shapes[tuple(k)].add(t)
-                at[tuple(k)].append((d, pos))
+            if line.strip():
+                shapes[fields(line)].add(t)
+                at[fields(line)].append((d, pos))
     leaves = defaultdict(list)
     for k in shapes:
         leaves[len(k), k[:depth]].append(k)
     template = {k: k for k in shapes if len(shapes[k]) >= least}
     for leaf, ks in leaves.items():
-        total = sum(len(shapes[k]) for k in ks)
-        if len(ks) > 1 and total >= least:
-            fixed = {}
+        number = 0
+        while (len(ks) > 1 or number) and sum(len(shapes[k]) for k in ks) >= least:
+            total, fixed = sum(len(shapes[k]) for k in ks), {}
             for p in range(leaf[0]):
                 c = Counter()
                 for k in ks:
@@ -195,10 +208,11 @@ def brute_lines(rows, depth=4, similarity=0.6, least=5, least_tokens=3):
                 token, n = min(c.items(), key=lambda x: (-x[1], x[0].encode()))
                 if token != "<*>" and 2 * n >= total:
                     fixed[p] = token
-            if len(fixed) >= similarity * leaf[0]:
-                members = [k for k in ks if all(k[p] == x for p, x in fixed.items())]
-                if sum(len(shapes[k]) for k in members) >= least:
-                    template.update((k, leaf) for k in members)
+            members = [k for k in ks if sum(k[p] == x for p, x in fixed.items()) >= similarity * leaf[0]]
+            if len(fixed) < similarity * leaf[0] or sum(len(shapes[k]) for k in members) < least:
+                break
+            template.update((k, (leaf, number)) for k in members)
+            ks, number = [k for k in ks if k not in members], number + 1
     held = defaultdict(list)
     for k, name in template.items():
         held[name] += at[k]
@@ -279,16 +293,49 @@ def test_decontamination_planted_and_odd(spark, odd):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
-def test_licences(spark, sf, texts, odd):
-    got = {(r.doc_id, r.license) for r in license_scan.query(spark, sf).collect()}
-    want = set()
-    for d, t in texts:
-        own = set(tokenised(t or ""))
-        for name, notice in license_scan.NOTICES:
-            x = set(tokenised(notice))
-            if x and len(x & own) / len(x) >= 0.8:
-                want.add((d, name))
-    assert got == want
+def brute_licences(docs, templates, least=0.8, k=5):
+    """Every window of a template's length; of overlapping finds the one with most shingles."""
+    known = []
+    for name, t in templates:
+        w = re.sub(r"[\W_]+", " ", t.lower()).strip().split(" ")
+        m = min(k, len(w))
+        known.append((name, m, [tuple(w[i:i + m]) for i in range(len(w) - m + 1)]))
+    out = set()
+    for d, t in docs:
+        w = re.sub(r"[\W_]+", " ", (t or "").lower()).strip().split(" ")
+        best = {}
+        for name, m, x in known:
+            own = [tuple(w[i:i + m]) for i in range(len(w) - m + 1)]
+            need = set(x)
+            if len(need & set(own)) < least * len(need):
+                continue
+            for s in range(len(own)):
+                hits = len(need & set(own[s:s + len(x)]))
+                if hits >= least * len(need):
+                    end = min(s + len(x), len(own)) + m - 1
+                    best[name, s] = max(best.get((name, s), (0, 0, 0)), (hits, hits / len(need), end))
+        places = [(n, s, *v) for (n, s), v in best.items()]
+
+        def beaten(a):
+            for o in places:
+                common = min(o[4], a[4]) - max(o[1], a[1])
+                if o[0] != a[0] and common > 0 and 2 * common >= min(o[4] - o[1], a[4] - a[1]) and (-o[2], -o[3], o[0]) < (-a[2], -a[3], a[0]):
+                    return True
+            return False
+
+        out |= {(d, p[0]) for p in places if not beaten(p)}
+    return out
+
+
+def test_licences_equal_brute_force(spark, texts):
+    notices = spark.createDataFrame(list(license_scan.NOTICES), "license string, text string")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.id, r.license) for r in license_scan.scan(docs, notices).collect()}
+    assert got == brute_licences(texts, license_scan.NOTICES)
+    assert len(got) > 3
+
+
+def test_licences_planted_and_odd(spark, sf, odd):
     notices = spark.createDataFrame(list(license_scan.NOTICES), "license string, text string")
     mit = license_scan.NOTICES[8][1].split()
     planted = spark.createDataFrame([(1, " ".join(["before"] * 9 + mit + ["after"] * 9)), (2, " ".join(mit[:15] + ["else"] * 30)),
@@ -296,3 +343,4 @@ def test_licences(spark, sf, texts, odd):
     assert {(r.id, r.license) for r in license_scan.scan(planted, notices).collect()} == {(1, "MIT"), (3, "MIT")}
     assert license_scan.scan(odd, notices).count() == 0
     assert license_scan.scan(odd, notices.limit(0)).count() == 0
+    assert license_scan.query(spark, sf).columns == ["doc_id", "license", "containment", "start_word"]

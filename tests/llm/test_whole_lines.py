@@ -38,3 +38,22 @@ def test_lines_without_blanks_merge_only_where_equal_but_for_digits(spark):
     got = run(spark, [f"この長い行は毎ページに立つ。{i}ページ\n{c * 9}は{i}番目の別の文です" for i, c in enumerate(kana)])
     assert got[0].count("\n") == 1
     assert got[1:] == [f"{c * 9}は{i}番目の別の文です" for i, c in enumerate(kana)][1:]
+
+
+def test_a_hot_source_does_not_switch_a_template_off(spark):
+    authors = [f"{a}{b}" for a in "kelmor" for b in ("an", "ben", "cor", "dil", "eth", "fin", "gan", "hol", "ias", "jun")]
+    word = lambda i: "".join("abcdefghij"[int(c)] * 3 for c in str(i))
+    texts = [f"Own text {word(4 * i + j)} of {a} goes here alone\nRead more posts by {a}" for i, a in enumerate(authors) for j in range(4)]
+    hot = [f"Another {word(j)} one stands here of its own\nRead more posts by Hotname" for j in range(300)]
+    for more in ([], hot):
+        got = run(spark, texts + more)[:len(texts)]
+        assert sum("Read more posts by" in t for t in got) == 1 and "Read more posts by" in got[0]
+        assert all("goes here alone" in t for t in got)
+
+
+def test_a_second_template_of_a_leaf_is_found(spark):
+    first = [f"You are now at the end of this page about x{c}x so turn back" for c in "abcdefghij"]
+    second = [f"You are now at a place where nobody reads the y{c}y long list today" for c in "klmnop"]
+    assert {len(t.split()) for t in first + second} == {14}
+    got = run(spark, first + second)
+    assert [bool(t) for t in got] == [True] + [False] * 9 + [True] + [False] * 5
