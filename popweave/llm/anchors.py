@@ -3,9 +3,11 @@
 Texts become words (runs of letters and digits, lower-cased) and every word position starts a
 shingle of ``k`` words, as a 64-bit hash. A window that shares no shingle with any needle has
 similarity and containment zero with all of them, so windows are laid only where a shingle of
-some needle stands: needle-sized, from where the needle would begin. Overlapping windows
-of all needle sizes follow from that without sliding each size over every word; no
-window that could pass a check of shared shingles is left out.
+some needle stands, needle-sized: from where the needle would begin if the shingle stood in its place,
+and from the shared shingles from which a needle's length holds most shared ones (within half a needle
+either way), so that needles whose parts stand in another order or far apart are covered too: moving a window up to
+its first shared shingle loses none. The retrieval is thus an exact join on shingles, and bands
+and blocks decide which of the windows are compared with which needle.
 """
 
 from __future__ import annotations
@@ -47,18 +49,30 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
 
 def windows(docs: DataFrame, needles: DataFrame, k: int, least: float | None = None) -> DataFrame:
     """(win, id, th, start, n, h): needle-sized windows of ``docs`` (id, th, text) around shared
-    shingles; ``start`` and ``n`` count shingles. ``needles`` has ``h`` and ``n``.
+    shingles; ``start`` and ``n`` count shingles. ``needles`` has ``tk`` (a name), ``h`` and ``n``.
 
-    With ``least``, windows are laid for a needle (named ``tk``) only in documents that hold that
+    With ``least``, windows are laid for a needle only in documents that hold that
     share of its distinct shingles: in the others no window could."""
     if least is not None:
         return laid(docs, holding(docs, needles, k, least), k)
-    vocabulary = materialize(needles.select("n", F.posexplode("h").alias("off", "g")).distinct(), "vocabulary")
+    vocabulary = materialize(needles.select("tk", "n", F.lit(1).alias("need"), F.posexplode("h").alias("off", "g")).distinct(), "vocabulary")
     each = hashed(docs, "text", k, "id", "th").select("id", "th", F.posexplode_outer("h").alias("pos", "g"))
+    met = materialize(each.join(sized(vocabulary, vocabulary.count()), "g")
+                      .select("id", "th", "tk", "n", "need", "pos", "off").distinct(), "met")
+    return laid(docs, begun(met), k)
+
+
+def begun(met: DataFrame) -> DataFrame:
+    """(id, th, start, n) of the windows for the shared shingles ``met`` (id, th, tk, n, need, pos, off)."""
     # a window that would begin before the text begins with it
-    spots = (each.join(sized(vocabulary, vocabulary.count()), "g")
-             .select("id", "th", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n").distinct())
-    return laid(docs, spots, k)
+    aligned = met.select("id", "th", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n")
+    # places in needle lengths; a document's places of one needle: bounded by its own words
+    place = met.select("id", "th", "tk", "n", "need", "pos").distinct().withColumn("x", F.col("pos") / F.col("n"))
+    over = "OVER (PARTITION BY id, th, tk ORDER BY x RANGE BETWEEN"
+    held = place.withColumn("c", F.expr(f"count(*) {over} CURRENT ROW AND 0.9999999D FOLLOWING)"))
+    most = held.withColumn("m", F.expr(f"max(c) {over} 0.5D PRECEDING AND 0.5D FOLLOWING)"))
+    rich = most.filter("c = m AND c >= need").select("id", "th", F.col("pos").alias("start"), "n")
+    return aligned.unionByName(rich).distinct()
 
 
 def holding(docs: DataFrame, needles: DataFrame, k: int, least: float) -> DataFrame:
@@ -67,12 +81,11 @@ def holding(docs: DataFrame, needles: DataFrame, k: int, least: float) -> DataFr
     vocabulary = materialize(needles.select("tk", "n", need, F.posexplode("h").alias("off", "g")).distinct(), "vocabulary")
     each = hashed(docs, "text", k, "id", "th").select("id", "th", F.posexplode_outer("h").alias("pos", "g"))
     met = materialize(each.join(sized(vocabulary, vocabulary.count()), "g")
-                      .select("id", "th", "tk", "n", "need", "g", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"))
-                      .distinct(), "met")
+                      .select("id", "th", "tk", "n", "need", "g", "pos", "off").distinct(), "met")
     enough = (met.select("id", "th", "tk", "need", "g").distinct().groupBy("id", "th", "tk", "need").agg(F.count("*").alias("c"))
               .filter("c >= need").select(F.col("id").alias("eid"), F.col("th").alias("eth"), F.col("tk").alias("etk")))
     on = met.id.eqNullSafe(F.col("eid")) & (met.th == F.col("eth")) & (met.tk == F.col("etk"))
-    return met.join(enough, on, "left_semi").select("id", "th", "start", "n").distinct()
+    return begun(met.join(enough, on, "left_semi"))
 
 
 def laid(docs: DataFrame, spots: DataFrame, k: int) -> DataFrame:

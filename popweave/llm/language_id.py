@@ -7,8 +7,8 @@ back-off weight of the n-gram as a context. A text's cross-entropy under a langu
 over all its words divided by the characters predicted; the lowest wins. A text whose
 cross-entropy lies far above that of its language's calibration texts is rejected.
 
-Fit: ``sample`` labelled texts per language, those with the smallest hash of their id (a bounded
-sample, a parameter); one in five of them calibrates. N-grams are counted by Spark; the model
+Fit: ``sample`` labelled texts per language, those with the smallest hash of their id, then of their text (a
+bounded sample, a parameter: never more rows, however many share an id); one in five of them calibrates. N-grams are counted by Spark; the model
 holds the distinct n-grams of the sample, so its size is bounded by the sample, not the
 corpus. Prediction covers every text whole and reads nothing but the text.
 
@@ -20,12 +20,12 @@ any other; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import re
 import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +35,8 @@ from popweave.session import materialize
 
 ORDER = 4
 START, END = "\x02", "\x03"
-WORD = re.compile(r"[^\W\d_]+")
+#: A letter and the letters and marks that follow it; numbers (½, Ⅷ, ①) are no letters.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 CACHED_WORDS = 200_000  # scored words that a Python worker keeps
 #: Odd multipliers of the n-gram hash, one per place counted from the n-gram's end.
 PLACES = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ** 5 | 1) & (2**64 - 1) for k in range(ORDER)], np.uint64)
@@ -241,15 +242,17 @@ def fit(docs: DataFrame, learn: Column, sample: int = 400, id_col: str = "doc_id
     """Train on ``sample`` texts per language among the rows where ``learn`` holds."""
     lang, key = F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.lit(5), F.col(id_col).cast("string")).alias("key")
     rows = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    th = F.xxhash64(F.col(text_col).cast("string")).alias("th")
     # the smallest hashes of each language, found on narrow columns (each task keeps its own
-    # smallest before the shuffle); only those rows' texts are carried on
-    by_hash = Window.partitionBy("lang").orderBy("key")
-    edge = materialize(rows.select(lang, key).withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= sample)
-                       .groupBy("lang").agg(F.max("key").alias("edge")), "edges")
-    # one row per language: broadcast behind a count, so that no text is dealt out by language
-    chosen = materialize(rows.select(lang, key, F.col(text_col).cast("string").alias("text"))
-                         .join(sized(edge, edge.count()), "lang").filter("key <= edge")
-                         .select("lang", "text", (F.pmod("key", F.lit(5)) == 0).cast("long").alias("part")), "sample")
+    # smallest before the shuffle); equal ids are told apart by their texts, equal rows counted
+    by_hash = Window.partitionBy("lang").orderBy("key", "th")
+    edge = materialize(rows.select(lang, key, th).withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= sample)
+                       .groupBy("lang", "key", "th").agg(F.count("*").cast("int").alias("copies")), "edges")
+    # at most ``sample`` rows a language: broadcast behind a count, so that no text is dealt out by language
+    text = rows.select(lang, key, th, F.col(text_col).cast("string").alias("text"))
+    chosen = materialize(text.join(sized(edge, edge.count()), ["lang", "key", "th"]).dropDuplicates(["lang", "key", "th"])
+                         .select("lang", "text", F.expr("explode(sequence(1, copies))").alias("copy"),
+                                 (F.pmod("key", F.lit(5)) == 0).cast("long").alias("part")).drop("copy"), "sample")
     grams = gram_counts(word_counts(chosen.filter("part = 0"))).toPandas()  # bounded by the sample
     model = Model(grams)
     shared = docs.sparkSession.sparkContext.broadcast(model)
