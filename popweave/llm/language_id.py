@@ -37,7 +37,7 @@ ORDER = 4
 START, END = "\x02", "\x03"
 #: A letter and the letters and marks that follow it; numbers (½, Ⅷ, ①) are no letters.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
-CACHED_WORDS = 200_000  # scored words that a Python worker keeps
+CACHED_WORDS = 40_000  # scored words that a Python worker keeps
 #: Odd multipliers of the n-gram hash, one per place counted from the n-gram's end.
 PLACES = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ** 5 | 1) & (2**64 - 1) for k in range(ORDER)], np.uint64)
 
