@@ -136,3 +136,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, tables: int = 20,
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+#: Cosine self-join and reachability; for small tables.
+SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+n AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+      WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)),
+u AS MATERIALIZED (SELECT r, vec_id, label, e, size FROM n WHERE size > 0),
+l AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+c(r, m) AS (SELECT r, r FROM u UNION SELECT l.b, c.m FROM c JOIN l ON l.a = c.r),
+g AS (SELECT c.r, min(u.vec_id) AS component_id FROM c JOIN u ON c.m = u.r GROUP BY c.r),
+d AS (SELECT a AS r, COUNT(*) AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(d.n_links, 0) AS BIGINT) AS n_links, coalesce(g.component_id, v.vec_id) AS component_id,
+       v.vec_id = coalesce(g.component_id, v.vec_id) AS kept
+FROM v LEFT JOIN d ON v.r = d.r LEFT JOIN g ON v.r = g.r"""

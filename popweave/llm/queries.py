@@ -38,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_topk_search": topk_search.query,
 }
 ORACLE: dict[str, str] = {
+    "op10_embedding_dedup": embedding_dedup.SQL,
     "op11_fill_in_middle": fill_in_middle.SQL,
     "op12_centroid_clusters": centroid_clusters.SQL,
     "op13_topk_search": topk_search.SQL,
