@@ -445,15 +445,15 @@ class Balanced:
 
 
 def balance(hh_inc: DataFrame, tgt: DataFrame, zone_pumas: DataFrame, constraints, cfg, iterations: int | None = None,
-            tolerance: float = 1e-6, group: str = "puma") -> Balanced:
-    """Dictionary, multipliers and whole weights (SY2-SY4). The first household constraint of level
+            tolerance: float = 1e-6, group: str = "puma", parts: int = 5) -> Balanced:
+    """Dictionary, multipliers and whole weights (SY2-SY4), in ``parts`` stages before the whole importances. The first household constraint of level
     ``maz`` counts the households: its target is met exactly by the whole weights, and a zone
     without one (or of zero) gets none."""
     total = next(i for i, c in enumerate(constraints) if c.level == "maz" and c.table == "household")
     inc = [f"inc_{c.control}" for c in constraints]
     table, members, zone_pool = dictionary(hh_inc, inc, zone_pumas, group)
     start = zones_of(tgt, zone_pool, table, constraints, total, cfg.max_expansion_factor)
-    zones, sums, history = solve(table, start, total, cfg.balance_iterations if iterations is None else iterations, tolerance)
+    zones, sums, history = solve(table, start, total, cfg.balance_iterations if iterations is None else iterations, tolerance, parts)
     return Balanced(table, members, zones, sums, achieved(table.sparkSession, zones, sums), whole_weights(table, zones), history)
 
 

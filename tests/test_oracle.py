@@ -29,7 +29,9 @@ def test_matches_oracle(spark, con, name):
 
 def test_every_query_has_a_twin_or_is_rows_only():
     import __spark_entry__ as E
-    assert set(E.queries()) - set(E.oracle_sql()) == SLOW | {q for q in E.queries() if q.startswith("op") or q == "pipeline"}
+    # the training-data queries without a twin are held against brute force in their own tests
+    other = {q for q in E.queries() if q == "pipeline" or q.startswith("op") and q[2:3].isdigit()}
+    assert set(E.queries()) - set(E.oracle_sql()) - other == SLOW
 
 
 def test_entry_runs(spark):

@@ -71,7 +71,7 @@ def test_feasible_targets_are_met_and_rounded_weights_keep_them(spark, block, mo
     monkeypatch.setattr(pool, "BLOCK", block)
     inc, cons = _people(spark)
     zones, tgt = _truth(spark, inc, cons)
-    got = pool.balance(inc, tgt, zones.select("maz", "puma"), cons, RunConfig())
+    got = pool.balance(inc, tgt, zones.select("maz", "puma"), cons, RunConfig(), parts=1)
     assert got.history[-1] <= 1e-6
     for k, (target, a) in _report(syn.residual_report(got.achieved, tgt, cons)).items():
         assert abs(a - target) <= 0.02 * max(target, 1), k
@@ -95,7 +95,7 @@ def test_contradictory_totals_give_the_compromise_of_their_importances(spark, i1
     persons = spark.createDataFrame([(h, k) for h in range(40) for k in range(1 + h % 4)], "household_id long, person_number int")
     cons = [TOTAL, syn.Constraint("near", "maz", "person", i1, lambda: F.lit(True)), syn.Constraint("far", "meta", "person", i2, lambda: F.lit(True))]
     tgt = spark.createDataFrame([(1, 1, 1, 100.0, 180.0, 240.0)], "maz int, taz int, region int, t_0 double, t_1 double, t_2 double")
-    got = pool.balance(syn.incidence(hh, persons, cons), tgt, spark.createDataFrame([(1, 1)], "maz int, puma int"), cons, RunConfig())
+    got = pool.balance(syn.incidence(hh, persons, cons), tgt, spark.createDataFrame([(1, 1)], "maz int, puma int"), cons, RunConfig(), parts=1)
     want = (i1 + i2) / (i1 / 180 + i2 / 240)
     assert abs(got.sums[0, 1] - want) < 0.002 * want and abs(got.sums[0, 0] - 100) < 1e-3
     m = {r.control: r for r in pool.multipliers(spark, got.zones, cons).collect()}
@@ -107,13 +107,13 @@ def test_empty_zones_pumas_without_households_and_zones_without_controls(spark):
     inc = hh.withColumn("inc_totalhh", F.lit(1))
     tgt = spark.createDataFrame([(1, 1, 1, 70.0), (2, 2, 1, 0.0), (3, 3, 1, 33.0), (4, 4, 1, None)], "maz int, taz int, region int, t_0 double")
     pumas = spark.createDataFrame([(1, 1), (2, 2), (3, 9), (4, 1), (5, 2)], "maz int, puma int")
-    got = pool.balance(inc, tgt, pumas, [TOTAL], RunConfig())
+    got = pool.balance(inc, tgt, pumas, [TOTAL], RunConfig(), parts=0)
     kept = syn.households_of(got.units, got.members).join(hh.select("household_id", "puma"), "household_id")
     by = {r.maz: (r.s, sorted(r.p)) for r in kept.groupBy("maz").agg(F.sum("finalweight").alias("s"), F.collect_set("puma").alias("p")).collect()}
     assert by == {1: (70, [1]), 3: (33, [1, 2])}
     assert _report(syn.residual_report(got.achieved, tgt, [TOTAL])) == {
         ("maz", 1, "totalhh"): (70.0, pytest.approx(70.0)), ("maz", 2, "totalhh"): (0.0, 0.0), ("maz", 3, "totalhh"): (33.0, pytest.approx(33.0))}
-    none = pool.balance(inc, tgt.limit(0), pumas, [TOTAL], RunConfig())
+    none = pool.balance(inc, tgt.limit(0), pumas, [TOTAL], RunConfig(), parts=0)
     assert none.units.count() == 0 and none.achieved.count() == 0
 
 
@@ -122,7 +122,7 @@ def test_weights_stay_below_the_cap(spark):
     cons = [TOTAL, syn.Constraint("own", "maz", "household", 1000, lambda: F.col("own") == 0)]
     inc = hh.withColumn("inc_totalhh", F.lit(1)).withColumn("inc_own", 1 - F.col("own"))
     tgt = spark.createDataFrame([(1, 1, 1, 60.0, 55.0)], "maz int, taz int, region int, t_0 double, t_1 double")
-    got = pool.balance(inc, tgt, spark.createDataFrame([(1, 1)], "maz int, puma int"), cons, RunConfig(max_expansion_factor=10.0))
+    got = pool.balance(inc, tgt, spark.createDataFrame([(1, 1)], "maz int, puma int"), cons, RunConfig(max_expansion_factor=10.0), parts=1)
     assert abs(got.sums[0, 0] - 60) < 1e-3 and got.sums[0, 1] <= 10 + 1e-9  # one household of its kind
 
 
