@@ -203,25 +203,28 @@ class Model:
         low = h[np.arange(len(h)), best]
         # length-normalised odds: as if every text had ``SHARP`` characters
         score = 1 / np.exp(np.clip((low[:, None] - h) * SHARP, -700, 0)).sum(axis=1)
-        mean, spread, drift = (np.array([self.limits.get(x, (0, 0, np.inf))[i] for x in self.langs])[best] for i in range(3))
-        far = low - mean > REJECT_Z * np.sqrt(spread**2 / np.maximum(chars, 1) + drift**2)
+        mid, spread, drift = (np.array([self.limits.get(x, (0, 0, np.inf))[i] for x in self.langs])[best] for i in range(3))
+        far = low - mid > REJECT_Z * np.sqrt(spread**2 / np.maximum(chars, 1) + drift**2)
         empty = n == 0
         langs = [("und" if e else self.langs[b]) for b, e in zip(best, empty)]
         return langs, np.where(empty, 0.0, score), low, far | empty
 
     def calibrate(self, measured: list[tuple[str, float, float]]) -> None:
-        """From (lang, cross-entropy, characters) of calibration texts, per language: the mean
+        """From (lang, cross-entropy, characters) of calibration texts, per language: the median
         cross-entropy, the spread of one character (texts of n characters vary by that over
-        sqrt(n)) and the drift between texts."""
+        sqrt(n)) and the drift between texts. Both are median deviations, scaled to a normal
+        one, so that junk among the labelled texts doesn't widen them."""
         for x in self.langs:
             own = np.array([(e, c) for lang, e, c in measured if lang == x and c > 0]).reshape(-1, 2)
             if len(own):
                 e, c = own.T
-                mean = float((e * c).sum() / c.sum())
-                self.limits[x] = (mean, max(float(np.sqrt(np.mean((e - mean) ** 2 * c))), 1.0),
-                                  max(float(np.sqrt(np.mean((e - mean) ** 2))), 0.1))
+                mid = float(np.median(e))
+                off = np.abs(e - mid)
+                self.limits[x] = (mid, max(NORMAL * float(np.median(off * np.sqrt(c))), 1.0),
+                                  max(NORMAL * float(np.median(off)), 0.1))
 
 
+NORMAL = 1.4826  # standard deviations of a normal variable in one median deviation
 SHARP = 20.0
 REJECT_Z = 8.0
 

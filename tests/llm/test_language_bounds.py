@@ -23,3 +23,14 @@ def test_the_sample_is_bounded_whatever_ids_are_shared(spark, monkeypatch):
     language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample=10)
     (sample,) = [df for name, df in taken if name == "sample"]
     assert {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()} == {"en": 10, "fr": 10}
+
+
+def test_a_language_left_out_of_the_fit_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang IS NOT NULL")
+    long = F.length("text") >= 300
+    for left in ("en", "es"):
+        model = language_id.fit(docs.filter(F.col("lang") != left), ~language_id.held_out())
+        got = (language_id.predict(docs.filter(long), model).join(docs.select(F.col("doc_id").alias("id"), "lang"), "id")
+               .groupBy((F.col("lang") == left).alias("out")).agg(F.avg(F.col("rejected").cast("int")).alias("share")))
+        share = {r.out: r.share for r in got.collect()}
+        assert share[True] >= 0.9 and share[False] <= 0.02, (left, share)
