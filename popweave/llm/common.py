@@ -20,9 +20,16 @@ from popweave.session import ensure_checkpoint_dir, materialize
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Arrow batches to and from Python workers: a batch stands in the executor and in the worker
+#: at the same time, so a task's memory is a few times this, whatever its rows hold.
+BATCH_BYTES = 4 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder and the workers' import path (a cluster ships the package itself)."""
+    """Checkpoint folder, size of Arrow batches and the workers' import path (a cluster ships
+    the package itself)."""
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)

@@ -21,9 +21,9 @@ any other; other columns of the input are ignored.
 from __future__ import annotations
 
 import uuid
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +33,9 @@ from popweave.llm.anchors import sized
 from popweave.llm.common import prepare, read, slices
 from popweave.session import materialize
 
+if TYPE_CHECKING:  # not needed in Python workers, where it would cost memory
+    import pandas as pd
+
 ORDER = 4
 START, END = "\x02", "\x03"
 #: A letter and the letters and marks that follow it; numbers (½, Ⅷ, ①) are no letters.
@@ -44,16 +47,17 @@ PLACES = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1) ** 5 | 1) & (2**64 - 1) for
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, part, word, n) of (lang, part, text): words of letters, lower-cased."""
+    schema = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
+
     def run(batches):
         for batch in batches:
             for piece in slices(batch, 2):
                 rows = []
                 for lang, part, text in zip(*(c.to_pylist() for c in piece.columns)):
                     words, n = np.unique(np.array(WORD.findall((text or "").lower()), dtype=object), return_counts=True)
-                    rows += [(lang, part, w, int(k)) for w, k in zip(words, n)]
+                    rows += [{"lang": lang, "part": part, "word": w, "n": int(k)} for w, k in zip(words, n)]
                 if rows:
-                    yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["lang", "part", "word", "n"]),
-                                                     preserve_index=False)
+                    yield pa.RecordBatch.from_pylist(rows, schema)
 
     counted = texts.select("lang", "part", "text").mapInArrow(run, "lang string, part long, word string, n long")
     return counted.groupBy("lang", "part", "word").agg(F.sum("n").alias("n"))
