@@ -25,7 +25,8 @@ def units(members: DataFrame, item: str, chunk: int) -> DataFrame:
     and sorts them there, ready for ``whole_groups``.
     """
     counts = members.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1")
-    return deal(members.join(counts, "key"), item, chunk)
+    # buckets grow with the corpus: merged at any size, never broadcast through the driver
+    return deal(members.join(counts.hint("merge"), "key"), item, chunk)
 
 
 def deal(members: DataFrame, item: str, chunk: int) -> DataFrame:

@@ -3,7 +3,9 @@
 Every round links each node's larger neighbours to its smallest one, then the reverse, until
 the links form stars around the smallest node of each component. A round is two aggregates
 (partial minima, so a node with very many links is summed before the shuffle) and two joins,
-written to the checkpoint folder; nothing is gathered on the driver but one row of counts.
+written to the checkpoint folder; nothing is gathered on the driver but one row of counts. The
+joins merge at any size: a links table that Parquet makes small would be broadcast through the
+driver, where its rows take many times that.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ from popweave.session import drop_path, materialize
 def _large(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return (both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u > v").distinct())
 
 
 def _small(e: DataFrame) -> DataFrame:
     least = e.groupBy("u").agg(F.min("v").alias("m"))
-    met = e.join(least, "u")
+    met = e.join(least.hint("merge"), "u")
     return (met.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v")))
             .filter("u > v").distinct())

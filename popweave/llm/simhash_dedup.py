@@ -105,9 +105,10 @@ def classify(docs: DataFrame, width: int = 4, radius: int = 4, blocks: int = 7,
     rows = materialize(fingerprints(docs, width, id_col, text_col), "simhash")
     reps = materialize(rows.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")), "reps")
     groups = components(links(reps, blocks, radius))
-    label = (reps.join(groups, reps.rep == groups.node, "left")
+    # both grow with the corpus: merged at any size, never broadcast through the driver
+    label = (reps.join(groups.hint("merge"), reps.rep == groups.node, "left")
              .select("fp", F.coalesce("component", "rep").alias("component_id")))
-    return (rows.join(label, "fp", "left")
+    return (rows.join(label.hint("merge"), "fp", "left")
             .select(F.col("id").alias(id_col), "fp",
                     F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")))
 
