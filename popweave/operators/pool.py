@@ -55,6 +55,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 16384      # signatures of one rounding unit
 ROWS = 2048        # signatures of one matrix product
+PAIRS = 512        # signatures whose products of two constraints stand in memory at once
 ZERO = 0.01        # what a target of zero counts as
 GROW = 4           # importances of one stage over those of the stage before
 ZONES = 20_000     # zones of a run: their Hessians reach the driver (4.5 KB each with 32 constraints)
@@ -161,30 +162,71 @@ def weights(z: Zones, at: np.ndarray, s: np.ndarray, w0: np.ndarray, n: np.ndarr
     return np.where(over > 0, z.cap * n[:, None], w0[:, None] * np.exp(np.minimum(x, x - over))), np.maximum(over, 0.0)
 
 
+def packed(signatures: DataFrame) -> DataFrame:
+    """The dictionary as the passes read it, (pool, inc, w0, n) with a signature's counts as bytes: one
+    value a row for Spark to move instead of an array. Counts of a byte each, wider ones of four."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column("inc").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            small = np.abs(flat).max(initial=0) <= np.iinfo(np.int8).max
+            flat = np.ascontiguousarray(flat, np.int8 if small else np.int32)
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * (flat.shape[1] * flat.itemsize)
+            inc = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([batch.column("pool"), inc, batch.column("w0"), batch.column("n")],
+                                             names=["pool", "inc", "w0", "n"])
+
+    return signatures.select("pool", "inc", "w0", "n").mapInArrow(run, "pool int, inc binary, w0 double, n long")
+
+
+def _unpacked(column: pa.Array, k: int) -> np.ndarray:
+    """The counts of ``packed`` rows, rows by constraints."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data, width, out = np.frombuffer(column.buffers()[2], np.uint8), np.diff(ends), np.empty((len(column), k))
+    if (width == width[0]).all():
+        return data[ends[0]:ends[-1]].view(np.dtype(f"i{width[0] // k}")).reshape(-1, k).astype(float)
+    for size in np.unique(width):
+        at = np.flatnonzero(width == size)
+        out[at] = data[ends[at][:, None] + np.arange(size)].view(np.dtype(f"i{size // k}"))
+    return out
+
+
 def _sums(spread, k: int):
     """Per task and zone: dual part, free and capped weight, component sums, upper half of the Hessian."""
-    a, b = np.triu_indices(k)
+    a, _ = np.triu_indices(k)
+
+    def pairs(s: np.ndarray) -> np.ndarray:
+        """Products of every two constraints' counts, in the order of ``triu_indices``: a row a pair."""
+        across, out, at = np.ascontiguousarray(s.T), np.empty((len(a), len(s))), 0
+        for i in range(k):
+            np.multiply(across[i], across[i:], out=out[at:at + k - i])
+            at += k - i
+        return out
 
     def run(batches):
         z = Zones(**spread.value)
         where = {p: np.flatnonzero(z.pool == p) for p in np.unique(z.pool)}
         acc: dict[int, np.ndarray] = {}
         for batch in batches:
-            pool, s, w0, n = _columns(batch)
+            if not batch.num_rows:
+                continue
+            column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
+            pool, s, w0, n = column("pool"), _unpacked(batch.column("inc"), k), np.maximum(column("w0"), 1e-12), column("n").astype(float)
             for p in np.unique(pool):
                 if p not in where:
                     continue  # no zone uses it
                 row, at = np.flatnonzero(pool == p), where[p]
                 out = acc.setdefault(p, np.zeros((len(at), 3 + k + len(a))))
-                for i in range(0, len(row), ROWS):
-                    r = row[i:i + ROWS]
+                for i in range(0, len(row), PAIRS):
+                    r = row[i:i + PAIRS]
                     w, over = weights(z, at, s[r], w0[r], n[r])
                     free = np.where(over > 0, 0.0, w)
                     out[:, 0] += (w * (1 + over)).sum(axis=0)
                     out[:, 1] += free.sum(axis=0)
                     out[:, 2] += (w - free).sum(axis=0)
                     out[:, 3:3 + k] += w.T @ s[r]
-                    out[:, 3 + k:] += free.T @ (s[r][:, a] * s[r][:, b])
+                    out[:, 3 + k:] += (pairs(s[r]) @ free).T
         for p, out in acc.items():
             ends = pa.array(np.arange(len(out) + 1) * out.shape[1], pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(where[p].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(out.ravel()))],
@@ -199,10 +241,11 @@ def _added(table: pa.Table) -> pa.Table:
 
 
 def look(signatures: DataFrame, z: Zones) -> np.ndarray:
-    """One pass over the dictionary: a row a zone (dual part, free, capped, sums, Hessian)."""
+    """One pass over the dictionary (as it is or ``packed``): a row a zone (dual part, free, capped, sums, Hessian)."""
     k = len(z.level)
     spread = signatures.sparkSession.sparkContext.broadcast(dict(vars(z)))
-    rows = (signatures.mapInArrow(_sums(spread, k), "z int, part array<double>").groupBy("z")
+    table = signatures if dict(signatures.dtypes)["inc"] == "binary" else packed(signatures)
+    rows = (table.mapInArrow(_sums(spread, k), "z int, part array<double>").groupBy("z")
             .applyInArrow(_added, "z int, part array<double>").toArrow())
     spread.unpersist()
     out = np.zeros((len(z.maz), 3 + k + k * (k + 1) // 2))
@@ -301,6 +344,7 @@ def solve(signatures: DataFrame, z: Zones, total: int, iterations: int = 100, to
     sums = np.zeros_like(z.multiplier)
     if not len(z.maz):
         return z, sums, history
+    signatures = materialize(packed(signatures), "packed-signatures")  # read by every pass
     for stage in range(parts, -1, -1):
         z, dual, sums, hessian = settled(signatures, replace(z, importance=whole / float(GROW) ** stage), total)
         while True:
