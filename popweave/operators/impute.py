@@ -77,7 +77,7 @@ def _bounds_by_group(shares: DataFrame, columns: Sequence[ImputeSpec], group: st
     aggs = []
     for s in columns:
         pairs = F.array_sort(F.collect_list(
-            F.when(F.col("column") == s.column, F.struct(F.col("num"), F.col("value"), F.col("upper")))))
+            F.when(F.col("column") == s.column, F.struct(F.col("num"), F.col("value"), F.coalesce("upper", F.lit(2.0)).alias("upper")))))
         aggs.append(pairs.alias(f"_b_{s.column}"))
     return shares.groupBy(group).agg(*aggs)
 
@@ -108,7 +108,10 @@ def resample_invalid(df: DataFrame, columns: Sequence[ImputeSpec], weight: str,
         salt = s.salt or s.column
         u = keyed_uniform(salt, *key_cols)
         arr = F.col(f"_b_{s.column}")
-        idx = F.size(F.filter(arr, lambda x: x["upper"] <= u)) + 1
+        # 1 + the number of bounds up to u: u stands first of its equals in falling order. A lambda
+        # over the bounds would hash the key anew for each of them
+        falling = F.sort_array(F.concat(arr["upper"], F.array(u)), asc=False)
+        idx = (F.size(arr) - F.array_position(falling, u) + 2).cast("int")
         drawn = F.element_at(arr, idx)["value"]
         src_type = dict(df.dtypes)[s.column]
         replaced = F.when((F.col(s.column) == F.lit(s.invalid)) & (F.size(arr) > 0),
