@@ -13,7 +13,9 @@ sums the raw values before truncating, so meta >= sum of truncated zones (D5).
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+import re
+from decimal import Decimal
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,9 @@ from popweave.config import (AGE_BINS, AGE_COLUMNS, CONTROL_KEYS_MAZ, CONTROL_KE
 from popweave.functions.zones import in_ranges
 
 
+HALF = 30  # bits of the lower part of a weight's whole units
+
+
 # --- AG1-AG3: conditional weighted sums --------------------------------------------
 
 def sum_where(cond: Column, weight: str) -> Column:
@@ -81,6 +86,25 @@ def person_measures(cfg: RunConfig, weight: str = "expansion_factor") -> list[Co
     return out
 
 
+def zone_sums(df: DataFrame, zone: str, measures: Callable[[str], Sequence[Column]], weight: str = "expansion_factor") -> DataFrame:
+    """``measures(weight)`` per zone, by the name ``zone``.
+
+    A decimal of up to 18 digits is summed as two whole numbers of 30 bits and more, put together once a zone: exact
+    as the decimal sums and of their type, without a wide decimal a row and measure. Either half fits 64 bits over
+    2^33 rows a zone."""
+    digits = re.fullmatch(r"decimal\((\d+),(\d+)\)", dict(df.dtypes)[weight])
+    if not digits or int(digits[1]) > 18:
+        return df.groupBy(F.col(zone).alias("zone")).agg(*measures(weight))
+    whole = (F.col(weight) * F.lit(10 ** int(digits[2])).cast("decimal(19,0)")).cast("bigint")
+    halves = (df.withColumn("_units", whole).withColumn("_high", F.shiftright("_units", HALF))
+              .withColumn("_low", F.col("_units").bitwiseAND((1 << HALF) - 1)))
+    sums = halves.groupBy(F.col(zone).alias("zone")).agg(F.struct(*measures("_high")).alias("_h"), F.struct(*measures("_low")).alias("_l"))
+    to = f"decimal({int(digits[1]) + 10},{digits[2]})"
+    unit = F.lit(Decimal(1).scaleb(-int(digits[2])))
+    return sums.select("zone", *[((F.col(f"_h.{m}").cast("decimal(20,0)") * F.lit(1 << HALF).cast("decimal(10,0)") + F.col(f"_l.{m}")) * unit)
+                                 .cast(to).alias(m) for m in sums.schema["_h"].dataType.names])
+
+
 # --- AG14: the raw per-zone control frame ------------------------------------------
 
 def raw_zone_controls(households_z: DataFrame, persons_hh: DataFrame, zmap: DataFrame,
@@ -93,8 +117,8 @@ def raw_zone_controls(households_z: DataFrame, persons_hh: DataFrame, zmap: Data
     """
     hh = households_z.filter(in_ranges("household_zone", cfg.internal))
     ph = persons_hh.filter(in_ranges("household_zone", cfg.internal))
-    hh_agg = hh.groupBy(F.col("household_zone").alias("zone")).agg(*household_measures())
-    p_agg = ph.groupBy(F.col("household_zone").alias("zone")).agg(*person_measures(cfg))
+    hh_agg = zone_sums(hh, "household_zone", household_measures)
+    p_agg = zone_sums(ph, "household_zone", lambda weight: person_measures(cfg, weight))
     spine = (zmap.filter(in_ranges("zone", cfg.internal))
              .select(F.lit(1).alias("region"), F.col("puma").cast("int").alias("puma"),
                      F.col("zone").alias("taz"), F.col("zone").alias("maz"), "zone"))
