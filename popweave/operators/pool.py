@@ -21,7 +21,7 @@ one sum with the targets T1, T2 settles at (I1 + I2) / (I1 / T1 + I2 / T2), up t
 seed weights. A target of zero counts as ``ZERO``.
 
 *Newton steps on small Hessians.* One pass over the dictionary gives each zone's sums and its K x K
-Hessian (numpy matrix products in Arrow batches; tasks emit one row a zone, added up by zone).
+Hessian (numpy matrix products on packed blocks; tasks emit one row a zone, added up by zone).
 The system is an arrow: a zone's own multipliers are eliminated inside its TAZ, the TAZ's inside its
 region, and the region's few are solved and put back in the same order. The zone's total is kept
 by a factor known in closed form. Far-off targets make the problem stiff, so it is solved for a
@@ -55,7 +55,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 16384      # signatures of one rounding unit
 ROWS = 2048        # signatures of one matrix product
-PAIRS = 512        # signatures whose products of two constraints stand in memory at once
 ZERO = 0.01        # what a target of zero counts as
 GROW = 4           # importances of one stage over those of the stage before
 ZONES = 20_000     # zones of a run: their Hessians reach the driver (4.5 KB each with 32 constraints)
@@ -113,16 +112,18 @@ def dictionary(hh_inc: DataFrame, inc: Sequence[str], zone_pumas: DataFrame,
                             .select("maz", F.when(F.col("_own"), F.col("pool")).otherwise(EVERYONE).alias("pool")), "zone-pools")
     if not zone_pool.filter(F.col("pool") == EVERYONE).isEmpty():
         rows = rows.unionByName(rows.withColumn("pool", F.lit(EVERYONE)))
-    rows = materialize(rows, "pool-households")
-    sig = materialize(rows.groupBy("pool", "inc").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w0"))
-                      .withColumn("sig", F.monotonically_increasing_id()), "signature-ids")
-    blocks = sig.groupBy("pool").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("_b"))  # a row a pool
-    n = int(sig.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = materialize(sig.join(F.broadcast(blocks), "pool")
-                        .select("pool", F.pmod(F.xxhash64("inc"), F.col("_b")).cast("int").alias("block"), "sig", "n", "w0", "inc")
-                        .repartition(n, "pool", "sig"), "signatures")
-    members = rows.join(sig.select("pool", "inc", "sig", "n"), ["pool", "inc"]).select("household_id", "pool", "sig", "n", "weight")
-    return table, members, zone_pool
+    sig = materialize(rows.groupBy("pool", "inc").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w0"), F.min("household_id").alias("_first"))
+                      .withColumn("sig", F.monotonically_increasing_id()), "signatures")
+    blocks = materialize(sig.groupBy("pool").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("_b")), "blocks")  # a row a pool
+    table = sig.join(F.broadcast(blocks), "pool").select(
+        "pool", F.pmod(F.xxhash64("inc"), F.col("_b")).cast("int").alias("block"), "sig", "n", "w0", "inc")
+    # the household of a signature of its own is known from the aggregate; only the others meet their rows again
+    alone = sig.filter("n = 1").select(F.col("_first").alias("household_id"), "pool", "sig", "n", F.col("w0").alias("weight"))
+    # sorted by a hash of the counts, and merged: small Parquet files don't mean few rows
+    hashed = lambda df: df.withColumn("_hash", F.xxhash64("inc"))
+    shared = (hashed(rows).join(hashed(sig.filter("n > 1").select("pool", "inc", "sig", "n")).hint("merge"), ["_hash", "pool", "inc"])
+              .select("household_id", "pool", "sig", "n", "weight"))
+    return table, alone.unionByName(shared), zone_pool
 
 
 def zones_of(tgt: DataFrame, zone_pool: DataFrame, signatures: DataFrame, constraints, total: int,
@@ -146,15 +147,6 @@ def zones_of(tgt: DataFrame, zone_pool: DataFrame, signatures: DataFrame, constr
                  np.zeros_like(t), float(cap))
 
 
-def _columns(batch) -> tuple[np.ndarray, ...]:
-    column = lambda c: batch.column(c).to_numpy() if isinstance(batch, pa.Table) else batch.column(c).to_numpy(zero_copy_only=False)
-    inc = batch.column("inc")
-    inc = inc.combine_chunks() if isinstance(inc, pa.ChunkedArray) else inc
-    flat = inc.flatten().to_numpy(zero_copy_only=False).astype(float)
-    rows = batch.num_rows
-    return column("pool"), flat.reshape(rows, -1), np.maximum(column("w0").astype(float), 1e-12), column("n").astype(float)
-
-
 def weights(z: Zones, at: np.ndarray, s: np.ndarray, w0: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights of signatures ``s`` in the zones ``at`` and the excess of the exponent over the cap."""
     x = s @ z.multiplier[at].T + z.log_share[at]
@@ -162,74 +154,69 @@ def weights(z: Zones, at: np.ndarray, s: np.ndarray, w0: np.ndarray, n: np.ndarr
     return np.where(over > 0, z.cap * n[:, None], w0[:, None] * np.exp(np.minimum(x, x - over))), np.maximum(over, 0.0)
 
 
+def _packs(table: pa.Table) -> pa.Table:
+    """One row for the signatures of a block: counts of a byte each (wider ones of four), weights and numbers as bytes."""
+    inc = table.column("inc").combine_chunks()
+    flat = inc.flatten().to_numpy(zero_copy_only=False)
+    small = np.abs(flat).max(initial=0) <= np.iinfo(np.int8).max
+    whole = lambda c, t: pa.array([np.ascontiguousarray(table.column(c).to_numpy(), t).tobytes()], pa.binary())
+    return pa.table({"pool": table.column("pool").slice(0, 1), "block": table.column("block").slice(0, 1), "sig": whole("sig", np.int64),
+                     "inc": pa.array([np.ascontiguousarray(flat, np.int8 if small else np.int32).tobytes()], pa.binary()),
+                     "w0": whole("w0", np.float64), "n": whole("n", np.int64)})
+
+
 def packed(signatures: DataFrame) -> DataFrame:
-    """The dictionary as the passes read it, (pool, inc, w0, n) with a signature's counts as bytes: one
-    value a row for Spark to move instead of an array. Counts of a byte each, wider ones of four."""
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = batch.column("inc").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            small = np.abs(flat).max(initial=0) <= np.iinfo(np.int8).max
-            flat = np.ascontiguousarray(flat, np.int8 if small else np.int32)
-            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * (flat.shape[1] * flat.itemsize)
-            inc = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
-            yield pa.RecordBatch.from_arrays([batch.column("pool"), inc, batch.column("w0"), batch.column("n")],
-                                             names=["pool", "inc", "w0", "n"])
-
-    return signatures.select("pool", "inc", "w0", "n").mapInArrow(run, "pool int, inc binary, w0 double, n long")
-
-
-def _unpacked(column: pa.Array, k: int) -> np.ndarray:
-    """The counts of ``packed`` rows, rows by constraints."""
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
-    data, width, out = np.frombuffer(column.buffers()[2], np.uint8), np.diff(ends), np.empty((len(column), k))
-    if (width == width[0]).all():
-        return data[ends[0]:ends[-1]].view(np.dtype(f"i{width[0] // k}")).reshape(-1, k).astype(float)
-    for size in np.unique(width):
-        at = np.flatnonzero(width == size)
-        out[at] = data[ends[at][:, None] + np.arange(size)].view(np.dtype(f"i{size // k}"))
-    return out
+    """The dictionary as the passes read it, (pool, block, sig, inc, w0, n): a row a block, whose signatures stand
+    as bytes one after the other, so that Spark moves a few values a block instead of some a signature."""
+    if "block" not in signatures.columns:
+        signatures = signatures.withColumn("block", F.lit(0))
+    n = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (signatures.select("pool", "block", "sig", "inc", "w0", "n").repartition(n, "pool", "block").groupBy("pool", "block")
+            .applyInArrow(_packs, "pool int, block int, sig binary, inc binary, w0 binary, n binary"))
+
+
+def _blocks(batches, k: int):
+    """The blocks of ``packed`` rows: (row of its batch, position, pool, sig, counts, w0, n)."""
+    for batch in batches:
+        bytes_of = lambda c, i, t: np.frombuffer(batch.column(c)[i].as_buffer(), t)
+        for i, pool in enumerate(batch.column("pool").to_pylist()):
+            n = bytes_of("n", i, np.int64)
+            data = batch.column("inc")[i].as_buffer()
+            s = np.frombuffer(data, np.dtype(f"i{data.size // (len(n) * k)}")).reshape(-1, k)
+            yield batch, i, pool, bytes_of("sig", i, np.int64), s, np.maximum(bytes_of("w0", i, np.float64), 1e-12), n.astype(float)
 
 
 def _sums(spread, k: int):
     """Per task and zone: dual part, free and capped weight, component sums, upper half of the Hessian."""
-    a, _ = np.triu_indices(k)
-
-    def pairs(s: np.ndarray) -> np.ndarray:
-        """Products of every two constraints' counts, in the order of ``triu_indices``: a row a pair."""
-        across, out, at = np.ascontiguousarray(s.T), np.empty((len(a), len(s))), 0
-        for i in range(k):
-            np.multiply(across[i], across[i:], out=out[at:at + k - i])
-            at += k - i
-        return out
+    upper = np.triu_indices(k)
 
     def run(batches):
         z = Zones(**spread.value)
         where = {p: np.flatnonzero(z.pool == p) for p in np.unique(z.pool)}
-        acc: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = lambda c: batch.column(c).to_numpy(zero_copy_only=False)
-            pool, s, w0, n = column("pool"), _unpacked(batch.column("inc"), k), np.maximum(column("w0"), 1e-12), column("n").astype(float)
-            for p in np.unique(pool):
-                if p not in where:
-                    continue  # no zone uses it
-                row, at = np.flatnonzero(pool == p), where[p]
-                out = acc.setdefault(p, np.zeros((len(at), 3 + k + len(a))))
-                for i in range(0, len(row), PAIRS):
-                    r = row[i:i + PAIRS]
-                    w, over = weights(z, at, s[r], w0[r], n[r])
-                    free = np.where(over > 0, 0.0, w)
-                    out[:, 0] += (w * (1 + over)).sum(axis=0)
-                    out[:, 1] += free.sum(axis=0)
-                    out[:, 2] += (w - free).sum(axis=0)
-                    out[:, 3:3 + k] += w.T @ s[r]
-                    out[:, 3 + k:] += (pairs(s[r]) @ free).T
-        for p, out in acc.items():
-            ends = pa.array(np.arange(len(out) + 1) * out.shape[1], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(where[p].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(out.ravel()))],
+        acc: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        space = np.empty((ROWS, k))
+        for _, _, p, _, counts, w0, n in _blocks(batches, k):
+            if p not in where:
+                continue  # no zone uses it
+            at = where[p]
+            out, hessian = acc.setdefault(p, (np.zeros((len(at), 3 + k)), np.zeros((len(at), k, k))))
+            for i in range(0, len(counts), ROWS):
+                r = slice(i, i + ROWS)
+                s = counts[r].astype(float)
+                w, over = weights(z, at, s, w0[r], n[r])
+                free = np.where(over > 0, 0.0, w)
+                out[:, 0] += (w * (1 + over)).sum(axis=0)
+                out[:, 1] += free.sum(axis=0)
+                out[:, 2] += (w - free).sum(axis=0)
+                out[:, 3:] += w.T @ s
+                root, x = np.sqrt(free), space[:len(s)]
+                for j in range(len(at)):
+                    np.multiply(s, root[:, j:j + 1], out=x)
+                    hessian[j] += x.T @ x
+        for p, (out, hessian) in acc.items():
+            flat = np.concatenate([out, hessian[:, upper[0], upper[1]]], axis=1)
+            ends = pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(where[p].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(flat.ravel()))],
                                              names=["z", "part"])
 
     return run
@@ -254,9 +241,14 @@ def look(signatures: DataFrame, z: Zones) -> np.ndarray:
     return out
 
 
+def relaxation_cost(z: Zones) -> float:
+    """What the dual adds to the weights' own part: the only one that depends on the importances."""
+    return z.once(z.wanted * (z.multiplier ** 2 / (2 * z.importance) - z.multiplier))
+
+
 def settled(signatures: DataFrame, z: Zones, total: int, tries: int = 6, near: float = 0.05) -> tuple[Zones, float, np.ndarray, np.ndarray]:
-    """``z`` with every zone's household total put right by the total's own multiplier, the dual there, the
-    sums and the Hessians. Without capped weights one pass is enough: all scales by the same factor."""
+    """``z`` with every zone's household total put right by the total's own multiplier, the weights' part of the dual
+    there, the sums and the Hessians. Without capped weights one pass is enough: all scales by the same factor."""
     k = len(z.level)
     for left in range(tries - 1, -1, -1):
         part = look(signatures, z)
@@ -274,8 +266,7 @@ def settled(signatures: DataFrame, z: Zones, total: int, tries: int = 6, near: f
             break
         multiplier[:, total] += np.clip(off, -5, 5)
         z = replace(z, multiplier=multiplier)
-    penalty = z.once(z.wanted * (z.multiplier ** 2 / (2 * z.importance) - z.multiplier))
-    return z, float(dual.sum()) + penalty, sums, hessian
+    return z, float(dual.sum()), sums, hessian
 
 
 def newton(z: Zones, sums: np.ndarray, hessian: np.ndarray) -> tuple[np.ndarray, float]:
@@ -337,28 +328,31 @@ def solve(signatures: DataFrame, z: Zones, total: int, iterations: int = 100, to
     """Multipliers at the dual's minimum, the zones' sums there and the misfit before each step.
 
     ``parts`` stages use importances divided by powers of ``GROW`` and stop at the misfit
-    ``between``. A step that raises the dual is halved. Every pass reads the dictionary table, so
+    ``between``. A step that raises the dual is halved. The weights don't depend on the importances, so a stage
+    begins with the sums that the one before ended with. Every pass reads the dictionary table, so
     a lost executor costs its tasks of one pass. A run out of ``iterations`` goes on to the whole
     importances and returns what it has: the history tells."""
     whole, history = np.where(np.arange(len(z.level)) == total, np.inf, z.importance), []
     sums = np.zeros_like(z.multiplier)
     if not len(z.maz):
         return z, sums, history
-    signatures = materialize(packed(signatures), "packed-signatures")  # read by every pass
+    if dict(signatures.dtypes)["inc"] != "binary":
+        signatures = materialize(packed(signatures), "packed-signatures")
+    z, part, sums, hessian = settled(signatures, z, total)
     for stage in range(parts, -1, -1):
-        z, dual, sums, hessian = settled(signatures, replace(z, importance=whole / float(GROW) ** stage), total)
+        z = replace(z, importance=whole / float(GROW) ** stage)
         while True:
             step, misfit = newton(z, sums, hessian)
             history.append(misfit)
             if misfit <= (tolerance if stage == 0 else between) or len(history) > iterations:
                 break
-            size = 1.0
+            dual, size = part + relaxation_cost(z), 1.0
             while True:
                 trial = settled(signatures, replace(z, multiplier=z.multiplier + size * step), total)
-                if trial[1] <= dual + 1e-10 * abs(dual) or size < 1e-3:
+                if trial[1] + relaxation_cost(trial[0]) <= dual + 1e-10 * abs(dual) or size < 1e-3:
                     break
                 size /= 2
-            z, dual, sums, hessian = trial
+            z, part, sums, hessian = trial
     return z, sums, history
 
 
@@ -409,46 +403,44 @@ def repair(u: np.ndarray, s: np.ndarray, target: np.ndarray, price: np.ndarray,
 
 
 def _block_sums(spread):
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches):
         z = Zones(**spread.value)
-        pool, s, w0, n = _columns(table)
-        at = np.flatnonzero(z.pool == pool[0])
-        out = np.zeros((len(at), s.shape[1] + 1))
-        for i in range(0, len(s), ROWS):
-            w, _ = weights(z, at, s[i:i + ROWS], w0[i:i + ROWS], n[i:i + ROWS])
-            out[:, :-1] += w.T @ s[i:i + ROWS]
-            out[:, -1] += w.sum(axis=0)
-        block = table.column("block").to_numpy()[0]
-        return pa.table({"z": pa.array(at, pa.int32()), "pool": pa.array(np.full(len(at), pool[0]), pa.int32()),
-                         "block": pa.array(np.full(len(at), block), pa.int32()), "a": pa.array(out.tolist(), pa.list_(pa.float64()))})
+        for batch, i, pool, _, counts, w0, n in _blocks(batches, len(z.level)):
+            at = np.flatnonzero(z.pool == pool)
+            out = np.zeros((len(at), counts.shape[1] + 1))
+            for j in range(0, len(counts), ROWS):
+                s = counts[j:j + ROWS].astype(float)
+                w, _ = weights(z, at, s, w0[j:j + ROWS], n[j:j + ROWS])
+                out[:, :-1] += w.T @ s
+                out[:, -1] += w.sum(axis=0)
+            same = lambda c: pa.array(np.full(len(at), batch.column(c)[i].as_py()), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), same("pool"), same("block"), pa.array(out.tolist(), pa.list_(pa.float64()))],
+                                             names=["z", "pool", "block", "a"])
 
     return run
 
 
-def _round_unit(spread, steps: int, width: int):
-    def run(key, table: pa.Table, units: pa.Table) -> pa.Table:
+def _round_units(spread, steps: int, width: int):
+    def run(batches):
         z = Zones(**spread.value)
-        found = [np.zeros((0, 3), np.int64)]
-        if table.num_rows and units.num_rows:
-            _, s, w0, n = _columns(table)
-            sig = table.column("sig").to_numpy()
+        for batch, i, _, sig, counts, w0, n in _blocks(batches, len(z.level)):
+            s, found = counts.astype(float), [np.zeros((0, 3), np.int64)]
             # by the dearest controls first, so that neighbours of the running sum are alike
             order = np.lexsort((sig, *(s[:, c] for c in np.argsort(z.importance, kind="stable"))))
             s, w0, n, sig = s[order], w0[order], n[order], sig[order]
-            taus = units.column("tau").combine_chunks().flatten().to_numpy().reshape(units.num_rows, -1)
-            for zone, tau in zip(units.column("z").to_numpy(), taus):
-                if tau[-1] <= 0:
-                    continue
-                w = np.concatenate([weights(z, np.array([zone]), s[i:i + ROWS], w0[i:i + ROWS], n[i:i + ROWS])[0][:, 0]
-                                    for i in range(0, len(s), ROWS)])
+            for unit in batch.column("units")[i].as_py():
+                zone, tau = unit["z"], np.array(unit["tau"])
+                w = np.concatenate([weights(z, np.array([zone]), s[j:j + ROWS], w0[j:j + ROWS], n[j:j + ROWS])[0][:, 0]
+                                    for j in range(0, len(s), ROWS)])
                 w = w * (tau[-1] / w.sum()) if w.sum() > 0 else w
                 u = rounded(w, int(tau[-1]))
                 price = np.where(z.has[zone] & np.isfinite(z.importance), z.importance / np.maximum(tau[:-1], 1), 0.0)
                 u = repair(u, s, tau[:-1].astype(float), price, w, np.maximum(u, np.floor(z.cap * n)), steps, width)
                 at = np.flatnonzero(u)
                 found.append(np.column_stack([np.full(len(at), zone), sig[at], u[at]]))
-        rows = np.concatenate(found)
-        return pa.table({"z": pa.array(rows[:, 0], pa.int32()), "sig": pa.array(rows[:, 1], pa.int64()), "units": pa.array(rows[:, 2], pa.int64())})
+            rows = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0], pa.int32()), pa.array(rows[:, 1], pa.int64()), pa.array(rows[:, 2], pa.int64())],
+                                             names=["z", "sig", "units"])
 
     return run
 
@@ -459,7 +451,8 @@ def whole_weights(signatures: DataFrame, z: Zones, steps: int = 400, width: int
     if not len(z.maz):
         return spark.createDataFrame([], "maz int, sig long, units long")
     spread = spark.sparkContext.broadcast(dict(vars(z)))
-    sums = signatures.groupBy("pool", "block").applyInArrow(_block_sums(spread), "z int, pool int, block int, a array<double>")
+    blocks = signatures if dict(signatures.dtypes)["inc"] == "binary" else packed(signatures)
+    sums = blocks.mapInArrow(_block_sums(spread), "z int, pool int, block int, a array<double>")
     names = spark.createDataFrame([(i, int(m), int(h)) for i, (m, h) in enumerate(zip(z.maz, z.households))], "z int, maz int, _hh long")
     long = sums.select("z", "pool", "block", F.posexplode("a").alias("c", "x")).join(F.broadcast(names), "z")
     own = Window.partitionBy("z", "c")
@@ -470,9 +463,10 @@ def whole_weights(signatures: DataFrame, z: Zones, steps: int = 400, width: int
     upto = F.round(F.when(F.col("c") == len(z.level), share * F.col("_hh")).otherwise(run)).cast("long")
     cut = long.withColumn("_upto", upto).withColumn("tau", F.col("_upto") - F.lag("_upto", 1, 0).over(own.orderBy("block")))
     units = (cut.groupBy("z", "pool", "block").agg(F.sort_array(F.collect_list(F.struct("c", "tau"))).alias("t"))
-             .select("z", "pool", "block", F.col("t.tau").alias("tau")))
-    found = (signatures.groupBy("pool", "block").cogroup(units.groupBy("pool", "block"))
-             .applyInArrow(_round_unit(spread, steps, width), "z int, sig long, units long"))
+             .select("z", "pool", "block", F.col("t.tau").alias("tau")).filter(F.element_at("tau", -1) > 0)
+             .groupBy("pool", "block").agg(F.collect_list(F.struct("z", "tau")).alias("units")))
+    found = (blocks.join(units, ["pool", "block"])
+             .mapInArrow(_round_units(spread, steps, width), "z int, sig long, units long"))
     return materialize(found.join(F.broadcast(names), "z").select("maz", "sig", "units"), "whole-weights")
 
 
@@ -497,8 +491,9 @@ def balance(hh_inc: DataFrame, tgt: DataFrame, zone_pumas: DataFrame, constraint
     inc = [f"inc_{c.control}" for c in constraints]
     table, members, zone_pool = dictionary(hh_inc, inc, zone_pumas, group)
     start = zones_of(tgt, zone_pool, table, constraints, total, cfg.max_expansion_factor)
-    zones, sums, history = solve(table, start, total, cfg.balance_iterations if iterations is None else iterations, tolerance, parts)
-    return Balanced(table, members, zones, sums, achieved(table.sparkSession, zones, sums), whole_weights(table, zones), history)
+    blocks = materialize(packed(table), "packed-signatures")  # read by every pass
+    zones, sums, history = solve(blocks, start, total, cfg.balance_iterations if iterations is None else iterations, tolerance, parts)
+    return Balanced(table, members, zones, sums, achieved(table.sparkSession, zones, sums), whole_weights(blocks, zones), history)
 
 
 def multipliers(spark, z: Zones, constraints) -> DataFrame:

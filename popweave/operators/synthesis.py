@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from popweave.config import AGE_BINS, AGE_COLUMNS, RunConfig
 from popweave.functions.zones import in_ranges
 from popweave.operators.ids import dense_position
+from popweave.session import materialize
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,8 @@ def households_of(units: DataFrame, members: DataFrame) -> DataFrame:
     single = (units.join(members.filter("n = 1").select("sig", "household_id"), "sig")
               .select("maz", "household_id", F.col("units").alias("finalweight")))
     need = units.groupBy("sig").agg(F.sum("units").alias("_need"))
-    shared = integerize(members.filter("n > 1").join(need, "sig"), "sig", "weight", target=F.col("_need"), out_col="_u").filter("_u > 0")
+    wanted = materialize(members.filter("n > 1").join(need, "sig"), "shared-members")  # read twice
+    shared = integerize(wanted, "sig", "weight", target=F.col("_need"), out_col="_u").filter("_u > 0")
     each = lambda c: F.explode(F.sequence(F.lit(1).cast("long"), F.col(c).cast("long")))
 
     def numbered(df: DataFrame, *order: str) -> DataFrame:
