@@ -864,7 +864,7 @@ def q_balance_step(spark, sf_dir):
     """One pass over the signature dictionary at the start: what each zone's share of its puma achieves."""
     hh_inc, _, tgt, fmaz = balance_inputs(spark, sf_dir)
     table, _, zone_pool = pool.dictionary(hh_inc, syn.inc_columns(CONSTRAINTS), fmaz.select("maz", "puma"))
-    z = pool.zones_of(tgt, zone_pool, table, CONSTRAINTS, 0, CFG.max_expansion_factor)
+    z = pool.zones_of(tgt, zone_pool, table, CONSTRAINTS, 0, float("inf"))  # the plain share: nothing is capped
     sums = pool.look(table, z)[:, 3:3 + len(CONSTRAINTS)]
     rows = F.array(*[F.struct(F.lit(c.control).alias("control"), F.round(f"a_{i}", 2).alias("achieved"))
                      for i, c in enumerate(CONSTRAINTS)])
