@@ -24,6 +24,9 @@ from popweave.functions.sizing import broadcast_if_bounded
 from popweave.session import materialize
 
 
+UNROLLED = 16  # bounds of a group that a draw is compared with one by one; more are sorted
+
+
 @dataclass(frozen=True)
 class ImputeSpec:
     column: str
@@ -95,26 +98,28 @@ def resample_invalid(df: DataFrame, columns: Sequence[ImputeSpec], weight: str,
     shares = category_shares(df, columns, weight, group)
     bounds = _bounds_by_group(shares, columns, group).withColumnRenamed(group, "_pool")
     # one row per group id, written once; broadcast behind a count, as ``group`` is the caller's
-    bounds = broadcast_if_bounded(materialize(bounds, "draw-bounds"))
+    bounds = materialize(bounds, "draw-bounds")
+    most = bounds.select(F.max(F.greatest(F.lit(0), *[F.size(f"_b_{s.column}") for s in columns]))).first()[0] or 0
+    bounds = broadcast_if_bounded(bounds)
     if pool is None:
         key = F.col(group)
     elif pool.startswith("global:"):
         key = F.lit(int(pool.split(":", 1)[1]))
     else:
         raise ValueError(f"unknown pool {pool!r}")
-    out = df.withColumn("_pool", key.cast(dict(df.dtypes)[group])).join(bounds, "_pool", "left") \
+    types = dict(df.dtypes)
+    out = df.withColumn("_pool", key.cast(types[group])).join(bounds, "_pool", "left") \
             .drop("_pool")
+    # a column of its own: what is read several times in one expression is hashed anew each time
+    out = out.withColumns({f"_u_{s.column}": F.when((F.col(s.column) == F.lit(s.invalid)) & (F.size(f"_b_{s.column}") > 0),
+                                                    keyed_uniform(s.salt or s.column, *key_cols)) for s in columns})
     for s in columns:
-        salt = s.salt or s.column
-        u = keyed_uniform(salt, *key_cols)
-        arr = F.col(f"_b_{s.column}")
-        # 1 + the number of bounds up to u: u stands first of its equals in falling order. A lambda
-        # over the bounds would hash the key anew for each of them
-        falling = F.sort_array(F.concat(arr["upper"], F.array(u)), asc=False)
-        idx = (F.size(arr) - F.array_position(falling, u) + 2).cast("int")
-        drawn = F.element_at(arr, idx)["value"]
-        src_type = dict(df.dtypes)[s.column]
-        replaced = F.when((F.col(s.column) == F.lit(s.invalid)) & (F.size(arr) > 0),
-                          drawn.cast(src_type)).otherwise(F.col(s.column))
-        out = out.withColumn(s.column, replaced)
-    return out.drop(*[f"_b_{s.column}" for s in columns])
+        arr, u = F.col(f"_b_{s.column}"), F.col(f"_u_{s.column}")
+        if most <= UNROLLED:
+            upto = sum((F.when(F.get(arr, F.lit(i))["upper"] <= u, 1).otherwise(0) for i in range(most)), F.lit(0))
+        else:
+            # u stands first of its equals in falling order
+            upto = F.size(arr) - F.array_position(F.sort_array(F.concat(arr["upper"], F.array(u)), asc=False), u) + 1
+        drawn = F.element_at(arr, (upto + 1).cast("int"))["value"]  # 1 + the number of bounds up to u
+        out = out.withColumn(s.column, F.when(u.isNotNull(), drawn.cast(types[s.column])).otherwise(F.col(s.column)))
+    return out.drop(*[f"{x}{s.column}" for s in columns for x in ("_b_", "_u_")])
