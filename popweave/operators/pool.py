@@ -176,14 +176,15 @@ def packed(signatures: DataFrame) -> DataFrame:
 
 
 def _blocks(batches, k: int):
-    """The blocks of ``packed`` rows: (row of its batch, position, pool, sig, counts, w0, n)."""
+    """The blocks of ``packed`` rows: (row of its batch, position, pool, sig if read, counts, w0, n)."""
     for batch in batches:
         bytes_of = lambda c, i, t: np.frombuffer(batch.column(c)[i].as_buffer(), t)
         for i, pool in enumerate(batch.column("pool").to_pylist()):
             n = bytes_of("n", i, np.int64)
             data = batch.column("inc")[i].as_buffer()
             s = np.frombuffer(data, np.dtype(f"i{data.size // (len(n) * k)}")).reshape(-1, k)
-            yield batch, i, pool, bytes_of("sig", i, np.int64), s, np.maximum(bytes_of("w0", i, np.float64), 1e-12), n.astype(float)
+            sig = bytes_of("sig", i, np.int64) if "sig" in batch.schema.names else None
+            yield batch, i, pool, sig, s, np.maximum(bytes_of("w0", i, np.float64), 1e-12), n.astype(float)
 
 
 def _sums(spread, k: int):
@@ -232,7 +233,7 @@ def look(signatures: DataFrame, z: Zones) -> np.ndarray:
     k = len(z.level)
     spread = signatures.sparkSession.sparkContext.broadcast(dict(vars(z)))
     table = signatures if dict(signatures.dtypes)["inc"] == "binary" else packed(signatures)
-    rows = (table.mapInArrow(_sums(spread, k), "z int, part array<double>").groupBy("z")
+    rows = (table.select("pool", "inc", "w0", "n").mapInArrow(_sums(spread, k), "z int, part array<double>").groupBy("z")
             .applyInArrow(_added, "z int, part array<double>").toArrow())
     spread.unpersist()
     out = np.zeros((len(z.maz), 3 + k + k * (k + 1) // 2))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
-from typing import Callable
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +52,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> seedplan.PreparedSeeds:
+def prepared(spark: SparkSession, sf_dir: str, unread: Sequence[str] = ()) -> seedplan.PreparedSeeds:
     return seedplan.prepare(sv.zones(spark, sf_dir), sv.households(spark, sf_dir),
-                            sv.persons(spark, sf_dir), CFG)
+                            sv.persons(spark, sf_dir), CFG, unread)
 
 
 def raw_controls(spark: SparkSession, sf_dir: str,
@@ -702,6 +702,7 @@ def q_load_empty_as_zero(spark, sf_dir):
 # --- synthesis -------------------------------------------------------------------------
 
 CONSTRAINTS = syn.default_constraints(CFG)
+UNREAD = ("transit_pass", "free_parking", "school_zone", "pd")  # by constraints, controls and synthesis queries
 
 
 def synthesis_seed(spark, sf_dir, seeds: seedplan.PreparedSeeds | None = None):
@@ -797,7 +798,7 @@ def q_integerize(spark, sf_dir):
 
 def balance_inputs(spark, sf_dir):
     """(households with incidence, coded persons, targets, forecast zones) of the synthesis run."""
-    seeds = prepared(spark, sf_dir)  # one seed preparation feeds targets and households
+    seeds = prepared(spark, sf_dir, UNREAD)  # one seed preparation feeds targets and households
     maz, taz, meta, vec, zones = forecast_inputs(spark, sf_dir, seeds)
     fmaz, ftaz, fmeta = fc.apply_population_vector(maz, taz, meta, vec, zones, FORECAST_CFG)
     fmaz = materialize(fmaz, "forecast")  # zone-sized; cut the lineage once

@@ -9,6 +9,7 @@ which every later step scans with its own columns only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from popweave.operators.seeds import (filter_internal, households_with_zone,
 from popweave.session import materialize
 
 PERSON_KEY = ("household_id", "person_number")
+PERSON_ATTRIBUTES = ("age", "sex", "license", "transit_pass", "employment_status", "occupation",
+                     "free_parking", "student_status", "employment_zone", "school_zone")
 
 HOUSEHOLD_IMPUTE = (ImputeSpec("income_class", INVALID_INCOME_CLASS),)
 PERSON_IMPUTE = (ImputeSpec("occupation", INVALID_OCCUPATION),
@@ -40,8 +43,9 @@ class PreparedSeeds:
 
 
 def prepare(zones: DataFrame, households: DataFrame, persons: DataFrame,
-            cfg: RunConfig) -> PreparedSeeds:
-    """Geography, imputation and internal filter, in the surveyed order.
+            cfg: RunConfig, unread: Sequence[str] = ()) -> PreparedSeeds:
+    """Geography, imputation and internal filter, in the surveyed order. The joined table is written
+    without the columns ``unread``, which the caller never reads.
 
     Imputation shares are taken before the internal-zone filter (over every zone the
     zone map knows), exactly as the filter follows the imputation there.
@@ -54,7 +58,7 @@ def prepare(zones: DataFrame, households: DataFrame, persons: DataFrame,
     hz = resample_invalid(hz0, HOUSEHOLD_IMPUTE, "expansion_factor", ["household_id"])
     # The one fact join of a run: its rows are written once; shares, draws, controls, seeds and
     # incidence all read that table.
-    ph0 = materialize(persons_households(persons, hz), "persons-households")
+    ph0 = materialize(persons_households(persons, hz).drop(*unread), "persons-households")
     ph = resample_invalid(ph0, PERSON_IMPUTE, "expansion_factor", list(PERSON_KEY))
     return PreparedSeeds(zmap,
                          filter_internal(hz, "household_zone", cfg),
@@ -86,11 +90,11 @@ def processed_households(persons_hh: DataFrame) -> DataFrame:
 
 def processed_persons(persons_hh: DataFrame, cfg: RunConfig) -> DataFrame:
     """Person seed for the synthesizer: categories re-coded by the configured maps
-    (unmapped -> null), ``weight`` unrounded and ``weightp`` rounded to 5 places (D16)."""
+    (unmapped -> null), ``weight`` unrounded and ``weightp`` rounded to 5 places (D16). Attributes left
+    unread by ``prepare`` are absent."""
     p = recode(persons_hh, {c: m for c, m in _person_maps(cfg).items()})
     return p.select("household_id", "person_number", F.col("puma").cast("int").alias("puma"),
-                    "age", "sex", "license", "transit_pass", "employment_status", "occupation",
-                    "free_parking", "student_status", "employment_zone", "school_zone",
+                    *[c for c in PERSON_ATTRIBUTES if c in p.columns],
                     F.col("expansion_factor").cast("double").alias("weight"),
                     F.round("expansion_factor", 5).cast("double").alias("weightp"))
 
